@@ -64,25 +64,45 @@ def with_global_index(df: DataFrame, order: Sequence, out: str = "_idx",
                   .drop(PID, POS, "_loc", "_off"))
 
 
-def with_prefix_sum(df: DataFrame, order: Sequence, value, out: str,
-                    segment: Sequence[str] = (), inclusive: bool = True,
-                    num_partitions: int | None = None) -> DataFrame:
-    """Running sum of ``value`` in ``order`` (restarting per ``segment``).
-
-    ``order`` must start with the segment columns when a segment is given.
-    """
+def blocked_cumsum(blocks: DataFrame, value, out: str, segment: Sequence[str] = (),
+                   inclusive: bool = True) -> DataFrame:
+    """Running sum on a frame from :func:`ordered_blocks` (keeps the block
+    columns, so several scans can share one checkpoint)."""
     v = F.col(value) if isinstance(value, str) else value
-    blocks = ordered_blocks(df.withColumn("_v", v), order, num_partitions)
-    offsets = _block_offsets(blocks, F.col("_v"), list(segment))
+    b = blocks.withColumn("_v", v)
+    offsets = _block_offsets(b, F.col("_v"), list(segment))
     frame = (Window.unboundedPreceding, 0) if inclusive else (Window.unboundedPreceding, -1)
     w = Window.partitionBy(PID, *segment).orderBy(POS).rowsBetween(*frame)
-    local = F.coalesce(F.sum("_v").over(w), F.lit(0))
-    joined = blocks.withColumn("_loc", local)
+    joined = b.withColumn("_loc", F.coalesce(F.sum("_v").over(w), F.lit(0)))
     if segment:
         joined = joined.join(offsets, [PID, *segment])
     else:
+        # one row per range partition: bounded by the partition count
         joined = joined.join(F.broadcast(offsets), PID)
-    return joined.withColumn(out, F.col("_off") + F.col("_loc")).drop(PID, POS, "_loc", "_off", "_v")
+    return joined.withColumn(out, F.col("_off") + F.col("_loc")).drop("_loc", "_off", "_v")
+
+
+def blocked_previous(blocks: DataFrame, value, out: str, segment: Sequence[str] = ()) -> DataFrame:
+    """Previous row's ``value`` inside the segment, on a blocked frame."""
+    v = F.col(value) if isinstance(value, str) else value
+    b = blocks.withColumn("_pv", v)
+    keys = [PID, *segment]
+    w = Window.partitionBy(*keys).orderBy(POS)
+    lasts = b.groupBy(*keys).agg(F.max_by("_pv", POS).alias("_last"))
+    carry = lasts.select(*keys, F.lag("_last").over(Window.partitionBy(*segment).orderBy(PID)).alias("_carry"))
+    tagged = b.withColumn("_lag", F.lag("_pv").over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    joined = tagged.join(carry if segment else F.broadcast(carry), keys)
+    return (joined.withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag")))
+                  .drop("_lag", "_first", "_carry", "_pv"))
+
+
+def with_prefix_sum(df: DataFrame, order: Sequence, value, out: str,
+                    segment: Sequence[str] = (), inclusive: bool = True,
+                    num_partitions: int | None = None) -> DataFrame:
+    """Running sum of ``value`` in ``order`` (restarting per ``segment``).
+    ``order`` must start with the segment columns when a segment is given."""
+    blocks = ordered_blocks(df, order, num_partitions)
+    return blocked_cumsum(blocks, value, out, segment, inclusive).drop(PID, POS)
 
 
 def with_previous(df: DataFrame, order: Sequence, value: str, out: str,
@@ -90,12 +110,4 @@ def with_previous(df: DataFrame, order: Sequence, value: str, out: str,
     """Value of the previous row in ``order`` inside the segment (NULL for
     the first row of a segment)."""
     blocks = ordered_blocks(df, order, num_partitions)
-    keys = [PID, *segment]
-    lag_local = F.lag(value).over(Window.partitionBy(*keys).orderBy(POS))
-    first_local = F.row_number().over(Window.partitionBy(*keys).orderBy(POS)) == 1
-    lasts = blocks.groupBy(*keys).agg(F.max_by(value, POS).alias("_last"))
-    carry = lasts.select(*keys, F.lag("_last").over(Window.partitionBy(*segment).orderBy(PID)).alias("_carry"))
-    tagged = blocks.withColumn("_lag", lag_local).withColumn("_first", first_local)
-    joined = tagged.join(carry if segment else F.broadcast(carry), keys)
-    return (joined.withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag")))
-                  .drop(PID, POS, "_lag", "_first", "_carry"))
+    return blocked_previous(blocks, value, out, segment).drop(PID, POS)

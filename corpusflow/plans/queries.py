@@ -20,6 +20,7 @@ from corpusflow.operators import filters as FL
 from corpusflow.operators import shards as SH
 from corpusflow.plans import flagship as FS
 from corpusflow.plans.sqlbits import WS, doc_manifest, n_words, norm, strip, words
+from corpusflow.session import spread
 from corpusflow.sources.manifest import SEQ, documents_manifest, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +55,347 @@ ORDER BY k.duration DESC, k.doc_id
 @query("flagship_text_gate", _gate_sql())
 def flagship_text_gate(spark, sf):
     return FS.flagship(spark, sf)
+
+
+def _sqlstr(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _orders(spark, sf):
+    return table(spark, sf, "orders")
+
+
+# --- 2.3 projections -----------------------------------------------------------
+
+@query("keep_fields", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def q_keep_fields(spark, sf):
+    return P.keep_only_fields(_orders(spark, sf), ["o_orderkey", "o_custkey", "o_totalprice"])
+
+
+@query("flexible_keep_fields", "SELECT o_orderkey, o_orderstatus FROM orders")
+def q_flexible_keep(spark, sf):
+    return P.flexible_keep_fields(_orders(spark, sf), ["o_orderkey", "o_orderstatus", "o_comment"])
+
+
+@query("missing_field_counts",
+       "SELECT count(*) FILTER (WHERE o_orderkey IS NULL) AS o_orderkey, count(*) AS o_comment FROM orders")
+def q_missing_counts(spark, sf):
+    return P.missing_field_counts(_orders(spark, sf), ["o_orderkey", "o_comment"])
+
+
+@query("drop_fields", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+def q_drop_fields(spark, sf):
+    return P.drop_fields(_orders(spark, sf), ["o_orderdate", "o_orderpriority", "o_comment"])
+
+
+@query("rename_fields", "SELECT o_orderkey AS id, o_orderstatus AS price, o_totalprice AS total, "
+                        "o_custkey, o_orderdate, o_orderpriority FROM orders")
+def q_rename_fields(spark, sf):
+    # applied in order: total <- o_totalprice, then price <- o_orderstatus, id <- o_orderkey
+    return P.rename_fields(_orders(spark, sf), {"o_totalprice": "total", "o_orderstatus": "price",
+                                                "o_orderkey": "id"})
+
+
+@query("duplicate_fields", "SELECT *, o_totalprice AS price_copy, o_custkey AS customer FROM orders")
+def q_duplicate_fields(spark, sf):
+    return P.duplicate_fields(_orders(spark, sf), {"o_totalprice": "price_copy", "o_custkey": "customer"})
+
+
+@query("constant_fields", "SELECT o_orderkey, 'en' AS lang, 2 AS version FROM orders")
+def q_constant_fields(spark, sf):
+    return P.add_constant_fields(_orders(spark, sf).select("o_orderkey"), {"lang": "en", "version": 2})
+
+
+_COMBINE_SQL = f"""
+WITH m AS (SELECT d.doc_id, CAST(l.quality AS VARCHAR) AS quality_label,
+                  CASE WHEN d.source = 'src0' THEN 'n/a' ELSE d.lang END AS doc_lang
+           FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+SELECT doc_id,
+       CASE WHEN quality_label IS NOT NULL AND quality_label <> 'n/a' THEN quality_label
+            WHEN doc_lang IS NOT NULL AND doc_lang <> 'n/a' THEN doc_lang ELSE 'n/a' END AS label,
+       CASE WHEN quality_label IS NOT NULL AND quality_label <> 'n/a' THEN 'labels'
+            WHEN doc_lang IS NOT NULL AND doc_lang <> 'n/a' THEN 'documents' ELSE 'n/a' END AS label_origin
+FROM m
+"""
+
+
+@query("combine_sources", _COMBINE_SQL)
+def q_combine_sources(spark, sf):
+    d = table(spark, sf, "documents")
+    lab = table(spark, sf, "labels")
+    m = d.join(lab, "doc_id", "left").select(
+        "doc_id", F.col("quality").cast("string").alias("quality_label"),
+        F.when(F.col("source") == "src0", F.lit("n/a")).otherwise(F.col("lang")).alias("doc_lang"))
+    out = P.combine_sources(m, [{"field": "quality_label", "origin_label": "labels"},
+                                {"field": "doc_lang", "origin_label": "documents"}], "label")
+    return out.select("doc_id", "label", "label_origin")
+
+
+_PAGES_PATH_SQL = """
+WITH p AS (SELECT page_id, string_split(regexp_replace(url, '[?#].*$', ''), '/') AS parts FROM pages)
+SELECT page_id,
+       regexp_replace(parts[-1], '(.)\\.[^.]*$', '\\1') AS stem,
+       parts[3] AS host,
+       CASE WHEN len(parts) >= 5 THEN parts[4] END AS lang_dir,
+       len(parts) AS depth
+FROM p
+"""
+
+
+@query("path_parse", _PAGES_PATH_SQL)
+def q_path_parse(spark, sf):
+    """S5-S7/P9/P11-P12 building blocks: path split, stem, anchored parts."""
+    p = table(spark, sf, "pages")
+    parts = F.split(F.regexp_replace("url", "[?#].*$", ""), "/")
+    return p.select("page_id",
+                    P.file_stem(F.regexp_replace("url", "[?#].*$", "")).alias("stem"),
+                    F.element_at(parts, 3).alias("host"),
+                    F.when(F.size(parts) >= 5, F.element_at(parts, 4)).alias("lang_dir"),
+                    F.size(parts).alias("depth"))
+
+
+# --- P10 / E2-E9 expressions ---------------------------------------------------
+
+_EXPR = ("entry.l_extendedprice * (1 - entry.l_discount) if entry.l_quantity > 10 "
+         "else entry.l_extendedprice // 2")
+
+
+@query("expr_column", """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_quantity > 10 THEN l_extendedprice * (1 - l_discount) ELSE floor(l_extendedprice / 2.0) END AS net,
+       greatest(l_quantity, l_tax * 2) AS peak,
+       l_quantity - 7 * floor(l_quantity / 7.0) AS qmod,
+       length(l_returnflag || l_linestatus) AS flag_len,
+       (l_returnflag = 'R' AND l_quantity >= 30) OR l_discount > 0.09 AS flagged
+FROM lineitem""")
+def q_expr_column(spark, sf):
+    from corpusflow.functions.exprs import lambda_expression
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                                             "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+    li = lambda_expression(li, "net", _EXPR)
+    li = lambda_expression(li, "peak", "max(entry.l_quantity, entry.l_tax * 2)")
+    li = lambda_expression(li, "qmod", "entry.l_quantity % 7")
+    li = lambda_expression(li, "flag_len", "len(entry.l_returnflag + entry.l_linestatus)")
+    li = lambda_expression(li, "flagged",
+                           "entry.l_returnflag == 'R' and entry.l_quantity >= 30 or entry.l_discount > 0.09")
+    return li.select("l_orderkey", "l_linenumber", "net", "peak", "qmod", "flag_len", "flagged")
+
+
+@query("expr_filter", """
+SELECT l_orderkey, l_linenumber, true AS keep FROM lineitem
+WHERE l_returnflag = 'R' AND l_quantity >= 30""")
+def q_expr_filter(spark, sf):
+    from corpusflow.functions.exprs import lambda_expression
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    out = lambda_expression(li, "keep", "entry.l_returnflag == 'R' and entry.l_quantity >= 30", filter=True)
+    return out.select("l_orderkey", "l_linenumber", "keep")
+
+
+# --- 2.4 filters -----------------------------------------------------------------
+
+for _op, _sym in [("lt", "<"), ("le", "<="), ("eq", "="), ("ne", "IS DISTINCT FROM"), ("ge", ">="), ("gt", ">")]:
+    def _mk(op):
+        def fn(spark, sf):
+            li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+            return FL.preserve_by_value(li, "l_quantity", 25.0, op)
+        return fn
+    query(f"preserve_by_value_{_op}",
+          f"SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity {_sym} 25.0")(_mk(_op))
+
+
+def _docs(spark, sf):
+    return documents_manifest(spark, sf)
+
+
+@query("char_rate", f"""
+WITH m AS ({doc_manifest()})
+SELECT doc_id, duration FROM m WHERE round_even(length(text) / duration, 2) BETWEEN 10.0 AND 16.0""")
+def q_char_rate(spark, sf):
+    return FL.drop_high_low_charrate(_docs(spark, sf), 16.0, 10.0).select("doc_id", "duration")
+
+
+@query("word_rate", f"""
+WITH m AS ({doc_manifest()})
+SELECT doc_id, duration FROM m WHERE round_even({n_words('text')} / duration, 2) BETWEEN 1.8 AND 2.6""")
+def q_word_rate(spark, sf):
+    return FL.drop_high_low_wordrate(_docs(spark, sf), 2.6, 1.8).select("doc_id", "duration")
+
+
+@query("duration_range", f"""
+WITH m AS ({doc_manifest()})
+SELECT doc_id, duration FROM m WHERE duration BETWEEN 20.0 AND 300.0""")
+def q_duration_range(spark, sf):
+    return FL.drop_high_low_duration(_docs(spark, sf), 300.0, 20.0).select("doc_id", "duration")
+
+
+@query("rate_drop_counts", f"""
+WITH m AS ({doc_manifest()}), r AS (SELECT round_even(length(text) / duration, 2) AS v FROM m)
+SELECT count(*) FILTER (WHERE v < 10.0) AS dropped_low, count(*) FILTER (WHERE v > 16.0) AS dropped_high FROM r""")
+def q_rate_drop_counts(spark, sf):
+    return FL.high_low_counts(_docs(spark, sf), M.charrate("text", "duration"), 10.0, 16.0)
+
+
+ALPHABET = ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 \n.,'!?;:-|")
+
+
+@query("non_alphabet", f"""
+SELECT doc_id FROM documents WHERE length(translate(text, {_sqlstr(ALPHABET)}, '')) = 0""")
+def q_non_alphabet(spark, sf):
+    return FL.drop_non_alphabet(_docs(spark, sf), ALPHABET).select("doc_id")
+
+
+@query("non_alphabet_counts", f"""
+WITH c AS (SELECT unnest(string_split(translate(text, {_sqlstr(ALPHABET)}, ''), '')) AS character FROM documents)
+SELECT character, count(*) AS n FROM c WHERE character <> '' GROUP BY character""")
+def q_non_alphabet_counts(spark, sf):
+    return FL.non_alphabet_counts(_docs(spark, sf), ALPHABET)
+
+
+KEEP_PATTERNS = [r"[ ](the|und|le|el)[ ]", r"[.][ ][A-Z]"]
+DROP_PATTERNS = [r"[0-9]{3}", r"@", r"[|]"]
+
+
+def _any_sql(x, pats):
+    return " OR ".join(f"regexp_matches({x}, {_sqlstr(p)})" for p in pats)
+
+
+@query("regex_none", f"""
+SELECT doc_id, {norm('text')} AS text FROM documents
+WHERE {_any_sql("' ' || " + norm('text') + " || ' '", KEEP_PATTERNS)}""")
+def q_regex_none(spark, sf):
+    return FL.drop_if_none_of_regex_match(_docs(spark, sf), KEEP_PATTERNS).select("doc_id", "text")
+
+
+@query("regex_any", f"""
+SELECT doc_id, {norm('text')} AS text FROM documents
+WHERE NOT ({_any_sql("' ' || " + norm('text') + " || ' '", DROP_PATTERNS)})""")
+def q_regex_any(spark, sf):
+    return FL.drop_if_regex_match(_docs(spark, sf), DROP_PATTERNS).select("doc_id", "text")
+
+
+def _regex_counts_sql():
+    padded = "' ' || " + norm("text") + " || ' '"
+    first = "CASE " + " ".join(f"WHEN regexp_matches(p, {_sqlstr(pat)}) THEN {i}"
+                               for i, pat in enumerate(DROP_PATTERNS)) + " END"
+    cnt = "CASE " + " ".join(f"WHEN i = {i} THEN len(regexp_extract_all(p, {_sqlstr(pat)}))"
+                             for i, pat in enumerate(DROP_PATTERNS)) + " END"
+    names = "[" + ", ".join(_sqlstr(p) for p in DROP_PATTERNS) + "]"
+    return f"""
+WITH a AS (SELECT {padded} AS p FROM documents), b AS (SELECT p, {first} AS i FROM a),
+c AS (SELECT i, {cnt} AS n FROM b WHERE i IS NOT NULL)
+SELECT {names}[i + 1] AS pattern, sum(n) AS matches FROM c GROUP BY i"""
+
+
+@query("regex_match_counts", _regex_counts_sql())
+def q_regex_match_counts(spark, sf):
+    return FL.regex_match_counts(_docs(spark, sf), DROP_PATTERNS)
+
+
+SUB_PARAMS = [
+    {"pattern": r"[0-9]+", "repl": " <num> "},
+    {"pattern": r"([A-Za-z]+)[|]([A-Za-z]+)", "repl": r"\2 \1"},
+    {"pattern": r"[.]", "repl": " ! ", "count": 1},
+    {"pattern": r"[ ]+,", "repl": ","},
+]
+
+
+def _sub_sql():
+    x = "' ' || " + norm("text") + " || ' '"
+    for p in SUB_PARAMS:
+        flags = ", 'g'" if not p.get("count") else ""
+        x = f"regexp_replace({x}, {_sqlstr(p['pattern'])}, {_sqlstr(p['repl'])}{flags})"
+    return f"SELECT doc_id, {norm(x)} AS text FROM documents"
+
+
+@query("sub_regex", _sub_sql())
+def q_sub_regex(spark, sf):
+    return _docs(spark, sf).select("doc_id", TX.sub_regex(F.col("text"), SUB_PARAMS).alias("text"))
+
+
+@query("drop_on_attribute", "SELECT doc_id, quality FROM labels WHERE toxic = 0")
+def q_drop_on_attribute(spark, sf):
+    lab = table(spark, sf, "labels").withColumn("is_toxic", F.col("toxic") == 1)
+    return FL.drop_on_attribute(lab, "is_toxic", drop_if_false=False).select("doc_id", "quality")
+
+
+@query("drop_repeated", f"""
+WITH seen AS (SELECT DISTINCT translate(text, '.,!?', '') AS k FROM benchmark)
+SELECT doc_id FROM documents WHERE translate(text, '.,!?', '') NOT IN (SELECT k FROM seen)""")
+def q_drop_repeated(spark, sf):
+    bench = table(spark, sf, "benchmark")
+    return FL.drop_repeated_fields(_docs(spark, sf), [bench], punctuations=".,!?").select("doc_id")
+
+
+@query("drop_duplicates", """
+SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY text)""")
+def q_drop_duplicates(spark, sf):
+    return FL.drop_duplicates(_docs(spark, sf), "text").select("doc_id", "text")
+
+
+# --- 2.10 metrics ------------------------------------------------------------------
+# The prediction is a deterministic corruption of the ASCII-folded text (the
+# oracle's edit distance counts bytes, so both sides work on ASCII).
+
+def _ascii(c):
+    return F.regexp_replace(c, "[^ -~]", "_")
+
+
+def _pred(c):
+    return F.replace(F.replace(c, F.lit("th"), F.lit("t")), F.lit("e"), F.lit("a"))
+
+
+_ASCII_SQL = "regexp_replace(text, '[^ -~]', '_', 'g')"
+_PRED_SQL = f"replace(replace({_ASCII_SQL}, 'th', 't'), 'e', 'a')"
+
+
+def _asr_pairs(spark, sf):
+    d = spread(table(spark, sf, "documents"))
+    return d.select("doc_id", _ascii(F.col("text")).alias("text")).withColumn("pred_text", _pred(F.col("text")))
+
+
+@query("cer_filter", f"""
+WITH p AS (SELECT doc_id, {_ASCII_SQL} AS t, {_PRED_SQL} AS p FROM documents),
+c AS (SELECT doc_id, round_even(levenshtein(t, p) / length(t) * 100, 2) AS cer FROM p)
+SELECT doc_id, cer FROM c WHERE cer <= 12.0""")
+def q_cer_filter(spark, sf):
+    p = _asr_pairs(spark, sf).withColumn("cer", M.cer("text", "pred_text"))
+    return FL.drop_high_cer(p, 12.0).select("doc_id", "cer")
+
+
+@query("wer_column")
+def q_wer_column(spark, sf):
+    return _asr_pairs(spark, sf).select("doc_id", M.wer("text", "pred_text").alias("wer"))
+
+
+# --- 2.10 text transforms -------------------------------------------------------------
+
+@query("lower_case", "SELECT doc_id, lower(text) AS text FROM documents")
+def q_lower(spark, sf):
+    return _docs(spark, sf).select("doc_id", TX.lower("text").alias("text"))
+
+
+@query("count_words", f"""
+SELECT doc_id, {n_words('text')} AS num_words,
+       {n_words("regexp_replace(text, '[^a-zA-Z ]', '', 'g')")} AS num_ascii_words FROM documents""")
+def q_count_words(spark, sf):
+    d = _docs(spark, sf)
+    return d.select("doc_id", TX.count_words("text").alias("num_words"),
+                    TX.count_words("text", alphabet="a-zA-Z ").alias("num_ascii_words"))
+
+
+@query("latin_cyrillic", f"""
+SELECT doc_id, translate(text, {_sqlstr(TX.LATIN_LOOKALIKE)}, {_sqlstr(TX.CYRILLIC_EQUIVALENT)}) AS text,
+       length(text) - length(translate(text, {_sqlstr(TX.LATIN_LOOKALIKE)}, '')) AS replaced
+FROM documents""")
+def q_latin_cyrillic(spark, sf):
+    d = _docs(spark, sf)
+    return d.select("doc_id", TX.latin_to_cyrillic("text").alias("text"),
+                    TX.latin_lookalike_count("text").alias("replaced"))
+
+
+@query("make_sentence", f"""
+WITH s AS (SELECT doc_id, upper(substr(text, 1, 1)) || substr(text, 2) AS t FROM documents)
+SELECT doc_id, CASE WHEN regexp_matches(t, '\\p{{L}}$') THEN t || ':' ELSE t END AS text FROM s""")
+def q_make_sentence(spark, sf):
+    d = _docs(spark, sf)
+    return d.select("doc_id", TX.make_sentence(F.col("text")).alias("text"))

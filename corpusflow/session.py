@@ -81,3 +81,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for written tables."""
     root = checkpoint_root(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+
+
+def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """Round-robin the rows over the cluster's cores before a CPU-heavy
+    Python step, but only when the input has fewer partitions than cores
+    (a single small file).  Large multi-file inputs are left as scanned, so
+    no shuffle is added at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism * per_core
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
