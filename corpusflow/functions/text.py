@@ -11,6 +11,8 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable, Sequence
 
+import pandas as pd
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -78,8 +80,6 @@ def _sub_one(col: Column, p: dict) -> Column:
 
 def sub_regex_counted(col: Column, pattern: str, repl: str, count: int) -> Column:
     """``re.sub(count=n)`` for n > 1: a per-batch Python helper (no native form)."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def _sub(s: pd.Series) -> pd.Series:
         import re
@@ -139,8 +139,6 @@ def uppercase_after_period(c, punctuation: str = ".!?") -> Column:
     """Upper-case a character that follows ``<punct><space>``.  Matches
     are consuming, so in ``"a. b. c"`` both letters change but in ``". . x"``
     only the first space-run counts (scan semantics)."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def _up(s: pd.Series) -> pd.Series:
         def fix(x):
@@ -298,3 +296,39 @@ def shift_alignment(alignment: Column, offset: Column, digits: int = 3) -> Colum
 
 def fold_chain(col: Column, fns) -> Column:
     return reduce(lambda acc, f: f(acc), fns, col)
+
+
+def _brackets_py(text: str, open_b: str, close_b: str) -> list:
+    depth = 0
+    buf = []
+    out = []
+    for ch in text:
+        if ch == open_b:
+            if depth > 0:
+                buf.append(ch)
+            depth += 1
+        elif ch == close_b:
+            depth -= 1
+            if depth == 0:
+                if buf:
+                    out.append("".join(buf))
+                    buf = []
+            elif depth > 0:
+                buf.append(ch)
+        elif depth > 0:
+            buf.append(ch)
+    return out
+
+
+def extract_from_brackets(c, brackets: Sequence[str]) -> Column:
+    """Texts inside the outermost bracket pairs, bracket kinds in list
+    order; nested brackets stay in the text; a stray closer drives the depth
+    negative (and so hides later openers), as in the rule.  One linear scan
+    per row in an Arrow batch."""
+    pairs = [(b[0], b[1]) for b in brackets]
+
+    @F.pandas_udf("array<string>")
+    def _ext(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: None if x is None else [t for o, cl in pairs for t in _brackets_py(x, o, cl)])
+
+    return _ext(_c(c))

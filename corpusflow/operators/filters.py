@@ -147,22 +147,29 @@ def drop_asr_error(df: DataFrame, consecutive_words_threshold: int, text_key: st
     return df.filter(~F.exists(d, long_chunk))
 
 
+def _metric_filter(df: DataFrame, metric: Column, keep, out_col: str | None) -> DataFrame:
+    # the metric is materialised once as a column, then filtered on
+    col = out_col or "_metric"
+    res = df.withColumn(col, metric).filter(keep(F.col(col)))
+    return res if out_col else res.drop(col)
+
+
 def drop_high_cer(df: DataFrame, cer_threshold: float, text_key: str = "text",
-                  pred_text_key: str = "pred_text") -> DataFrame:
-    """F9."""
-    return df.filter(M.cer(text_key, pred_text_key) <= cer_threshold)
+                  pred_text_key: str = "pred_text", out_col: str | None = None) -> DataFrame:
+    """F9 (``out_col`` keeps the computed CER)."""
+    return _metric_filter(df, M.cer(text_key, pred_text_key), lambda c: c <= cer_threshold, out_col)
 
 
 def drop_high_wer(df: DataFrame, wer_threshold: float, text_key: str = "text",
-                  pred_text_key: str = "pred_text") -> DataFrame:
+                  pred_text_key: str = "pred_text", out_col: str | None = None) -> DataFrame:
     """F10."""
-    return df.filter(M.wer(text_key, pred_text_key) <= wer_threshold)
+    return _metric_filter(df, M.wer(text_key, pred_text_key), lambda c: c <= wer_threshold, out_col)
 
 
 def drop_low_word_match_rate(df: DataFrame, wmr_threshold: float, text_key: str = "text",
-                             pred_text_key: str = "pred_text") -> DataFrame:
+                             pred_text_key: str = "pred_text", out_col: str | None = None) -> DataFrame:
     """F11."""
-    return df.filter(M.wmr(text_key, pred_text_key) >= wmr_threshold)
+    return _metric_filter(df, M.wmr(text_key, pred_text_key), lambda c: c >= wmr_threshold, out_col)
 
 
 def drop_on_attribute(df: DataFrame, key: str, drop_if_false: bool = False) -> DataFrame:
