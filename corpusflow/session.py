@@ -84,11 +84,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
-    """Round-robin the rows over the cluster's cores before a CPU-heavy
-    Python step, but only when the input has fewer partitions than cores
-    (a single small file).  Large multi-file inputs are left as scanned, so
-    no shuffle is added at scale."""
+    """Round-robin the rows over the cluster's cores before CPU-heavy text
+    work, but only when the input has fewer partitions than cores (one small
+    file).  Large multi-file inputs are returned as scanned, so nothing is
+    added at scale.
+
+    The spread rows are checkpointed: otherwise Catalyst pushes the
+    (deterministic) filters of the following operators below the
+    round-robin exchange, back into the single scan task."""
     target = df.sparkSession.sparkContext.defaultParallelism * per_core
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return cut_lineage(df.repartition(target))
