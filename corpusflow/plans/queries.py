@@ -1041,3 +1041,76 @@ def q_llm_cleanup(spark, sf):
     d = d.select("doc_id", "text", _gen_col(F.col("text")).alias("generation"))
     out, rep = TX.generation_fallback(F.col("generation"), F.col("text"), cer_threshold=10.0)
     return d.select("doc_id", out.alias("generation"), rep.alias("replaced"))
+
+
+# --- diff-driven operators (rows; brute-force tests in tests/) ------------------------------------
+
+def _asr_pairs_words(spark, sf):
+    """Prediction = text with some function words dropped and a filler
+    inserted after sentence ends (few, local word edits)."""
+    d = spread(table(spark, sf, "documents"))
+    pred = F.regexp_replace(F.regexp_replace(F.col("text"), r" (the|and|of|le|und|el) ", " "), r"\. ", ". um ")
+    return d.select("doc_id", "text", pred.alias("pred_text"))
+
+
+@query("wmr_filter")
+def q_wmr_filter(spark, sf):
+    return FL.drop_low_word_match_rate(_asr_pairs_words(spark, sf), 90.0, out_col="wmr").select("doc_id", "wmr")
+
+
+@query("asr_begin_end")
+def q_asr_begin_end(spark, sf):
+    return FL.drop_asr_error_beginning_end(_asr_pairs_words(spark, sf), 3, 3).select("doc_id")
+
+
+@query("asr_error")
+def q_asr_error(spark, sf):
+    return FL.drop_asr_error(_asr_pairs_words(spark, sf), 2).select("doc_id")
+
+
+@query("substring_insertion")
+def q_substring_insertion(spark, sf):
+    return FL.drop_if_substring_in_insertion(_asr_pairs_words(spark, sf), ["um "]).select("doc_id")
+
+
+@query("insertion_fix")
+def q_insertion_fix(spark, sf):
+    p = _asr_pairs_words(spark, sf)
+    return p.select("doc_id", M.insertion_fix(F.col("text"), F.col("pred_text"), ["um "]).alias("text"))
+
+
+@query("substitution_fix")
+def q_substitution_fix(spark, sf):
+    p = _asr_pairs_words(spark, sf)
+    pred = F.regexp_replace(F.col("text"), r"\bthe\b", "da")
+    return p.select("doc_id", M.substitution_fix(F.col("text"), pred, {"the ": "da "}).alias("text"))
+
+
+def _caption_rows(spark, sf):
+    """Caption files from conversations: each block of 50 turns of a
+    conversation is one file (bounded array per row)."""
+    c = table(spark, sf, "conversations")
+    seg = F.struct((F.col("turn") * 3.0).alias("start_time"),
+                   (F.col("turn") * 3.0 + F.length("text") / 64.0).alias("end_time"), F.col("text"))
+    return c.groupBy("conv_id", F.floor(F.col("turn") / 50).alias("block")) \
+            .agg(F.array_sort(F.collect_list(F.struct(F.col("turn").alias("k"), seg.alias("s")))).alias("_s")) \
+            .select("conv_id", "block", F.transform("_s", lambda x: x["s"]).alias("segments"))
+
+
+@query("caption_merge")
+def q_caption_merge(spark, sf):
+    from corpusflow.operators.folds import aggregate_caption_segments
+    c = _caption_rows(spark, sf)
+    m = c.select("conv_id", "block", F.posexplode(aggregate_caption_segments(F.col("segments"), 20.0))
+                 .alias("idx", "seg"))
+    return m.select("conv_id", "block", "idx", "seg.start_time", "seg.end_time", "seg.text",
+                    (F.col("seg.end_time") - F.col("seg.start_time")).alias("duration"))
+
+
+@query("rttm_cuts")
+def q_rttm_cuts(spark, sf):
+    from corpusflow.operators.folds import rttm_cut_points
+    c = _caption_rows(spark, sf)
+    starts = F.transform("segments", lambda s: s["start_time"])
+    dur = F.array_max(F.transform("segments", lambda s: s["end_time"]))
+    return c.select("conv_id", "block", F.explode(rttm_cut_points(starts, dur, 20.0)).alias("cut"))
