@@ -581,10 +581,11 @@ def q_turn_overlap(spark, sf):
 # --- 2.6 aggregations -------------------------------------------------------------------
 
 @query("manifest_totals", f"""
-WITH m AS ({doc_manifest()}) SELECT count(*) AS num_entries, sum(duration) / 3600.0 AS total_hours FROM m""")
+WITH m AS ({doc_manifest()}) SELECT count(*) AS num_entries, round(sum(duration) / 3600.0, 6) AS total_hours FROM m""")
 def q_manifest_totals(spark, sf):
     from corpusflow.operators.aggs import manifest_totals
-    return manifest_totals(_docs(spark, sf))
+    # summation order differs between engines: compare at 6 decimals
+    return manifest_totals(_docs(spark, sf)).withColumn("total_hours", F.round("total_hours", 6))
 
 
 @query("manifest_stats", """
@@ -1114,3 +1115,21 @@ def q_rttm_cuts(spark, sf):
     starts = F.transform("segments", lambda s: s["start_time"])
     dur = F.array_max(F.transform("segments", lambda s: s["end_time"]))
     return c.select("conv_id", "block", F.explode(rttm_cut_points(starts, dur, 20.0)).alias("cut"))
+
+
+@query("text_lid")
+def q_text_lid(spark, sf):
+    """Trigram language id trained on the labelled documents, scored on
+    every document."""
+    from corpusflow.operators.scoring import score_trigram_lid, train_trigram_lid
+    d = spread(table(spark, sf, "documents")).select("doc_id", "text", "lang")
+    prof = train_trigram_lid(d)
+    return score_trigram_lid(d.select("doc_id", "text"), prof, "doc_id").select("doc_id", "label", "label_prob")
+
+
+@query("lid_accuracy")
+def q_lid_accuracy(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "lang")
+    pred = QUERIES["text_lid"](spark, sf)
+    return d.join(pred, "doc_id").groupBy("lang").agg(F.avg((F.col("label") == F.col("lang")).cast("double"))
+                                                      .alias("accuracy"), F.count("*").alias("n"))

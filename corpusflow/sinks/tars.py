@@ -1,0 +1,92 @@
+"""Tarred shard sinks (K3-K6).
+
+Shard ids are assigned by the operators in :mod:`corpusflow.operators.shards`
+(D1-D6).  Writing is one task per shard: rows are hash-partitioned on the
+shard id and every task streams its members into ``shard_{id}.tar`` in the
+shared output folder with the standard ``tarfile`` module; the per-shard
+manifests are a partitioned JSON write.
+"""
+
+from __future__ import annotations
+
+import io
+import json
+import os
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_STATS = T.StructType([T.StructField("shard_id", T.IntegerType()), T.StructField("samples", T.LongType()),
+                       T.StructField("bytes", T.LongType()), T.StructField("tar_path", T.StringType())])
+
+
+def write_tar_shards(df: DataFrame, out_dir: str, shard_col: str = "shard_id", key_col: str = "key",
+                     payload_col: str | None = "payload", payload_ext: str = "wav",
+                     meta_cols: list | None = None, prefix: str = "shard") -> DataFrame:
+    """Write one tar per shard with ``{key}.json`` (+ ``{key}.{ext}``)
+    members sorted by name; returns per-shard stats (lazy until an action)."""
+    meta_cols = meta_cols or [c for c in df.columns if c not in (payload_col, shard_col)]
+    n_shards_hint = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    src = df.withColumn("json_meta", F.to_json(F.struct(*meta_cols), {"ignoreNullFields": "true"}))
+    cols = [shard_col, key_col, "json_meta"] + ([payload_col] if payload_col else [])
+    part = src.select(*cols).repartition(n_shards_hint, shard_col).sortWithinPartitions(shard_col, key_col)
+
+    def writer(it):
+        import tarfile
+        open_tar = {}
+        counts = {}
+        for pdf in it:
+            for row in pdf.itertuples(index=False):
+                sid = int(getattr(row, shard_col))
+                if sid not in open_tar:
+                    os.makedirs(out_dir, exist_ok=True)
+                    p = os.path.join(out_dir, f"{prefix}_{sid}.tar")
+                    open_tar[sid] = (tarfile.open(p, "w"), p)
+                    counts[sid] = [0, 0]
+                tf, _ = open_tar[sid]
+                key = str(getattr(row, key_col))
+                members = [(f"{key}.json", getattr(row, "json_meta").encode("utf-8"))]
+                if payload_col:
+                    data = getattr(row, payload_col)
+                    if data is not None:
+                        members.append((f"{key}.{payload_ext}", bytes(data)))
+                for name, data in sorted(members):
+                    info = tarfile.TarInfo(name)
+                    info.size = len(data)
+                    tf.addfile(info, io.BytesIO(data))
+                    counts[sid][1] += len(data)
+                counts[sid][0] += 1
+        rows = []
+        for sid, (tf, p) in open_tar.items():
+            tf.close()
+            rows.append((sid, counts[sid][0], counts[sid][1], p))
+        yield pd.DataFrame(rows, columns=["shard_id", "samples", "bytes", "tar_path"])
+
+    return part.mapInPandas(writer, _STATS)
+
+
+def write_shard_manifests(df: DataFrame, out_dir: str, shard_col: str = "shard_id") -> None:
+    """K3: per-shard manifests (``shard_id=N/`` folders) in one write."""
+    df.write.mode("overwrite").partitionBy(shard_col).json(os.path.join(out_dir, "manifests"))
+
+
+def write_dataset_metadata(out_dir: str, stats_rows, version: int = 0, config: dict | None = None,
+                           history: list | None = None) -> dict:
+    """K3 / K4: dataset metadata (driver-side, a few numbers per shard)."""
+    import datetime
+    meta = {"created": datetime.datetime.now(datetime.timezone.utc).isoformat(), "version": version,
+            "config": config or {}, "num_samples_per_shard": {int(r["shard_id"]): int(r["samples"])
+                                                             for r in stats_rows},
+            "history": history or []}
+    with open(os.path.join(out_dir, "metadata.json"), "w", encoding="utf-8") as f:
+        json.dump(meta, f, ensure_ascii=False, indent=2)
+    return meta
+
+
+def webdataset_key(session: F.Column, segment_id: F.Column, fallback_index: F.Column) -> F.Column:
+    """K5 sample key ``{session}_segment_{id:04d}``; non-integer segment ids
+    fall back to the row index."""
+    sid = F.when(segment_id.cast("long").isNotNull(), segment_id.cast("long")).otherwise(fallback_index)
+    return F.format_string("%s_segment_%04d", session, sid)
