@@ -24,11 +24,11 @@ def speaker_runs(df: DataFrame, session: str, order: Sequence[str], speaker: str
     session; ``out`` numbers them from 1 in order (first row starts a run,
     NULL speakers compare equal)."""
     blocks = ordered_blocks(df, [session, *order])
-    prev = blocked_previous(blocks, speaker, "_prev_spk", [session])
-    prev = blocked_previous(prev, F.lit(1), "_has_prev", [session])
-    new_run = (F.col("_has_prev").isNull() | ~F.col(speaker).eqNullSafe(F.col("_prev_spk"))).cast("long")
+    # one scan gives both the previous speaker and whether a previous row exists
+    prev = blocked_previous(blocks, F.struct(F.col(speaker).alias("s")), "_prev", [session])
+    new_run = (F.col("_prev").isNull() | ~F.col(speaker).eqNullSafe(F.col("_prev.s"))).cast("long")
     runs = blocked_cumsum(prev.withColumn("_new", new_run), "_new", out, [session])
-    return runs.drop("_prev_spk", "_has_prev", "_new", PID, POS)
+    return runs.drop("_prev", "_new", PID, POS)
 
 
 def merge_runs_by_duration(df: DataFrame, session: str, order: Sequence[str], speaker: str,
@@ -38,9 +38,8 @@ def merge_runs_by_duration(df: DataFrame, session: str, order: Sequence[str], sp
     earliest start, latest end, the texts joined by spaces in order and its
     speaker."""
     blocks = ordered_blocks(df.withColumn("_dur", F.col(end) - F.col(start)), [session, *order])
-    b = blocked_previous(blocks, speaker, "_prev_spk", [session])
-    b = blocked_previous(b, F.lit(1), "_has_prev", [session])
-    spk_change = F.col("_has_prev").isNull() | ~F.col(speaker).eqNullSafe(F.col("_prev_spk"))
+    b = blocked_previous(blocks, F.struct(F.col(speaker).alias("s")), "_prev", [session])
+    spk_change = F.col("_prev").isNull() | ~F.col(speaker).eqNullSafe(F.col("_prev.s"))
     b = blocked_cumsum(b.withColumn("_new", spk_change.cast("long")), "_new", "_run", [session])
     b = blocked_cumsum(b, "_dur", "_cum", [session, "_run"])
     b = b.withColumn("_mult", F.floor(F.col("_cum") / threshold))
