@@ -236,3 +236,37 @@ def take_by_quota(df: DataFrame, order: Sequence, duration_key: str, quotas: Seq
         start = nxt
     label = expr.otherwise(F.lit(rest_label)) if expr is not None else F.lit(rest_label)
     return cum.withColumn(out, label).drop("_cum")
+
+
+def sentences_from_captions(segments: Column, duration_threshold: float = 10.0,
+                            sample_rate: int = 16000) -> Column:
+    """Accumulate caption texts (each prefixed by a space) until the
+    span passes ``duration_threshold`` or the text ends with ``.``/``?``,
+    then emit (stripped text, start, end in samples, duration in seconds).
+    Times are integer sample positions.  Rule quirks kept: a caption that
+    starts at sample 0 does not fix the start (the next one does), and a
+    trailing group is emitted only when its start is not 0."""
+    sr = float(sample_rate)
+    out_t = "array<struct<text:string,start:long,end:long,duration:double>>"
+    init = F.struct(F.array().cast(out_t).alias("out"), F.lit("").alias("t"),
+                    F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("e"))
+
+    def step(acc, seg):
+        st = F.floor(seg["start_time"] * sr).cast("long")
+        en = F.floor(seg["end_time"] * sr).cast("long")
+        t = F.concat(acc["t"], F.lit(" "), seg["text"])
+        s = F.when(acc["s"] == 0, st).otherwise(acc["s"])
+        emit = (F.length(t) > 0) & (((en - s) > F.lit(duration_threshold * sr)) | t.endswith(".") | t.endswith("?"))
+        piece = F.struct(F.trim(t).alias("text"), s.alias("start"), en.alias("end"),
+                         ((en - s) / F.lit(sr)).alias("duration"))
+        return F.when(emit, F.struct(F.concat(acc["out"], F.array(piece)).alias("out"), F.lit("").alias("t"),
+                                     F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("e"))) \
+            .otherwise(F.struct(acc["out"].alias("out"), t.alias("t"), s.alias("s"), en.alias("e")))
+
+    def finish(acc):
+        tail = F.struct(F.trim(acc["t"]).alias("text"), acc["s"].alias("start"), acc["e"].alias("end"),
+                        ((acc["e"] - acc["s"]) / F.lit(sr)).alias("duration"))
+        return F.when((F.length(acc["t"]) > 0) & (acc["s"] != 0), F.concat(acc["out"], F.array(tail))) \
+            .otherwise(acc["out"])
+
+    return F.aggregate(segments, init, step, finish)

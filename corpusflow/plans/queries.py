@@ -1133,3 +1133,11 @@ def q_lid_accuracy(spark, sf):
     pred = QUERIES["text_lid"](spark, sf)
     return d.join(pred, "doc_id").groupBy("lang").agg(F.avg((F.col("label") == F.col("lang")).cast("double"))
                                                       .alias("accuracy"), F.count("*").alias("n"))
+
+
+@query("vtt_sentences")
+def q_vtt_sentences(spark, sf):
+    from corpusflow.operators.folds import sentences_from_captions
+    c = _caption_rows(spark, sf)
+    return c.select("conv_id", "block", F.posexplode(sentences_from_captions(F.col("segments"), 10.0))
+                    .alias("idx", "s")).select("conv_id", "block", "idx", "s.text", "s.start", "s.end", "s.duration")

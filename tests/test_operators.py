@@ -257,3 +257,38 @@ def test_list_to_entries(spark):
     assert [(r.audio_filepath, r.text) for r in out] == [("a.wav", "x"), ("a.wav", "y")]
     df2 = spark.createDataFrame([("a", ["p", "q"])], "audio_filepath string, text_chunks array<string>")
     assert [r.text for r in list_to_entries(df2, "text_chunks", "text").collect()] == ["p", "q"]
+
+
+def _vtt_rule(segs, thr, sr):
+    res = []
+    text_c, start_c, end_c = "", 0, 0
+    for s in segs:
+        st, en = int(s["start_time"] * sr), int(s["end_time"] * sr)
+        text_c += " " + s["text"]
+        if start_c == 0:
+            start_c = st
+        end_c = en
+        if len(text_c) > 0 and (end_c - start_c > thr * sr or text_c[-1] in ".?"):
+            res.append((text_c.strip(), start_c, end_c))
+            text_c, start_c, end_c = "", 0, 0
+    if len(text_c) > 0 and start_c != 0:
+        res.append((text_c.strip(), start_c, end_c))
+    return res
+
+
+def test_vtt_sentences_vs_rule(spark):
+    rnd = random.Random(9)
+    rows = []
+    for k in range(40):
+        t = rnd.choice([0.0, 0.5])
+        segs = []
+        for j in range(rnd.randint(0, 9)):
+            d = rnd.uniform(0.5, 6)
+            segs.append({"start_time": t, "end_time": t + d, "text": f"w{j}" + rnd.choice(["", "", ".", "?"])})
+            t += d
+        rows.append((k, segs))
+    df = spark.createDataFrame(rows, "k int, segs array<struct<start_time:double,end_time:double,text:string>>")
+    got = {r.k: [(x.text, x.start, x.end) for x in r.m]
+           for r in df.select("k", W.sentences_from_captions(F.col("segs"), 10.0, 16000).alias("m")).collect()}
+    for k, segs in rows:
+        assert got[k] == _vtt_rule(segs, 10.0, 16000), segs
