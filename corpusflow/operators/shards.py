@@ -210,3 +210,20 @@ def split_fixed_duration(df: DataFrame, segment_duration: float, drop_last: bool
              .withColumn(duration_key, F.when(F.col("_i") < full, F.lit(segment_duration)).otherwise(rem))
              .drop("_i"))
     return out.drop("text") if drop_text and "text" in df.columns else out
+
+
+def shard_by_size(df: DataFrame, max_shard_bytes: float, duration_key: str = "duration",
+                  bytes_per_second: float = 32000.0, order: Sequence | None = None,
+                  out: str = "shard_id") -> DataFrame:
+    """D2 (prefix-sum form): row size = duration * bytes_per_second; a row
+    goes to shard ``floor(bytes before it / max_shard_bytes)`` in ``order``.
+    The rule's greedy fill ("start a new shard when the next row does not
+    fit") is sequential over the whole dataset; this form needs only the
+    distributed prefix sum and gives shards of at most one row over the
+    limit."""
+    from corpusflow.operators.scan import with_prefix_sum
+    size = F.col(duration_key) * F.lit(bytes_per_second)
+    cum = with_prefix_sum(df.withColumn("_size", size), list(order or [SEQ]), "_size", "_before",
+                          inclusive=False)
+    return cum.withColumn(out, F.floor(F.col("_before") / F.lit(max_shard_bytes)).cast("int")) \
+              .drop("_size", "_before")

@@ -292,3 +292,9 @@ def test_vtt_sentences_vs_rule(spark):
            for r in df.select("k", W.sentences_from_captions(F.col("segs"), 10.0, 16000).alias("m")).collect()}
     for k, segs in rows:
         assert got[k] == _vtt_rule(segs, 10.0, 16000), segs
+
+
+def test_shard_by_size(spark):
+    df = spark.createDataFrame([(i, 1.0) for i in range(10)], f"{SEQ} int, duration double")
+    got = [r.shard_id for r in SH.shard_by_size(df, 3 * 32000.0).orderBy(SEQ).collect()]
+    assert got == [0, 0, 0, 1, 1, 1, 2, 2, 2, 3]
