@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import exact, mixing, quality, urlfilter
+from corpusflow.llm import exact, linededup, minhash, mixing, quality, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -131,3 +131,50 @@ def op10(spark, sf_dir):
     listed = (pages.select(host.alias("host"), path.alias("path")).filter(F.col("host").rlike(LISTED_HOSTS))
                    .select(urlfilter.canonical(F.col("host"), F.col("path")).alias("canonical")))
     return urlfilter.url_filter(pages, URL_RULES, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+# --- 6 -----------------------------------------------------------------------
+
+@_query("op6_minhash_near_dedup", r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS g
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, least(len(words), 1)) + 1)) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+k AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 80 * (x.n + y.n - both)),
+r AS (SELECT a, b FROM k UNION SELECT r.a, k.b FROM r JOIN k ON r.b = k.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.b, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(m.b, d.doc_id)) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS b FROM r GROUP BY a) m ON m.a = d.doc_id
+""")
+def op6(spark, sf_dir):
+    d = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicate_ids(d, params=minhash.MinHashParams(words=4))
+
+
+# --- 7 -----------------------------------------------------------------------
+
+@_query("op7_line_dedup", r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x,
+                  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS p FROM documents),
+s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS q FROM l WHERE regexp_matches(x, '[^ 	-
+]')),
+w AS (SELECT *, lead(x) OVER d AS y, lead(p) OVER d AS b FROM s WINDOW d AS (PARTITION BY doc_id ORDER BY q)),
+n AS (SELECT doc_id, q, p, b, row_number() OVER (PARTITION BY x, y ORDER BY doc_id, q) AS nth FROM w WHERE y IS NOT NULL),
+m AS (SELECT *, CASE WHEN q > lag(q) OVER d + 2 OR lag(q) OVER d IS NULL THEN 1 ELSE 0 END AS fresh
+      FROM n WHERE nth > 1 WINDOW d AS (PARTITION BY doc_id ORDER BY q)),
+r AS (SELECT doc_id, run, min(p) AS a, max(b) AS b, max(q) - min(q) + 2 AS lines
+      FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY q) AS run FROM m) GROUP BY doc_id, run),
+k AS (SELECT doc_id, string_agg(x, chr(10) ORDER BY p) AS t FROM l
+      WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = l.doc_id AND l.p BETWEEN r.a AND r.b) GROUP BY doc_id),
+g AS (SELECT doc_id, sum(lines)::BIGINT AS n_removed, count(*)::BIGINT AS n_runs FROM r GROUP BY doc_id),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed_lines, coalesce(n_runs, 0) AS n_runs,
+       sha256(coalesce(k.t, '')) AS kept_sha256
+FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN g USING (doc_id) LEFT JOIN k USING (doc_id)
+""")
+def op7(spark, sf_dir):
+    d = linededup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", "n_lines", "n_removed_lines", F.size("removed_runs").cast("long").alias("n_runs"),
+                    F.sha2(F.coalesce("clean_text", F.lit("")), 256).alias("kept_sha256"))

@@ -16,21 +16,16 @@ named like an output column are replaced, others pass unchanged.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.llm.bloom import MAX_BITS, bloom_words, may_contain
 from corpusflow.llm.store import stored, without
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BITS_PER_KEY = 16
-BLOCK_WORDS = 8          # 64-bit words of a block
-PROBES = 8
 
 
 class Rule(NamedTuple):
@@ -69,65 +64,15 @@ def rule_column(host: Column, path: Column, rules: Sequence[Rule], part: str) ->
     return out
 
 
-def _probe(h: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """Block of each 64-bit hash, and its mask of BLOCK_WORDS words."""
-    h = h.view(np.uint64)
-    block = (h >> np.uint64(32)) % np.uint64(blocks)
-    mask = np.zeros((len(h), BLOCK_WORDS), np.uint64)
-    x = h.copy()
-    rows = np.arange(len(h))
-    for _ in range(PROBES):
-        x = x * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xD1B54A32D192ED03)
-        bit = x >> np.uint64(55)
-        mask[rows, (bit >> np.uint64(6)).astype(np.int64)] |= np.uint64(1) << (bit & np.uint64(63))
-    return block.astype(np.int64), mask
-
-
-def bloom_words(keys: DataFrame, hash_col: str, blocks: int) -> np.ndarray:
-    """Blocked Bloom filter of a long column: tasks build masks, masks of one
-    block are or-ed in the shuffle; ``blocks`` rows at most reach the driver."""
-    cols = [f"w{i}" for i in range(BLOCK_WORDS)]
-
-    def masks(batches):
-        for pdf in batches:
-            block, mask = _probe(pdf["h"].to_numpy(np.int64), blocks)
-            uniq, at = np.unique(block, return_inverse=True)
-            merged = np.zeros((len(uniq), BLOCK_WORDS), np.uint64)
-            np.bitwise_or.at(merged, at, mask)
-            yield pd.DataFrame({"block": uniq} | {c: merged[:, i].view(np.int64) for i, c in enumerate(cols)})
-
-    rows = (keys.select(F.col(hash_col).alias("h"))
-                .mapInPandas(masks, "block long, " + ", ".join(f"{c} long" for c in cols))
-                .groupBy("block").agg(*[F.bit_or(c).alias(c) for c in cols]).toPandas())
-    words = np.zeros((blocks, BLOCK_WORDS), np.uint64)
-    words[rows["block"].to_numpy(np.int64)] = rows[cols].to_numpy(np.int64).view(np.uint64)
-    return words
-
-
-def bloom_contains(spark, words: np.ndarray):
-    """Boolean column function: may the hash be among the filter's keys?"""
-    shared = spark.sparkContext.broadcast(words)
-
-    @F.pandas_udf("boolean")
-    def hit(h: pd.Series) -> pd.Series:
-        table = shared.value
-        block, mask = _probe(h.to_numpy(np.int64), len(table))
-        return pd.Series(((table[block] & mask) == mask).all(axis=1))
-
-    return hit
-
-
 def url_filter(pages: DataFrame, rules: Sequence[Rule], listed: DataFrame, url_col: str = "url",
-               listed_col: str = "canonical", max_filter_bits: int = 1 << 27) -> DataFrame:
+               listed_col: str = "canonical", max_filter_bits: int = MAX_BITS) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``listed`` and ``verdict``.
     ``listed``: a table of canonical URLs, repeats allowed."""
     spark = pages.sparkSession
     pages = without(pages, "host", "path", "rule", "listed", "verdict")
     keys = stored(listed.select(F.col(listed_col).alias("__canon")).filter(F.col("__canon").isNotNull()).distinct()
                         .withColumn("__h", F.xxhash64("__canon")), "listed")
-    n = keys.count()
-    blocks = max(1, math.ceil(min(max(n, 1) * BITS_PER_KEY, max_filter_bits) / (64 * BLOCK_WORDS)))
-    may = bloom_contains(spark, bloom_words(keys, "__h", blocks))
+    may = may_contain(spark, bloom_words(keys, "__h", keys.count(), max_filter_bits))
 
     url = F.col(url_col)
     judged = (pages.withColumn("host", host_of(url)).withColumn("path", path_of(url))
