@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import exact, linededup, minhash, mixing, quality, urlfilter
+from corpusflow.llm import exact, linededup, minhash, mixing, pieces, quality, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,6 +66,16 @@ def op1(spark, sf_dir):
         "n_bad_lines", "n_bad_words", "kept")])
 
 
+# --- 2 -----------------------------------------------------------------------
+
+@_query("op2_sentencepiece")
+def op2(spark, sf_dir):
+    """Piece ids of every whole text; ``round_trip``: decoding gives it back."""
+    d = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = pieces.encode(d, pieces.default_model(), out="ids", check_col="round_trip", keep_text=False)
+    return ids.withColumn("n_tokens", F.coalesce(F.size("ids"), F.lit(0)).cast("long"))
+
+
 # --- 3 -----------------------------------------------------------------------
 
 @_query("op3_exact_dedup", """
@@ -141,8 +151,8 @@ WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text,
 s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS g
       FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, least(len(words), 1)) + 1)) AS i FROM w)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-k AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 80 * (x.n + y.n - both)),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+k AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
 r AS (SELECT a, b FROM k UNION SELECT r.a, k.b FROM r JOIN k ON r.b = k.a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.b, d.doc_id)) AS component_id,
        d.doc_id = least(d.doc_id, coalesce(m.b, d.doc_id)) AS kept
