@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import exact, linededup, minhash, mixing, pieces, quality, urlfilter
+from corpusflow.llm import exact, linededup, minhash, mixing, pieces, quality, substring, suffix, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,6 +114,46 @@ def op4(spark, sf_dir):
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
+# --- 8 -----------------------------------------------------------------------
+
+@_query("op8_suffix_dedup", r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 200) AS s FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 99)) AS i FROM d)),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS nth FROM w),
+m AS (SELECT doc_id, i, CASE WHEN lag(i) OVER g IS NULL OR i > lag(i) OVER g + 100 THEN 1 ELSE 0 END AS fresh
+      FROM f WHERE nth > 1 WINDOW g AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b
+      FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM m) GROUP BY doc_id, run),
+k AS (SELECT doc_id, list({'a': a, 'b': b} ORDER BY a) AS runs, sum(b - a)::BIGINT AS n, count(*) AS c FROM r GROUP BY doc_id),
+c AS (SELECT d.doc_id, x, coalesce(n, 0) AS n, coalesce(c, 0) AS c, coalesce([y.a for y in runs], []) || [len(x) // 2] AS stops,
+             [0] || coalesce([y.b for y in runs], []) AS begins FROM d LEFT JOIN k USING (doc_id))
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, n AS n_removed, c AS n_spans,
+       sha256(unhex(list_aggregate([substr(x, 2 * begins[j] + 1, 2 * (stops[j] - begins[j])) for j in range(1, len(stops) + 1)], 'string_agg', ''))) AS kept_sha256
+FROM c
+""")
+def op8(spark, sf_dir):
+    d = suffix.suffix_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", F.size("removed_spans").cast("long").alias("n_spans"),
+                    F.sha2("clean", 256).alias("kept_sha256"))
+
+
+# --- 9 -----------------------------------------------------------------------
+
+@_query("op9_substring_dedup", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS x FROM documents),
+w AS (SELECT doc_id, i, array_to_string(x[i:i + 12], ' ') AS s FROM (SELECT doc_id, x, unnest(range(1, len(x) - 11)) AS i FROM d)),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM w),
+g AS (SELECT DISTINCT doc_id, i + o AS i FROM f, (SELECT unnest(range(0, 13)) AS o) WHERE first < doc_id),
+p AS (SELECT doc_id, unnest(x) AS word, generate_subscripts(x, 1) AS i FROM d),
+k AS (SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.i) AS t FROM p ANTI JOIN g USING (doc_id, i) GROUP BY p.doc_id)
+SELECT d.doc_id, len(x)::BIGINT AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id) USING (doc_id) LEFT JOIN k USING (doc_id)
+""")
+def op9(spark, sf_dir):
+    d = substring.substring_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("clean", 256).alias("kept_sha256"))
+
+
 # --- 10 ----------------------------------------------------------------------
 
 URL_RULES = (urlfilter.Rule("allow", "com", "/"), urlfilter.Rule("block", "example.com", "/en/"),
