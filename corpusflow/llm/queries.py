@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import exact, linededup, minhash, mixing, pieces, quality, substring, suffix, urlfilter
+from corpusflow.llm import exact, linededup, minhash, mixing, pieces, ppm, quality, substring, suffix, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -183,6 +183,14 @@ def op10(spark, sf_dir):
     return urlfilter.url_filter(pages, URL_RULES, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
+# --- 5 -----------------------------------------------------------------------
+
+@_query("op5_ppm_scoring")
+def op5(spark, sf_dir):
+    d = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ppm.ppm_scores(d, ppm.held_out_fifth())
+
+
 # --- 6 -----------------------------------------------------------------------
 
 @_query("op6_minhash_near_dedup", r"""
