@@ -49,16 +49,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.coalesce(F.col(text_col), F.lit(""))
     cut = _copies_cut(docs, text, parts)
 
-    salt = F.lit(0)
-    if cut:
-        pieces = F.create_map(*[F.lit(x) for kv in cut.items() for x in kv])
-        salt = F.coalesce(F.pmod(F.xxhash64(F.lit(1), F.col(id_col)), pieces[F.xxhash64(text)]), F.lit(0)).cast("int")
     tagged = (docs.withColumn("__body", text)
                   .withColumn("__front", F.substring(F.col("__body").cast("binary"), 1, SPLITTER_BYTES))
-                  .withColumn("__hash", F.xxhash64("__body"))
-                  .withColumn("__salt", salt))
-    dealt = tagged.repartitionByRange(parts, "__front", "__hash", "__salt")
-    run = Window.partitionBy("__front", "__hash", "__salt", "__body")
+                  .withColumn("__hash", F.xxhash64("__body")))
+    order = ["__front", "__hash"]
+    if cut:
+        pieces = F.create_map(*[F.lit(x) for kv in cut.items() for x in kv])
+        salt = F.pmod(F.xxhash64(F.lit(1), F.col(id_col)), pieces[F.col("__hash")])
+        tagged = tagged.withColumn("__salt", F.coalesce(salt, F.lit(0)).cast("int"))
+        order.append("__salt")
+    dealt = tagged.repartitionByRange(parts, *order)
+    run = Window.partitionBy(*order, "__body")    # the range partitioning serves: no further shuffle
     first = F.col(id_col).desc_nulls_last() if keep == "largest" else F.col(id_col).asc_nulls_last()
     best = F.max if keep == "largest" else F.min
     out = (dealt.withColumn("__rank", F.row_number().over(run.orderBy(first)))
