@@ -8,6 +8,9 @@ regex over it splits text the way the curation rules expect.
 
 from __future__ import annotations
 
+import re
+from itertools import accumulate
+
 from functools import reduce
 from typing import Iterable, Sequence
 
@@ -89,17 +92,6 @@ def sub_regex_counted(col: Column, pattern: str, repl: str, count: int) -> Colum
     return _sub(col)
 
 
-def sub_regex_changed(c, params: Sequence[dict]) -> list[Column]:
-    """Per-step "did this pattern change the text" flags (T2 counter)."""
-    cur = add_start_end_spaces(c)
-    flags = []
-    for p in params:
-        nxt = _sub_one(cur, p)
-        flags.append((cur != nxt).cast("int"))
-        cur = nxt
-    return flags
-
-
 def count_words(c, alphabet: str | None = None) -> Column:
     """T4: number of words, after optionally deleting characters outside
     ``alphabet``."""
@@ -136,27 +128,12 @@ def make_sentence(c, end_symbol: str = ":", make_uppercase: bool = True) -> Colu
 
 
 def uppercase_after_period(c, punctuation: str = ".!?") -> Column:
-    """Upper-case a character that follows ``<punct><space>``.  Matches
-    are consuming, so in ``"a. b. c"`` both letters change but in ``". . x"``
-    only the first space-run counts (scan semantics)."""
-    @F.pandas_udf("string")
-    def _up(s: pd.Series) -> pd.Series:
-        def fix(x):
-            if x is None:
-                return None
-            out = list(x)
-            i = 0
-            n = len(out)
-            while i < n - 2:
-                if out[i] in punctuation and out[i + 1] == " ":
-                    out[i + 2] = out[i + 2].upper()
-                    i += 3
-                else:
-                    i += 1
-            return "".join(out)
-        return s.map(fix)
-
-    return _up(_c(c))
+    """Upper-case a character that follows ``<punct><space>``.  Matches are
+    consuming: the text is cut into the three-character matches and all other
+    single characters, and only the former are upper-cased."""
+    mark = "[" + "".join("\\" + ch for ch in punctuation) + "]"
+    pieces = F.regexp_extract_all(_c(c), F.lit("(?s)" + mark + " .|."), F.lit(0))
+    return F.array_join(F.transform(pieces, lambda x: F.when(F.length(x) == 3, F.upper(x)).otherwise(x)), "")
 
 
 # Latin look-alikes and their Cyrillic letters, position by position.
@@ -240,8 +217,10 @@ def strip_ascii_punct_lower(c) -> Column:
 
 
 def generation_fallback(generation, text, cer_threshold: float = 10.0,
-                        upper_case_threshold: float = 0.6) -> tuple[Column, Column]:
-    """T13 second half: returns (final text, replaced flag)."""
+                        upper_case_threshold: float = 0.6) -> Column:
+    """T13 second half: struct of the final ``text`` and the ``replaced`` flag.
+    It is one expression over the error rate, so select it into a column and read the
+    fields from there: the distance then runs once a row."""
     from corpusflow.functions.metrics import cer
 
     g = clean_generation(generation)
@@ -255,9 +234,11 @@ def generation_fallback(generation, text, cer_threshold: float = 10.0,
                | (upper / total > upper_case_threshold)
                | (F.length(nt) == 0)
                | (cer(nt, ng) > cer_threshold))
-    out = F.when(replace, t).otherwise(g)
-    stripped = F.regexp_replace(out, "^" + WS_RUN + "|" + WS_RUN + "$", "")
-    return stripped, replace.cast("int")
+    def pick(flag: Column) -> Column:
+        out = F.regexp_replace(F.when(flag, t).otherwise(g), "^" + WS_RUN + "|" + WS_RUN + "$", "")
+        return F.struct(out.alias("text"), flag.cast("int").alias("replaced"))
+
+    return F.transform(F.array(replace), pick)[0]
 
 
 def reconstruct_from_tokens(tokens_sorted: Column, lower_case: bool = False) -> Column:
@@ -270,7 +251,7 @@ def reconstruct_from_tokens(tokens_sorted: Column, lower_case: bool = False) ->
 
 def sentences_by_delimiter(c, delimiter: str = "։") -> Column:
     """Non-empty stripped pieces of the text split on ``delimiter``."""
-    parts = F.split(_c(c), to_java_pattern(__import__("re").escape(delimiter)))
+    parts = F.split(_c(c), to_java_pattern(re.escape(delimiter)))
     parts = F.transform(parts, lambda x: F.regexp_replace(x, "^" + WS_RUN + "|" + WS_RUN + "$", ""))
     return F.filter(parts, lambda x: x != F.lit(""))
 
@@ -294,30 +275,14 @@ def shift_alignment(alignment: Column, offset: Column, digits: int = 3) -> Colum
                        .withField("end", F.bround(w["end"] + offset, digits)))
 
 
-def fold_chain(col: Column, fns) -> Column:
-    return reduce(lambda acc, f: f(acc), fns, col)
-
-
-def _brackets_py(text: str, open_b: str, close_b: str) -> list:
-    depth = 0
-    buf = []
-    out = []
-    for ch in text:
-        if ch == open_b:
-            if depth > 0:
-                buf.append(ch)
-            depth += 1
-        elif ch == close_b:
-            depth -= 1
-            if depth == 0:
-                if buf:
-                    out.append("".join(buf))
-                    buf = []
-            elif depth > 0:
-                buf.append(ch)
-        elif depth > 0:
-            buf.append(ch)
-    return out
+def _outermost(text: str, open_b: str, close_b: str) -> list[str]:
+    """Non-empty texts between a bracket that lifts the depth to 1 and the next
+    one that brings it back to 0; the depth is a running sum over the brackets."""
+    marks = [(m.start(), 1 if m.group() == open_b else -1) for m in re.finditer(f"[{re.escape(open_b + close_b)}]", text)]
+    depth = list(accumulate(step for _, step in marks))
+    begins = [at + 1 for (at, step), d in zip(marks, depth) if step == 1 and d == 1]
+    ends = [at for (at, step), d in zip(marks, depth) if step == -1 and d == 0]
+    return [text[a:b] for a, b in zip(begins, ends) if b > a]
 
 
 def extract_from_brackets(c, brackets: Sequence[str]) -> Column:
@@ -329,6 +294,6 @@ def extract_from_brackets(c, brackets: Sequence[str]) -> Column:
 
     @F.pandas_udf("array<string>")
     def _ext(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else [t for o, cl in pairs for t in _brackets_py(x, o, cl)])
+        return s.map(lambda x: None if x is None else [t for o, cl in pairs for t in _outermost(x, o, cl)])
 
     return _ext(_c(c))

@@ -97,8 +97,8 @@ def bootstrap_ci(df: DataFrame, metric_cols: Sequence[str], key: str = SEQ, num_
     k = len(metric_cols)
     src = df.select(F.xxhash64(F.lit(seed), F.col(key)).alias("_h"),
                     *[F.col(c).cast("double").alias(f"_m{i}") for i, c in enumerate(metric_cols)])
-    out_schema = T.StructType([T.StructField("w", T.ArrayType(T.DoubleType())),
-                               T.StructField("s", T.ArrayType(T.ArrayType(T.DoubleType())))])
+    out_schema = T.StructType([T.StructField("b", T.IntegerType()), T.StructField("w", T.DoubleType()),
+                               *[T.StructField(f"s{i}", T.DoubleType()) for i in range(k)]])
 
     def partial(it):
         w_sum = np.zeros(B)
@@ -110,17 +110,11 @@ def bootstrap_ci(df: DataFrame, metric_cols: Sequence[str], key: str = SEQ, num_
             w_sum += w.sum(axis=0)
             for i in range(k):
                 s_sum[i] += pdf[f"_m{i}"].to_numpy() @ w
-        yield pd.DataFrame({"w": [w_sum.tolist()], "s": [s_sum.tolist()]})
-
-    parts = src.mapInPandas(partial, out_schema)
-    total = parts.agg(
-        F.aggregate(F.collect_list("w"), F.array_repeat(F.lit(0.0), B),
-                    lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b)).alias("w"),
-        *[F.aggregate(F.collect_list(F.col("s")[i]), F.array_repeat(F.lit(0.0), B),
-                      lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b)).alias(f"s{i}")
-          for i in range(k)])
-    reps = total.select(F.posexplode(F.arrays_zip("w", *[f"s{i}" for i in range(k)])).alias("b", "z"))
-    reps = reps.select("b", *[(F.col("z")[f"s{i}"] / F.col("z.w")).alias(f"mean{i}") for i in range(k)])
+        yield pd.DataFrame({"b": np.arange(B), "w": w_sum} | {f"s{i}": s_sum[i] for i in range(k)})
+
+    # one row for each task and replicate, added up in the shuffle
+    total = src.mapInPandas(partial, out_schema).groupBy("b").agg(F.sum("w").alias("w"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(k)])
+    reps = total.select("b", *[(F.col(f"s{i}") / F.col("w")).alias(f"mean{i}") for i in range(k)])
     lo, hi = ci_lower / 100.0, ci_upper / 100.0
     rows = [reps.select(F.lit(metric_cols[i]).alias("system"), F.lit(None).cast("string").alias("versus"),
                         F.col(f"mean{i}").alias("v")) for i in range(k)]

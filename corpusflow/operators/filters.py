@@ -112,41 +112,6 @@ def non_alphabet_counts(df: DataFrame, alphabet: str, text_key: str = "text") ->
               .groupBy("character").agg(F.count("*").alias("n")))
 
 
-def drop_asr_error_beginning_end(df: DataFrame, beginning_error_char_threshold: int,
-                                 end_error_char_threshold: int, text_key: str = "text",
-                                 pred_text_key: str = "pred_text") -> DataFrame:
-    """F7 on the grouped word diff: the first (last) chunk drops the row when
-    it is a pure insertion/deletion longer than the threshold, or a
-    substitution whose lengths differ by more than it."""
-    d = M.word_diff(F.col(text_key), F.col(pred_text_key))
-
-    def bad(chunk: Column, thr: int) -> Column:
-        pure = F.length(F.when(chunk["op"] == -1, chunk["del"]).otherwise(chunk["ins"])) > thr
-        sub = F.abs(F.length(chunk["del"]) - F.length(chunk["ins"])) > thr
-        return (F.when(chunk["op"].isin(-1, 1), pure).when(chunk["op"] == 2, sub).otherwise(F.lit(False)))
-
-    return (df.withColumn("_d", d)
-              .filter(~((F.size("_d") > 0)
-                        & (bad(F.element_at("_d", 1), beginning_error_char_threshold)
-                           | bad(F.element_at("_d", -1), end_error_char_threshold))))
-              .drop("_d"))
-
-
-def drop_asr_error(df: DataFrame, consecutive_words_threshold: int, text_key: str = "text",
-                   pred_text_key: str = "pred_text") -> DataFrame:
-    """F8: drop when a non-equal diff chunk spans at least N words."""
-    d = M.word_diff(F.col(text_key), F.col(pred_text_key))
-
-    def long_chunk(x):
-        n_del = F.size(TX.words(x["del"]))
-        n_ins = F.size(TX.words(x["ins"]))
-        return (x["op"] != 0) & (((x["op"] == -1) & (n_del >= consecutive_words_threshold))
-                                 | ((x["op"] == 1) & (n_ins >= consecutive_words_threshold))
-                                 | ((x["op"] == 2) & ((n_del >= consecutive_words_threshold)
-                                                      | (n_ins >= consecutive_words_threshold))))
-    return df.filter(~F.exists(d, long_chunk))
-
-
 def _metric_filter(df: DataFrame, metric: Column, keep, out_col: str | None) -> DataFrame:
     # the metric is materialised once as a column, then filtered on
     col = out_col or "_metric"
@@ -177,19 +142,6 @@ def drop_on_attribute(df: DataFrame, key: str, drop_if_false: bool = False) -> D
     return df.filter(F.col(key).eqNullSafe(F.lit(drop_if_false)))
 
 
-def drop_if_substring_in_insertion(df: DataFrame, substrings_in_insertion: Sequence[str],
-                                   text_key: str = "text", pred_text_key: str = "pred_text") -> DataFrame:
-    """drop when a pure insertion chunk contains one of the substrings.
-    The cheap ``contains`` test on the prediction runs first so the diff is
-    only computed for candidate rows."""
-    pred = F.col(pred_text_key)
-    cand = reduce(lambda a, b: a | b, [pred.contains(s) for s in substrings_in_insertion])
-    d = M.word_diff(F.col(text_key), pred)
-    hit = F.exists(d, lambda x: (x["op"] == 1) & reduce(lambda a, b: a | b,
-                                                          [x["ins"].contains(s) for s in substrings_in_insertion]))
-    return df.filter(~(cand & F.coalesce(hit, F.lit(False))))
-
-
 def drop_repeated_fields(df: DataFrame, others: Sequence[DataFrame], text_key: str = "text",
                          punctuations: str | None = None, other_text_key: str | None = None) -> DataFrame:
     """Anti-join on the (optionally punctuation-free) text seen in

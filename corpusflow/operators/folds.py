@@ -151,25 +151,32 @@ def gap_segments(df: DataFrame, recording: str, start: str, end: str, audio_dura
     return segs.unionByName(pieces)
 
 
-# Abbreviations after which a period does not end a sentence.
-SENTENCE_ABBREVIATIONS = ["Mr", "Mrs", "Ms", "Dr", "Prof", "Inc", "Ltd", "Co", "Corp", "St", "Jr", "Sr",
-                          "vs", "etc", "e.g", "i.e", "U.S", "U.K"]
+# Abbreviations after which a period does not end a sentence (any case).
+SENTENCE_ABBREVIATIONS = (
+    "mr mrs ms dr prof sr jr vs etc inc corp ltd co st ave blvd rd ln ct pl sq ft in cm mm kg lb oz pt qt gal mph "
+    "rpm vol no pg pp ch sec min hr hrs am pm est pst cst mst utc gmt jan feb mar apr may jun jul aug sep oct nov dec "
+    "mon tue wed thu fri sat sun dept div mgr dir pres vp ceo cfo cto coo evp svp avp").split()
+# What Python's float() accepts.
+_NUMBER = r"(?i)^[+-]?(inf|infinity|nan|([0-9](_?[0-9])*\.?([0-9](_?[0-9])*)?|\.[0-9](_?[0-9])*)(e[+-]?[0-9](_?[0-9])*)?)$"
+
+
+def sentence_end(word: Column, next_word: Column) -> Column:
+    """W10 rule: ``!`` or ``?`` always ends a sentence; a period does unless the word
+    is a number or an abbreviation, and then only before an upper-case letter or at
+    the end."""
+    stem = F.regexp_replace(word, r"\.$", "")
+    period = word.endswith(".") & ~stem.rlike(_NUMBER) & ~F.lower(stem).isin(SENTENCE_ABBREVIATIONS)
+    upper = F.when(next_word.isNull() | (next_word == ""), F.lit(True)).otherwise(next_word.rlike(r"^\p{IsUppercase}"))
+    return word.endswith("!") | word.endswith("?") | (period & upper)
 
 
 def sentence_segments(df: DataFrame, recording: str, order: str, word: str, start: str, end: str) -> DataFrame:
-    """Words as rows -> sentences.  A sentence ends at a word ending in
-    ``!`` or ``?``, or in ``.`` unless the word is a number or a known
-    abbreviation, when the next word starts upper-case (or there is no next
-    word).  Output: text, start, end, duration (3 places)."""
-    blocks = ordered_blocks(df, [recording, order])
+    """Words as rows -> sentences by :func:`sentence_end`.  Output: text,
+    start, end, duration (3 places)."""
+    blocks = ordered_blocks(df.select(recording, order, word, start, end), [recording, order])
     w = F.col(word)
-    b = blocks.withColumn("_rev_pos", -F.col(POS)).withColumn("_rev_pid", -F.col(PID))
-    # next word = previous row in reverse order
-    nxt = _next_value(b, recording, word)
-    stem = F.regexp_replace(w, r"\.$", "")
-    period_end = w.endswith(".") & ~stem.rlike(r"^[0-9][0-9.,]*$") & ~stem.isin(SENTENCE_ABBREVIATIONS)
-    ends = w.endswith("!") | w.endswith("?") | period_end
-    boundary = ends & (F.col("_next").isNull() | F.col("_next").rlike(r"^\p{Lu}"))
+    nxt = _next_value(blocks, recording, word)
+    boundary = sentence_end(w, F.col("_next"))
     nb = nxt.withColumn("_bnd", boundary.cast("long"))
     nb = blocked_cumsum(nb, "_bnd", "_sent", [recording], inclusive=False)
     key = F.struct(F.col(PID), F.col(POS))
@@ -194,7 +201,7 @@ def _next_value(blocks: DataFrame, segment: str, value: str) -> DataFrame:
               .withColumn("_last", F.row_number().over(w.orderBy(F.col(POS).desc())) == 1)
     j = t.join(carry, keys)
     return j.withColumn("_next", F.when(F.col("_last"), F.col("_carry")).otherwise(F.col("_lead"))) \
-            .drop("_lead", "_last", "_carry", "_rev_pos", "_rev_pid")
+            .drop("_lead", "_last", "_carry")
 
 
 def speaker_turns(df: DataFrame, session: str, order: str, speaker: str, text: str) -> DataFrame:

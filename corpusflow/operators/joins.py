@@ -84,32 +84,41 @@ def interval_pairs(left: DataFrame, right: DataFrame, session: str, l_start: str
 
 
 def first_overlapping(left: DataFrame, right: DataFrame, session: str, start: str, duration: str,
-                      min_overlap: float = 0.5, bucket_width: float = 30.0, tolerance: float = 0.0,
-                      right_order: Sequence[str] = (SEQ,), right_prefix: str = "r_") -> DataFrame:
-    """For each left row, the first right row (by ``right_order``)
-    of the same session whose overlap with the (tolerance-widened) left
-    interval exceeds ``min_overlap`` of the shorter one.  Left rows without a
-    partner keep NULL right columns."""
-    lkey = "_lk"
-    l2 = left.withColumn(lkey, F.monotonically_increasing_id()) \
-             .withColumn("_ls", F.col(start)).withColumn("_le", F.col(start) + F.col(duration))
-    r2 = right.select(*[F.col(c).alias(right_prefix + c) for c in right.columns])
-    rs, rd = right_prefix + start, right_prefix + duration
-    r2 = r2.withColumn("_rs", F.col(rs)).withColumn("_re", F.col(rs) + F.col(rd))
-    if right_prefix != "r_":
-        r2 = r2.withColumnRenamed(right_prefix + session, "r_" + session)
-    pairs = interval_pairs(l2.select(lkey, session, "_ls", "_le"), r2, session, "_ls", "_le", "_rs", "_re",
-                           bucket_width, tolerance)
-    ratio = overlap_ratio(F.col("_ls") - tolerance, F.col("_le") + tolerance, F.col("_rs"), F.col("_re"))
-    good = pairs.filter(ratio > min_overlap)
-    rcols = [c for c in r2.columns if c not in ("_rs", "_re")]
-    order = [F.col(right_prefix + o) for o in right_order]
-    packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
-                      *[F.col(c) for c in rcols])
-    best = good.groupBy(lkey).agg(F.min(packed).alias("_best"))
-    out = l2.join(best, lkey, "left")
+                      left_key: Sequence[str], right_key: Sequence[str], min_overlap: float = 0.5,
+                      bucket_width: float = 30.0, tolerance: float = 0.0, share_of: str = "shorter",
+                      right_order: Sequence[str] | None = None, right_prefix: str = "r_") -> DataFrame:
+    """For each left row the first right row, by ``right_order`` and then
+    ``right_key``, of the same session whose overlap with the left interval,
+    widened by ``tolerance``, exceeds ``min_overlap``.  ``share_of``: the overlap
+    is a share of the "shorter" interval (J3) or of the "left" duration, not
+    widened (J5).  Left rows without a partner keep NULL right columns.
+
+    Only keys and times are spread over time buckets; the partner's columns are
+    fetched by its key afterwards.  The keys identify rows; nothing depends on
+    how the frames are partitioned."""
+    lk = {f"_l{i}": F.col(c) for i, c in enumerate(left_key)}
+    rk = {f"_r{i}": F.col(c) for i, c in enumerate(right_key)}
+    ro = {f"_o{i}": F.col(c) for i, c in enumerate(right_order or ())}
+    lnarrow = left.select(*[v.alias(k) for k, v in lk.items()], F.col(session).alias("_s"),
+                          F.col(start).alias("_ls"), (F.col(start) + F.col(duration)).alias("_le"),
+                          F.col(duration).alias("_ld"))
+    rnarrow = right.select(*[v.alias(k) for k, v in (ro | rk).items()], F.col(session).alias("r__s"),
+                           F.col(start).alias("_rs"), (F.col(start) + F.col(duration)).alias("_re"))
+    pairs = interval_pairs(lnarrow, rnarrow, "_s", "_ls", "_le", "_rs", "_re", bucket_width, tolerance)
+    ls, le = F.col("_ls") - tolerance, F.col("_le") + tolerance
+    if share_of == "left":
+        ratio = (F.least(le, F.col("_re")) - F.greatest(ls, F.col("_rs"))) / F.col("_ld")
+    else:
+        ratio = overlap_ratio(ls, le, F.col("_rs"), F.col("_re"))
+    best = (pairs.filter(ratio > min_overlap).groupBy(*lk)
+                 .agg(F.min(F.struct(*ro, *rk)).alias("_best"))
+                 .select(*lk, *[F.col("_best")[k].alias(k) for k in rk]))
+    found = left.join(best, reduce(lambda a, b: a & b, [v.eqNullSafe(F.col(k)) for k, v in lk.items()]), "left")
+    payload = right.select(*[F.col(c).alias(right_prefix + c) for c in right.columns])
+    same = reduce(lambda a, b: a & b, [F.col(f"_r{i}") == F.col(right_prefix + c) for i, c in enumerate(right_key)])
+    out = found.join(payload, same, "left")
     return out.select(*[F.col(c) for c in left.columns],
-                      *[F.col("_best")[c].alias(c) for c in rcols if c != "r_" + session])
+                      *[F.col(right_prefix + c) for c in right.columns if c != session])
 
 
 def exact_pair(left: DataFrame, right: DataFrame, session: str = "session_id", offset: str = "offset",
@@ -124,9 +133,12 @@ def exact_pair(left: DataFrame, right: DataFrame, session: str = "session_id", o
 
 
 def metadata_lookup(df: DataFrame, meta: DataFrame, keys: Sequence[str], value: str, out: str,
-                    default: Column | None = None) -> DataFrame:
-    """``(keys) -> value`` lookup with a default (the id itself)."""
-    m = meta.select(*keys, F.col(value).alias("_mv")).dropDuplicates(list(keys))
+                    default: Column | None = None, order: Sequence[Column | str] | None = None) -> DataFrame:
+    """``(keys) -> value`` lookup with a default (the id itself).  Of several
+    rows with one key the last by ``order`` counts (by the value where no order is
+    given), as when a table is read into a map row by row."""
+    by = F.struct(*[F.col(o) if isinstance(o, str) else o for o in (order or ())], F.col(value))
+    m = meta.groupBy(*keys).agg(F.max_by(F.col(value), by).alias("_mv"))
     res = df.join(m, list(keys), "left")
     return res.withColumn(out, F.coalesce(F.col("_mv"), default if default is not None else F.lit(None))) \
               .drop("_mv")
@@ -167,15 +179,15 @@ def upsert_predictions(base: DataFrame, preds: DataFrame, keys: Sequence[str], v
     return out.filter(F.col(path_key).endswith(".wav")) if only_wav else out
 
 
-def reuse_key(path: Column, segment_id: Column, offset: Column) -> Column:
-    return F.concat_ws("|", path, segment_id.cast("string"), offset.cast("string"))
-
-
 def split_reuse(df: DataFrame, cache: DataFrame, key_cols: Sequence[str], result_cols: Sequence[str],
-                ok_col: str = "ok") -> tuple[DataFrame, DataFrame]:
+                ok_col: str = "ok", order: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows whose key has a successful cached result (reused, result
-    columns taken from the cache) and rows still to be scored."""
-    good = cache.filter(F.col(ok_col)).select(*key_cols, *result_cols).dropDuplicates(list(key_cols))
+    columns taken from the cache) and rows still to be scored.  Of several cached
+    results the last by ``order`` counts (by the results where no order is given)."""
+    packed = F.struct(*[F.col(c).alias(c) for c in result_cols])
+    by = F.struct(*[F.col(o) for o in (order or ())], *[F.col(c) for c in result_cols])
+    good = (cache.filter(F.col(ok_col)).groupBy(*key_cols).agg(F.max_by(packed, by).alias("_p"))
+                 .select(*key_cols, *[F.col("_p")[c].alias(c) for c in result_cols]))
     reused = df.drop(*[c for c in result_cols if c in df.columns]).join(good, list(key_cols), "inner")
     todo = df.join(good.select(*key_cols), list(key_cols), "left_anti")
     return reused, todo
@@ -196,11 +208,16 @@ def turn_overlaps(turn_start: Column, turn_end: Column, overlaps: Column, parity
     return F.exists(overlaps, hit)
 
 
+#: Rows of a character-set table up to which it is broadcast; beyond it the join shuffles.
+SMALL_CHARSETS = 10_000
+
+
 def language_charsets(df: DataFrame, charsets: DataFrame, lang_col: str = "lang") -> DataFrame:
-    """Language -> character set.  The set table has one row per
-    language (bounded), so it is broadcast; a language without a set fails
-    the job, as in the rule."""
-    j = df.join(F.broadcast(charsets), lang_col, "left")
+    """Language -> character set.  The table is broadcast when it has one row
+    for each of a bounded number of languages; a language without a set fails the
+    job, as in the rule."""
+    small = charsets.limit(SMALL_CHARSETS + 1).count() <= SMALL_CHARSETS
+    j = df.join(F.broadcast(charsets) if small else charsets, lang_col, "left")
     return j.withColumn("charset", F.when(F.col("charset").isNull(),
                                           F.raise_error(F.concat(F.lit("no character set for language "),
                                                                  F.col(lang_col))))

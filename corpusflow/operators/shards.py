@@ -10,18 +10,12 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusflow.operators.scan import with_global_index
 from corpusflow.sources.manifest import SEQ
 
-# Above this many rows a "first n" is answered by the distributed index
-# instead of a single top-k task.
-TOPK_MAX = 100_000
-
 
 def sort_manifest(df: DataFrame, attribute_sort_by: str, descending: bool = True) -> DataFrame:
     """L1: stable sort (ties keep file order).  NULL keys are an error, as
@@ -41,8 +35,6 @@ def limit_entries(df: DataFrame, max_entries: int, order: Sequence | None = None
     if max_entries <= 0:
         return df
     order = list(order or [SEQ])
-    if max_entries <= TOPK_MAX:
-        return df.orderBy(*order).limit(max_entries)
     return with_global_index(df, order, "_i").filter(F.col("_i") < max_entries).drop("_i")
 
 
@@ -65,18 +57,22 @@ def sample_fraction(df: DataFrame, part: float, random_state: int = 100, key: st
     return idx.filter(F.col("_i") < k).drop("_i")
 
 
-def topk_labels(scores: Column, k: int = 1, prefix: str = "label") -> dict[str, Column]:
-    """From ``array<struct<label, prob>>`` the k best as numbered
-    columns (``label``, ``label_prob`` for k=1)."""
-    ranked = F.array_sort(scores, lambda a, b: F.when(a["prob"] > b["prob"], -1)
-                          .when(a["prob"] < b["prob"], 1).otherwise(0))
+def topk_labels(scores: Column, k: int = 1, label: str = "label", prob: str = "label_prob",
+                n_labels: int | None = None) -> dict[str, Column]:
+    """From ``array<struct<label, prob>>`` the k best as columns: ``label``
+    and ``label_prob`` for k=1, else ``label_1``, ``label_prob_1``, ... in order.
+    ``k=-1`` takes all ``n_labels`` labels of the model.  Equal probabilities keep
+    the order of their labels."""
+    if k == -1:
+        if n_labels is None:
+            raise ValueError("k=-1 needs n_labels, the number of labels of the model")
+        k = n_labels
+    ranked = F.array_sort(scores, lambda a, b: F.when(a["prob"] > b["prob"], -1).when(a["prob"] < b["prob"], 1)
+                          .when(a["label"] < b["label"], -1).when(a["label"] > b["label"], 1).otherwise(0))
     if k == 1:
-        return {prefix: ranked[0]["label"], f"{prefix}_prob": ranked[0]["prob"]}
-    out = {}
-    for i in range(k):
-        out[f"{prefix}_{i + 1}"] = ranked[i]["label"]
-        out[f"{prefix}_{i + 1}_prob"] = ranked[i]["prob"]
-    return out
+        return {label: F.get(ranked, F.lit(0))["label"], prob: F.get(ranked, F.lit(0))["prob"]}
+    return {f"{name}_{i + 1}": F.get(ranked, F.lit(i))[field]
+            for i in range(k) for name, field in ((label, "label"), (prob, "prob"))}
 
 
 def shard_equal_chunks(df: DataFrame, num_shards: int, shuffle: bool = True, shuffle_seed: int = 42,
@@ -120,40 +116,6 @@ def duration_bucket(duration: Column, min_duration: float, max_duration: float,
              .when((duration >= min_duration) & (duration < last_edge), F.lit(buckets_num - 1)))
 
 
-def least_loaded_sessions(df: DataFrame, num_shards: int, session_key: str = "session_id",
-                          duration_key: str = "duration", seed: int = 42,
-                          sessions_per_group: int = 200_000, out: str = "shard_id") -> DataFrame:
-    """Every session goes whole to the shard with the least total
-    duration so far, sessions taken in a seeded hash order.
-
-    The greedy runs on one row per session.  Sessions are first spread over
-    hash groups of at most ``sessions_per_group`` sessions; each group runs
-    the greedy on its own, with its shard numbering rotated by the group
-    number so that the groups' small imbalances do not pile up on shard 0.
-    """
-    totals = df.groupBy(session_key).agg(F.sum(F.coalesce(F.col(duration_key), F.lit(0.0))).alias("_tot"))
-    n_sessions = totals.count()
-    groups = max(1, math.ceil(n_sessions / sessions_per_group))
-    keyed = totals.withColumn("_h", hash_order(seed, F.col(session_key).cast("string"))) \
-                  .withColumn("_g", F.pmod(F.col("_h"), F.lit(groups)))
-    schema = T.StructType([T.StructField(session_key, totals.schema[session_key].dataType),
-                           T.StructField(out, T.IntegerType())])
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_h", session_key], kind="mergesort")
-        load = [0.0] * num_shards
-        g = int(pdf["_g"].iloc[0]) if len(pdf) else 0
-        assign = []
-        for tot in pdf["_tot"].tolist():
-            j = min(range(num_shards), key=lambda s: (load[s], s))
-            load[j] += tot
-            assign.append((j + g) % num_shards)
-        return pd.DataFrame({session_key: pdf[session_key].values, out: assign})
-
-    plan = keyed.groupBy("_g").applyInPandas(greedy, schema)
-    return df.join(plan, session_key)
-
-
 def round_robin(df: DataFrame, num_shards: int, seed: int = 42, key: str = SEQ, out: str = "shard_id") -> DataFrame:
     """D5 (sessions may split): shuffled rows dealt round-robin."""
     idx = with_global_index(df, [hash_order(seed, F.col(key)), F.col(key)], "_i")
@@ -179,21 +141,31 @@ def append_shards(base: DataFrame, new: DataFrame, num_shards: int, shuffle: boo
 
 
 def sample_names(df: DataFrame, shard_col: str = "shard_id", path_key: str = "audio_filepath",
-                 offset_key: str = "offset", duration_key: str = "duration", order: str = SEQ) -> DataFrame:
-    """In-shard member names: path squashed (``/`` and ``.`` -> ``_``),
-    with ``-sub{n}`` for the n-th repeat of a path inside a shard (n >= 1),
-    and ``offset`` renamed ``source_audio_offset``."""
-    squashed = F.regexp_replace(F.regexp_replace(F.col(path_key), "^/", ""), "[/.]", "_")
-    w = Window.partitionBy(shard_col, path_key).orderBy(order)
-    rep = F.row_number().over(w) - 1
-    base = squashed
-    if offset_key in df.columns:
-        base = F.concat(squashed, F.lit("_"), F.format_string("%s_%s", F.col(offset_key), F.col(duration_key)))
-    name = F.when(rep == 0, base).otherwise(F.concat(base, F.lit("-sub"), rep.cast("string")))
-    out = df.withColumn("tar_member", F.concat(name, F.lit(".wav")))
+                 offset_key: str = "offset", duration_key: str = "duration", order: Sequence[str] = (SEQ,)) -> DataFrame:
+    """Names inside a shard, in ``path_key`` (the old path goes to
+    ``abs_audio_filepath``).  ``/`` and ``.`` of the path become ``_``, its extension
+    stays.  Without an offset column the n-th repeat of a name in its shard gets
+    ``-sub{n}`` (n >= 1); with one the name carries offset and duration, dots as
+    ``_`` and a whole number with ``_0``, and the offset becomes ``source_audio_offset``."""
+    path = F.col(path_key)
+    ext = F.regexp_extract(path, r"[^/.][^/]*?(\.[^./]*)$", 1)
+    base = F.translate(F.substring(path, F.lit(1), F.length(path) - F.length(ext)), "/.", "__")
+
+    def number(c: str) -> Column:
+        t = F.col(c).cast("string")
+        parts = F.split(t, r"\.")
+        bad = F.raise_error(F.concat(F.lit(f"{c} is not a number: "), t))
+        return F.when(F.size(parts) == 1, F.concat(t, F.lit("_0"))).when(F.size(parts) == 2, F.array_join(parts, "_")).otherwise(bad)
+
     if offset_key in df.columns:
-        out = out.withColumnRenamed(offset_key, "source_audio_offset")
-    return out
+        name = F.concat(base, F.lit("_"), number(offset_key), F.lit("_"), number(duration_key), ext)
+        out = df.withColumn("_name", name).withColumnRenamed(offset_key, "source_audio_offset")
+    else:
+        named = df.withColumn("_base", base).withColumn("_ext", ext)
+        nth = F.row_number().over(Window.partitionBy(shard_col, "_base", "_ext").orderBy(*order)) - 1
+        sub = F.when(nth > 0, F.concat(F.lit("-sub"), nth.cast("string"))).otherwise(F.lit(""))
+        out = named.withColumn("_name", F.concat("_base", sub, "_ext")).drop("_base", "_ext")
+    return out.withColumn("abs_audio_filepath", path).withColumn(path_key, F.col("_name")).drop("_name")
 
 
 def split_fixed_duration(df: DataFrame, segment_duration: float, drop_last: bool = True,
@@ -210,20 +182,3 @@ def split_fixed_duration(df: DataFrame, segment_duration: float, drop_last: bool
              .withColumn(duration_key, F.when(F.col("_i") < full, F.lit(segment_duration)).otherwise(rem))
              .drop("_i"))
     return out.drop("text") if drop_text and "text" in df.columns else out
-
-
-def shard_by_size(df: DataFrame, max_shard_bytes: float, duration_key: str = "duration",
-                  bytes_per_second: float = 32000.0, order: Sequence | None = None,
-                  out: str = "shard_id") -> DataFrame:
-    """D2 (prefix-sum form): row size = duration * bytes_per_second; a row
-    goes to shard ``floor(bytes before it / max_shard_bytes)`` in ``order``.
-    The rule's greedy fill ("start a new shard when the next row does not
-    fit") is sequential over the whole dataset; this form needs only the
-    distributed prefix sum and gives shards of at most one row over the
-    limit."""
-    from corpusflow.operators.scan import with_prefix_sum
-    size = F.col(duration_key) * F.lit(bytes_per_second)
-    cum = with_prefix_sum(df.withColumn("_size", size), list(order or [SEQ]), "_size", "_before",
-                          inclusive=False)
-    return cum.withColumn(out, F.floor(F.col("_before") / F.lit(max_shard_bytes)).cast("int")) \
-              .drop("_size", "_before")

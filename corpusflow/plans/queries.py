@@ -20,7 +20,6 @@ from corpusflow.operators import filters as FL
 from corpusflow.operators import shards as SH
 from corpusflow.plans import flagship as FS
 from corpusflow.plans.sqlbits import WS, doc_manifest, n_words, norm, strip, words
-from corpusflow.session import spread
 from corpusflow.sources.manifest import SEQ, documents_manifest, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -349,7 +348,8 @@ _PRED_SQL = f"replace(replace({_ASCII_SQL}, 'th', 't'), 'e', 'a')"
 
 
 def _asr_pairs(spark, sf):
-    d = spread(table(spark, sf, "documents"))
+    # Python distances dominate: the two columns are dealt out for them
+    d = table(spark, sf, "documents").select("doc_id", "text").repartition("doc_id")
     return d.select("doc_id", _ascii(F.col("text")).alias("text")).withColumn("pred_text", _pred(F.col("text")))
 
 
@@ -516,7 +516,8 @@ def q_interval_pair(spark, sf):
     t = _turns(spark, sf)
     u = t.filter(F.col("role") == "user")
     a = t.filter(F.col("role") != "user")
-    out = first_overlapping(u, a, "conv_id", "offset", "duration", min_overlap=0.5, bucket_width=16.0)
+    out = first_overlapping(u, a, "conv_id", "offset", "duration", ["conv_id", "turn"], ["conv_id", "turn"],
+                            min_overlap=0.5, bucket_width=16.0)
     return out.select("conv_id", "turn", "r_turn")
 
 
@@ -524,19 +525,18 @@ def q_interval_pair(spark, sf):
 WITH t AS ({_TURNS_SQL}),
 u AS (SELECT * FROM t WHERE role = 'user'), a AS (SELECT * FROM t WHERE role <> 'user'),
 p AS (SELECT u.conv_id, u.turn, a.turn AS r_turn,
-             (least(u."offset" + u.duration + 0.5, a."offset" + a.duration) - greatest(u."offset" - 0.5, a."offset")) AS ov,
-             least(u.duration + 1.0, a.duration) AS mn
-      FROM u JOIN a ON u.conv_id = a.conv_id),
-g AS (SELECT conv_id, turn, min(r_turn) AS r_turn FROM p WHERE ov > 0 AND mn > 0 AND ov / mn > 0.5
-      GROUP BY conv_id, turn)
-SELECT u.conv_id, u.turn, g.r_turn FROM u LEFT JOIN g USING (conv_id, turn)""")
+             row_number() OVER (PARTITION BY u.conv_id, u.turn ORDER BY a."offset", a.turn) AS nth
+      FROM u JOIN a ON u.conv_id = a.conv_id
+       AND least(u."offset" + u.duration + 0.5, a."offset" + a.duration) > greatest(u."offset" - 0.5, a."offset")
+       AND (least(u."offset" + u.duration + 0.5, a."offset" + a.duration) - greatest(u."offset" - 0.5, a."offset")) / u.duration > 0.5)
+SELECT u.conv_id, u.turn, p.r_turn FROM u LEFT JOIN p ON p.conv_id = u.conv_id AND p.turn = u.turn AND p.nth = 1""")
 def q_bleeding_match(spark, sf):
     from corpusflow.operators.joins import first_overlapping
     t = _turns(spark, sf)
     u = t.filter(F.col("role") == "user")
     a = t.filter(F.col("role") != "user")
-    out = first_overlapping(u, a, "conv_id", "offset", "duration", min_overlap=0.5, bucket_width=16.0,
-                            tolerance=0.5)
+    out = first_overlapping(u, a, "conv_id", "offset", "duration", ["conv_id", "turn"], ["conv_id", "turn"],
+                            min_overlap=0.5, bucket_width=16.0, tolerance=0.5, share_of="left", right_order=["offset"])
     return out.select("conv_id", "turn", "r_turn")
 
 
@@ -753,22 +753,22 @@ def q_gap_fill(spark, sf):
 
 
 def _word_rows(spark, sf):
-    d = spread(table(spark, sf, "documents"))
-    w = d.select("doc_id", F.posexplode(TX.words(F.col("text"))).alias("pos", "word"))
+    w = table(spark, sf, "documents").select("doc_id", F.posexplode(TX.words(F.col("text"))).alias("pos", "word"))
     return w.withColumn("start", F.col("pos") * 0.5).withColumn("end", F.col("pos") * 0.5 + 0.375)
 
 
-_ABBR_SQL = ", ".join(_sqlstr(a) for a in __import__("corpusflow.operators.folds", fromlist=["x"]).SENTENCE_ABBREVIATIONS)
-
-
 @query("sentence_segments", f"""
 WITH w AS (SELECT doc_id, unnest({words('text')}) AS word, generate_subscripts({words('text')}, 1) - 1 AS pos
            FROM documents),
 n AS (SELECT *, lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM w),
-b AS (SELECT *, CASE WHEN (suffix(word, '!') OR suffix(word, '?')
-                          OR (suffix(word, '.') AND NOT regexp_matches(regexp_replace(word, '\\.$', ''), '^[0-9][0-9.,]*$')
-                              AND regexp_replace(word, '\\.$', '') NOT IN ({_ABBR_SQL})))
-                         AND (nxt IS NULL OR regexp_matches(nxt, '^\\p{{Lu}}')) THEN 1 ELSE 0 END AS bnd FROM n),
+b AS (SELECT *, CASE
+        WHEN right(word, 1) IN ('!', '?') THEN 1
+        WHEN right(word, 1) <> '.' THEN 0
+        WHEN TRY_CAST(word[:-2] AS DOUBLE) IS NOT NULL THEN 0
+        WHEN list_contains(string_split('mr mrs ms dr prof sr jr vs etc inc corp ltd co st ave blvd rd ln ct pl sq ft in cm mm kg lb oz pt qt gal mph rpm vol no pg pp ch sec min hr hrs am pm est pst cst mst utc gmt jan feb mar apr may jun jul aug sep oct nov dec mon tue wed thu fri sat sun dept div mgr dir pres vp ceo cfo cto coo evp svp avp', ' '),
+                           lower(word[:-2])) THEN 0
+        WHEN nxt IS NULL THEN 1
+        WHEN regexp_matches(nxt, '^\\p{{Lu}}') THEN 1 ELSE 0 END AS bnd FROM n),
 s AS (SELECT *, coalesce(sum(bnd) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
              AS sentence_id FROM b)
 SELECT doc_id, sentence_id, string_agg(word, ' ' ORDER BY pos) AS text,
@@ -790,14 +790,14 @@ def q_sort_manifest(spark, sf):
 
 @query("limit_entries", "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 100")
 def q_limit(spark, sf):
-    return SH.limit_entries(_docs(spark, sf), 100).select("doc_id", "lang")
+    return SH.limit_entries(_docs(spark, sf).select("doc_id", "lang", SEQ), 100).select("doc_id", "lang")
 
 
 @query("percent_limit", """
 SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn FROM documents)
 WHERE rn <= (SELECT greatest(1, CAST(floor(count(*) * 5 / 100) AS BIGINT)) FROM documents)""")
 def q_percent_limit(spark, sf):
-    return SH.percent_limit(_docs(spark, sf), 5).select("doc_id")
+    return SH.percent_limit(_docs(spark, sf).select("doc_id", SEQ), 5).select("doc_id")
 
 
 @query("sample_fraction")
@@ -845,13 +845,6 @@ def q_duration_buckets(spark, sf):
                      SH.duration_bucket(F.col("l_quantity"), 1.0, 50.0, 4).alias("bucket_id"))
 
 
-@query("least_loaded_sessions")
-def q_least_loaded(spark, sf):
-    c = table(spark, sf, "conversations").select(F.col("conv_id").alias("session_id"), "turn",
-                                                 (F.length("text") / 64.0).alias("duration"))
-    return SH.least_loaded_sessions(c, 4)
-
-
 @query("round_robin_shards")
 def q_round_robin(spark, sf):
     c = table(spark, sf, "conversations").select("conv_id", "turn").withColumn(SEQ, F.struct("conv_id", "turn"))
@@ -1038,10 +1031,11 @@ SELECT doc_id, {strip("CASE WHEN rep THEN text ELSE g END")} AS generation, CAST
 
 @query("llm_cleanup", _llm_sql())
 def q_llm_cleanup(spark, sf):
-    d = spread(table(spark, sf, "documents")).select("doc_id", _ascii(F.col("text")).alias("text"))
+    d = table(spark, sf, "documents").select("doc_id", "text").repartition("doc_id")
+    d = d.select("doc_id", _ascii(F.col("text")).alias("text"))
     d = d.select("doc_id", "text", _gen_col(F.col("text")).alias("generation"))
-    out, rep = TX.generation_fallback(F.col("generation"), F.col("text"), cer_threshold=10.0)
-    return d.select("doc_id", out.alias("generation"), rep.alias("replaced"))
+    r = d.select("doc_id", TX.generation_fallback(F.col("generation"), F.col("text"), cer_threshold=10.0).alias("r"))
+    return r.select("doc_id", F.col("r.text").alias("generation"), F.col("r.replaced").alias("replaced"))
 
 
 # --- diff-driven operators (rows; brute-force tests in tests/) ------------------------------------
@@ -1049,7 +1043,7 @@ def q_llm_cleanup(spark, sf):
 def _asr_pairs_words(spark, sf):
     """Prediction = text with some function words dropped and a filler
     inserted after sentence ends (few, local word edits)."""
-    d = spread(table(spark, sf, "documents"))
+    d = table(spark, sf, "documents").select("doc_id", "text").repartition("doc_id")
     pred = F.regexp_replace(F.regexp_replace(F.col("text"), r" (the|and|of|le|und|el) ", " "), r"\. ", ". um ")
     return d.select("doc_id", "text", pred.alias("pred_text"))
 
@@ -1059,52 +1053,23 @@ def q_wmr_filter(spark, sf):
     return FL.drop_low_word_match_rate(_asr_pairs_words(spark, sf), 90.0, out_col="wmr").select("doc_id", "wmr")
 
 
-@query("asr_begin_end")
-def q_asr_begin_end(spark, sf):
-    return FL.drop_asr_error_beginning_end(_asr_pairs_words(spark, sf), 3, 3).select("doc_id")
-
-
-@query("asr_error")
-def q_asr_error(spark, sf):
-    return FL.drop_asr_error(_asr_pairs_words(spark, sf), 2).select("doc_id")
-
-
-@query("substring_insertion")
-def q_substring_insertion(spark, sf):
-    return FL.drop_if_substring_in_insertion(_asr_pairs_words(spark, sf), ["um "]).select("doc_id")
-
-
-@query("insertion_fix")
-def q_insertion_fix(spark, sf):
-    p = _asr_pairs_words(spark, sf)
-    return p.select("doc_id", M.insertion_fix(F.col("text"), F.col("pred_text"), ["um "]).alias("text"))
-
-
-@query("substitution_fix")
-def q_substitution_fix(spark, sf):
-    p = _asr_pairs_words(spark, sf)
-    pred = F.regexp_replace(F.col("text"), r"\bthe\b", "da")
-    return p.select("doc_id", M.substitution_fix(F.col("text"), pred, {"the ": "da "}).alias("text"))
-
-
 def _caption_rows(spark, sf):
-    """Caption files from conversations: each block of 50 turns of a
-    conversation is one file (bounded array per row)."""
+    """Caption files from conversations: one file with all turns of each."""
     c = table(spark, sf, "conversations")
     seg = F.struct((F.col("turn") * 3.0).alias("start_time"),
                    (F.col("turn") * 3.0 + F.length("text") / 64.0).alias("end_time"), F.col("text"))
-    return c.groupBy("conv_id", F.floor(F.col("turn") / 50).alias("block")) \
+    return c.groupBy("conv_id") \
             .agg(F.array_sort(F.collect_list(F.struct(F.col("turn").alias("k"), seg.alias("s")))).alias("_s")) \
-            .select("conv_id", "block", F.transform("_s", lambda x: x["s"]).alias("segments"))
+            .select("conv_id", F.transform("_s", lambda x: x["s"]).alias("segments"))
 
 
 @query("caption_merge")
 def q_caption_merge(spark, sf):
     from corpusflow.operators.folds import aggregate_caption_segments
     c = _caption_rows(spark, sf)
-    m = c.select("conv_id", "block", F.posexplode(aggregate_caption_segments(F.col("segments"), 20.0))
+    m = c.select("conv_id", F.posexplode(aggregate_caption_segments(F.col("segments"), 20.0))
                  .alias("idx", "seg"))
-    return m.select("conv_id", "block", "idx", "seg.start_time", "seg.end_time", "seg.text",
+    return m.select("conv_id", "idx", "seg.start_time", "seg.end_time", "seg.text",
                     (F.col("seg.end_time") - F.col("seg.start_time")).alias("duration"))
 
 
@@ -1114,7 +1079,7 @@ def q_rttm_cuts(spark, sf):
     c = _caption_rows(spark, sf)
     starts = F.transform("segments", lambda s: s["start_time"])
     dur = F.array_max(F.transform("segments", lambda s: s["end_time"]))
-    return c.select("conv_id", "block", F.explode(rttm_cut_points(starts, dur, 20.0)).alias("cut"))
+    return c.select("conv_id", F.explode(rttm_cut_points(starts, dur, 20.0)).alias("cut"))
 
 
 @query("text_lid")
@@ -1122,7 +1087,7 @@ def q_text_lid(spark, sf):
     """Trigram language id trained on the labelled documents, scored on
     every document."""
     from corpusflow.operators.scoring import score_trigram_lid, train_trigram_lid
-    d = spread(table(spark, sf, "documents")).select("doc_id", "text", "lang")
+    d = table(spark, sf, "documents").select("doc_id", "text", "lang").repartition("doc_id")
     prof = train_trigram_lid(d)
     return score_trigram_lid(d.select("doc_id", "text"), prof, "doc_id").select("doc_id", "label", "label_prob")
 
@@ -1139,5 +1104,5 @@ def q_lid_accuracy(spark, sf):
 def q_vtt_sentences(spark, sf):
     from corpusflow.operators.folds import sentences_from_captions
     c = _caption_rows(spark, sf)
-    return c.select("conv_id", "block", F.posexplode(sentences_from_captions(F.col("segments"), 10.0))
-                    .alias("idx", "s")).select("conv_id", "block", "idx", "s.text", "s.start", "s.end", "s.duration")
+    return c.select("conv_id", F.posexplode(sentences_from_captions(F.col("segments"), 10.0))
+                    .alias("idx", "s")).select("conv_id", "idx", "s.text", "s.start", "s.end", "s.duration")

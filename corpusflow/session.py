@@ -7,9 +7,8 @@ lineage cut below.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,50 +48,25 @@ def get_session(master: str | None = None, app: str = "corpusflow",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts.
+    """Shared folder for lineage cuts: ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``; that value is always
-    used when present.  Only when it is unset (local tests) a private folder
-    is created and registered.
+    Only a session inside one process (``local[n]``, as in tests) may leave it
+    unset and gets a private folder; executors of a cluster could not see one,
+    so there an unset folder is an error.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="corpusflow-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="corpusflow-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return folder
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Used where the reference keeps a named intermediate manifest; survives the
-    loss of executors because the data lives in the shared folder, not in
-    executor memory (``localCheckpoint`` is never used).
-    """
+    """Reliable checkpoint into the shared checkpoint folder; it survives the
+    loss of executors because the data lives there, not in their memory."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder for written tables."""
-    root = checkpoint_root(spark)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
-
-
-def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
-    """Round-robin the rows over the cluster's cores before CPU-heavy text
-    work, but only when the input has fewer partitions than cores (one small
-    file).  Large multi-file inputs are returned as scanned, so nothing is
-    added at scale.
-
-    The spread rows are checkpointed: otherwise Catalyst pushes the
-    (deterministic) filters of the following operators below the
-    round-robin exchange, back into the single scan task."""
-    target = df.sparkSession.sparkContext.defaultParallelism * per_core
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return cut_lineage(df.repartition(target))

@@ -116,10 +116,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def documents_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` table as a speech manifest: a path, the text, a
     duration derived from the text length, the language and ``_seq``."""
-    from corpusflow.session import spread
-    # text work dominates: use every core even when the table is one file
-    d = spread(table(spark, sf_dir, "documents"))
-    return d.select(
+    return table(spark, sf_dir, "documents").select(
         F.concat(F.lit("doc/"), F.col("doc_id").cast("string"), F.lit(".wav")).alias("audio_filepath"),
         "doc_id", "text", "lang", "source",
         doc_duration(F.col("doc_id"), F.col("n_chars")).alias("duration"),

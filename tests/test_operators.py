@@ -18,28 +18,6 @@ def asr(spark, rows):
     return spark.createDataFrame(rows, ["text", "pred_text"])
 
 
-@pytest.mark.parametrize("b,e,kept", [(0, 2, False), (2, 0, False), (2, 2, True)])
-def test_asr_error_beginning_end(spark, b, e, kept):
-    df = asr(spark, [("2", "1 2 3")])
-    assert (FL.drop_asr_error_beginning_end(df, b, e).count() == 1) == kept
-
-
-def test_asr_error_substitution_kept(spark):
-    df = asr(spark, [("sentence with some text here", "sentence with some text her")])
-    assert FL.drop_asr_error_beginning_end(df, 0, 2).count() == 1
-
-
-def test_asr_error_consecutive(spark):
-    df = asr(spark, [("a b c d e", "a x y z e"), ("a b c d e", "a x c d e")])
-    assert FL.drop_asr_error(df, 3).count() == 1
-
-
-def test_substring_in_insertion(spark):
-    df = asr(spark, [("we miss certain words", "we might miss certain words"),
-                     ("we miss certain words", "we mister certain words")])
-    assert FL.drop_if_substring_in_insertion(df, ["might "]).count() == 1
-
-
 def test_thresholds_inclusive(spark):
     df = spark.createDataFrame([("0123456789", 1.0)], ["text", "duration"])
     assert FL.drop_high_low_charrate(df, 9.9, 0).count() == 0
@@ -85,7 +63,7 @@ def test_first_overlapping_vs_bruteforce(spark):
     L = spark.createDataFrame(left, "sess int, id int, st double, du double")
     R = spark.createDataFrame(right, f"sess int, rid int, st double, du double, {SEQ} int")
     got = {(r.sess, r.id): r.r_rid for r in
-           J.first_overlapping(L, R, "sess", "st", "du", bucket_width=7.0).collect()}
+           J.first_overlapping(L, R, "sess", "st", "du", ["sess", "id"], ["sess", SEQ], bucket_width=7.0, right_order=[SEQ]).collect()}
     for s, i, st, du in left:
         best = None
         for s2, rid, st2, du2, seq in right:
@@ -97,90 +75,30 @@ def test_first_overlapping_vs_bruteforce(spark):
         assert got[(s, i)] == (best[1] if best else None)
 
 
-def _rttm_rule(starts, file_duration, thr):
-    # the rule, written out as a plain loop for the test
-    starts = list(starts) + [file_duration]
-    slices = [0]
-    last_slice = last_start = last_duration = 0
-    for start in starts:
-        duration = start - last_slice
-        if duration <= thr:
-            pass
-        elif last_duration < thr:
-            slices.append(last_start)
-            last_slice = last_start
-            last_start = start
-            duration = start - last_slice
-            if duration <= thr:
-                slices.append(start)
-                last_slice = start
-            else:
-                d0 = thr
-                while d0 < duration:
-                    slices.append(last_slice + d0)
-                    d0 += thr
-                    if d0 > duration:
-                        d0 = duration
-                slices.append(last_slice + d0)
-                last_slice = last_slice + d0
-        else:
-            slices.append(start)
-            last_slice = start
-        last_start = start
-        last_duration = duration
-    return sorted(set(slices))
-
-
-def test_rttm_cut_points_vs_rule(spark):
-    rnd = random.Random(11)
-    cases = []
-    for k in range(60):
-        st = sorted(rnd.choice([0, 1, 2, 5, 8]) * 4.0 + rnd.randint(0, 200) for _ in range(rnd.randint(0, 12)))
-        cases.append((k, [float(x) for x in st], float(max(st + [0]) + rnd.randint(0, 90))))
-    df = spark.createDataFrame(cases, "k int, starts array<double>, dur double")
-    got = {r.k: r.cuts for r in df.select("k", W.rttm_cut_points(F.col("starts"), F.col("dur"), 20.0)
-                                          .alias("cuts")).collect()}
-    for k, st, dur in cases:
-        assert [round(x, 6) for x in got[k]] == [round(x, 6) for x in _rttm_rule(st, dur, 20.0)], (st, dur)
-
-
-def _caption_rule(segments, max_duration):
-    agg = []
-    cur = dict(segments[0])
-    for seg in segments[1:]:
-        st = min(seg["start_time"], cur["start_time"])
-        en = max(seg["end_time"], cur["end_time"])
-        if en - st >= max_duration:
-            agg.append(cur)
-            cur = dict(seg)
-        else:
-            if cur["start_time"] < seg["start_time"]:
-                cur["text"] += f" {seg['text']}".strip()
-            else:
-                cur["text"] = f"{seg['text']} {cur['text']}"
-            cur["start"] = st
-            cur["end_time"] = en
-    if cur not in agg:
-        agg.append(cur)
-    return [(c["start_time"], c["end_time"], c["text"]) for c in agg]
-
-
-def test_caption_merge_vs_rule(spark):
-    rnd = random.Random(2)
-    rows = []
-    for k in range(40):
-        t = 0.0
-        segs = []
-        for j in range(rnd.randint(1, 10)):
-            d = rnd.uniform(1, 9)
-            segs.append({"start_time": t, "end_time": t + d, "text": f"w{j}"})
-            t += d + rnd.uniform(0, 2)
-        rows.append((k, segs))
-    df = spark.createDataFrame(rows, "k int, segs array<struct<start_time:double,end_time:double,text:string>>")
-    got = {r.k: [(x.start_time, x.end_time, x.text) for x in r.m]
-           for r in df.select("k", W.aggregate_caption_segments(F.col("segs"), 12.0).alias("m")).collect()}
-    for k, segs in rows:
-        assert got[k] == _caption_rule(segs, 12.0)
+@pytest.mark.parametrize("starts,duration,cuts", [
+    ([], 15.0, [0]),                                  # everything fits into one piece
+    ([0.0, 8.0, 16.0, 24.0], 30.0, [0, 16, 24]),      # 24 is too far: cut at 16 and at 24
+    ([0.0], 50.0, [0, 20, 40, 50]),                   # one long stretch: every 20 s from its start
+    ([0.0, 10.0], 15.0, [0]),
+    ([0.0, 30.0], 35.0, [0, 20, 30]),                 # cut at 0 again, then inside the stretch, then at its end
+])
+def test_rttm_cut_points_by_hand(spark, starts, duration, cuts):
+    df = spark.createDataFrame([(starts, duration)], "s array<double>, d double")
+    assert df.select(W.rttm_cut_points(F.col("s"), F.col("d"), 20.0).alias("c")).first().c == cuts
+
+
+def _captions(spark, fn, rows):
+    df = spark.createDataFrame([(rows,)], "s array<struct<start_time:double,end_time:double,text:string>>")
+    return df.select(fn(F.col("s")).alias("m")).first().m
+
+
+def test_caption_merge_by_hand(spark):
+    rows = [(0.0, 4.0, "a"), (4.0, 8.0, "b"), (8.0, 13.0, "c"), (13.0, 14.0, "d"), (12.0, 15.0, "e")]
+    got = _captions(spark, lambda s: W.aggregate_caption_segments(s, 12.0), rows)
+    # c would make it 13 s long, so a new group starts there; e begins before its group's latest caption
+    assert [(x.start_time, x.end_time, x.text) for x in got] == [(0.0, 8.0, "ab"), (8.0, 15.0, "cde")]
+    one = _captions(spark, lambda s: W.aggregate_caption_segments(s, 12.0), [(1.0, 2.0, "only")])
+    assert [(x.start_time, x.end_time, x.text) for x in one] == [(1.0, 2.0, "only")]
 
 
 @pytest.mark.parametrize("parts", [1, 3, 16])
@@ -219,15 +137,6 @@ def test_shard_contiguous_and_buckets(spark):
     assert [r.b for r in b] == [0, 3, 3, None, None]
 
 
-def test_least_loaded_balances(spark):
-    rnd = random.Random(1)
-    rows = [(f"s{i}", rnd.uniform(1, 100)) for i in range(400)]
-    df = spark.createDataFrame(rows, "session_id string, duration double")
-    out = SH.least_loaded_sessions(df, 4).groupBy("shard_id").agg(F.sum("duration").alias("d")).collect()
-    loads = [r.d for r in out]
-    assert len(loads) == 4 and max(loads) - min(loads) <= 100
-
-
 def test_bootstrap_interval_covers_mean(spark):
     from corpusflow.operators.aggs import bootstrap_ci
     rnd = random.Random(4)
@@ -259,42 +168,63 @@ def test_list_to_entries(spark):
     assert [r.text for r in list_to_entries(df2, "text_chunks", "text").collect()] == ["p", "q"]
 
 
-def _vtt_rule(segs, thr, sr):
-    res = []
-    text_c, start_c, end_c = "", 0, 0
-    for s in segs:
-        st, en = int(s["start_time"] * sr), int(s["end_time"] * sr)
-        text_c += " " + s["text"]
-        if start_c == 0:
-            start_c = st
-        end_c = en
-        if len(text_c) > 0 and (end_c - start_c > thr * sr or text_c[-1] in ".?"):
-            res.append((text_c.strip(), start_c, end_c))
-            text_c, start_c, end_c = "", 0, 0
-    if len(text_c) > 0 and start_c != 0:
-        res.append((text_c.strip(), start_c, end_c))
-    return res
-
-
-def test_vtt_sentences_vs_rule(spark):
-    rnd = random.Random(9)
-    rows = []
-    for k in range(40):
-        t = rnd.choice([0.0, 0.5])
-        segs = []
-        for j in range(rnd.randint(0, 9)):
-            d = rnd.uniform(0.5, 6)
-            segs.append({"start_time": t, "end_time": t + d, "text": f"w{j}" + rnd.choice(["", "", ".", "?"])})
-            t += d
-        rows.append((k, segs))
-    df = spark.createDataFrame(rows, "k int, segs array<struct<start_time:double,end_time:double,text:string>>")
-    got = {r.k: [(x.text, x.start, x.end) for x in r.m]
-           for r in df.select("k", W.sentences_from_captions(F.col("segs"), 10.0, 16000).alias("m")).collect()}
-    for k, segs in rows:
-        assert got[k] == _vtt_rule(segs, 10.0, 16000), segs
-
-
-def test_shard_by_size(spark):
-    df = spark.createDataFrame([(i, 1.0) for i in range(10)], f"{SEQ} int, duration double")
-    got = [r.shard_id for r in SH.shard_by_size(df, 3 * 32000.0).orderBy(SEQ).collect()]
-    assert got == [0, 0, 0, 1, 1, 1, 2, 2, 2, 3]
+def test_vtt_sentences_by_hand(spark):
+    rows = [(0.5, 2.0, "one"), (2.0, 3.0, "two."), (3.0, 9.0, "three"), (9.0, 14.0, "four"), (14.0, 15.0, "five")]
+    got = _captions(spark, lambda s: W.sentences_from_captions(s, 10.0, 16000), rows)
+    # a full stop ends the first; 3 s to 14 s is over ten seconds; the rest is emitted at the end
+    assert [(x.text, x.start, x.end) for x in got] == [("one two.", 8000, 48000), ("three four", 48000, 224000), ("five", 224000, 240000)]
+    assert _captions(spark, lambda s: W.sentences_from_captions(s, 10.0, 16000), []) == []
+
+
+def test_bleeding_match_rule(spark):
+    """The overlap is a share of the microphone's duration, and the first segment
+    by offset counts: the short one at 1 s covers only a fifth."""
+    left = spark.createDataFrame([("s", 1, 0.0, 10.0)], "sess string, id int, st double, du double")
+    right = spark.createDataFrame([("s", 0, 1.0, 2.0), ("s", 1, 0.0, 9.0), ("s", 2, 0.5, 9.0)], "sess string, rid int, st double, du double")
+    got = J.first_overlapping(left, right, "sess", "st", "du", ["id"], ["rid"], tolerance=0.5, share_of="left", right_order=["st"])
+    assert got.first().r_rid == 1
+
+
+def test_lookup_and_reuse_with_duplicate_keys(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    meta = spark.createDataFrame([(1, 1, "a"), (1, 3, "c"), (1, 2, "b"), (2, 1, "x")], "k int, o int, v string").repartition(4)
+    got = {r.k: r.v2 for r in J.metadata_lookup(df, meta, ["k"], "v", "v2", F.lit("none"), order=["o"]).collect()}
+    assert got == {1: "c", 2: "x", 3: "none"}
+    cache = meta.withColumn("ok", F.col("o") < 3)
+    reused, todo = J.split_reuse(df, cache, ["k"], ["v"], order=["o"])
+    assert {(r.k, r.v) for r in reused.collect()} == {(1, "b"), (2, "x")} and [r.k for r in todo.collect()] == [3]
+
+
+def test_sentence_ends_by_hand(spark):
+    text = "stop! then go. Approx. Main ave. Street 1,000. He 12.5. Next x? lower etc. and end".split()
+    df = spark.createDataFrame([(1, i, w, float(i), float(i) + 0.5) for i, w in enumerate(text)], "r int, o int, w string, s double, e double")
+    got = [r.text.split()[-1] for r in W.sentence_segments(df, "r", "o", "w", "s", "e").orderBy("sentence_id").collect()]
+    assert got == ["stop!", "go.", "Approx.", "1,000.", "x?", "end"]
+
+
+def test_sample_names(spark):
+    df = spark.createDataFrame([(0, "/a/b.c/x.flac", 1), (0, "/a/b.c/x.flac", 2), (1, "/a/b.c/x.flac", 3), (0, "d/noext", 4)], f"shard_id int, audio_filepath string, {SEQ} int")
+    got = {r[SEQ]: r.audio_filepath for r in SH.sample_names(df).collect()}
+    assert got == {1: "_a_b_c_x.flac", 2: "_a_b_c_x-sub1.flac", 3: "_a_b_c_x.flac", 4: "d_noext"}
+    cut = spark.createDataFrame([("/a/b.c/x.flac", 12.5, 3.0), ("y.wav", 7.0, 0.25)], "audio_filepath string, offset double, duration double").withColumn("shard_id", F.lit(0))
+    rows = SH.sample_names(cut).collect()
+    assert {r.audio_filepath for r in rows} == {"_a_b_c_x_12_5_3_0.flac", "y_7_0_0_25.wav"} and {r.source_audio_offset for r in rows} == {12.5, 7.0}
+    whole = spark.createDataFrame([("y.wav", 7, 3)], "audio_filepath string, offset int, duration int").withColumn("shard_id", F.lit(0))
+    assert SH.sample_names(whole).first().audio_filepath == "y_7_0_3_0.wav"
+
+
+def test_topk_labels(spark):
+    df = spark.createDataFrame([([("en", 0.2), ("de", 0.7), ("fr", 0.1)],)], "s array<struct<label:string,prob:double>>")
+    one = SH.topk_labels(F.col("s"))
+    assert df.select(*[c.alias(n) for n, c in one.items()]).first().asDict() == {"label": "de", "label_prob": 0.7}
+    every = SH.topk_labels(F.col("s"), k=-1, n_labels=3)
+    row = df.select(*[c.alias(n) for n, c in every.items()]).first().asDict()
+    assert row == {"label_1": "de", "label_prob_1": 0.7, "label_2": "en", "label_prob_2": 0.2, "label_3": "fr", "label_prob_3": 0.1}
+
+
+def test_limits_take_the_first_rows(spark):
+    df = spark.createDataFrame([(i,) for i in range(50)], "k int").withColumn(SEQ, F.col("k")).repartition(5)
+    assert sorted(r.k for r in SH.limit_entries(df, 7).collect()) == list(range(7))
+    assert SH.limit_entries(df, 0).count() == 50 and SH.percent_limit(df, 1).count() == 1
+    plan = SH.shard_equal_chunks(df, 4, shuffle=False)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan.split("Scan ExistingRDD")[0] or "hashpartitioning(_pid" not in plan
