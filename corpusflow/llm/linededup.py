@@ -75,20 +75,20 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with ``n_lines`` (lines with a word), ``n_removed_lines``,
     ``removed_runs`` (first and last line, lines with a word) and ``clean_text``."""
     docs = without(docs, *OUT)
-    runs = repeated_runs(docs, id_col, text_col, min_lines)
+    runs = repeated_runs(docs, id_col, text_col, min_lines).toDF("__d", "__h", "__runs")
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.withColumn("__t", F.xxhash64(text))
-    joined = keyed.join(runs, keyed[id_col].eqNullSafe(runs["d"]) & (keyed["__t"] == runs["t"]), "left").drop("d", "t", "__t")
+    joined = keyed.join(runs, F.col(id_col).eqNullSafe(F.col("__d")) & (F.col("__t") == F.col("__h")), "left").drop("__d", "__h", "__t")
     lines = F.split(text, "\n")
 
     def piece(k):
-        start = F.when(k == 0, F.lit(0)).otherwise(F.get("runs", k - 1)["b"] + 1)
-        stop = F.when(k == F.size("runs"), F.size(lines)).otherwise(F.get("runs", k)["a"])
+        start = F.when(k == 0, F.lit(0)).otherwise(F.get("__runs", k - 1)["b"] + 1)
+        stop = F.when(k == F.size("__runs"), F.size(lines)).otherwise(F.get("__runs", k)["a"])
         return F.slice(lines, start + 1, F.greatest(stop - start, F.lit(0)))
 
-    rest = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("runs")), piece)), "\n")
+    rest = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("__runs")), piece)), "\n")
     return (joined.withColumn("n_lines", F.size(F.filter(lines, lambda x: x.rlike(HAS_WORD))).cast("long"))
-                  .withColumn("n_removed_lines", F.coalesce(F.aggregate("runs", F.lit(0), lambda a, r: a + r["lines"]), F.lit(0)).cast("long"))
-                  .withColumn("clean_text", F.when(F.col("runs").isNull(), F.col(text_col)).otherwise(rest))
-                  .withColumn("removed_runs", F.coalesce("runs", F.array().cast(runs.schema["runs"].dataType)))
-                  .drop("runs"))
+                  .withColumn("n_removed_lines", F.coalesce(F.aggregate("__runs", F.lit(0), lambda a, r: a + r["lines"]), F.lit(0)).cast("long"))
+                  .withColumn("clean_text", F.when(F.col("__runs").isNull(), F.col(text_col)).otherwise(rest))
+                  .withColumn("removed_runs", F.coalesce("__runs", F.array().cast(runs.schema["__runs"].dataType)))
+                  .drop("__runs"))

@@ -291,11 +291,12 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, p: RepeatParams,
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = (docs.withColumn("__d", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
                  .withColumn("__t", F.xxhash64(text)))
-    spans = stored(repeated_spans(keyed.select(F.col("__d").alias("d"), F.col("__t").alias("t"), text.alias("text")), p, kernel), "spans")
-    may = may_contain(docs.sparkSession, bloom_words(spans, "d", spans.count()))
+    spans = stored(repeated_spans(keyed.select(F.col("__d").alias("d"), F.col("__t").alias("t"), text.alias("text")), p, kernel)
+                   .toDF("__id", "__hash", "__spans"), "spans")
+    may = may_contain(docs.sparkSession, bloom_words(spans, "__id", spans.count()))
     flagged = keyed.withColumn("__may", may(F.col("__d")))
-    hit = flagged.filter("__may").join(spans, (F.col("__d") == spans["d"]) & (F.col("__t") == spans["t"]), "left").drop("d", "t")
-    rest = flagged.filter("NOT __may").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    hit = flagged.filter("__may").join(spans, (F.col("__d") == F.col("__id")) & (F.col("__t") == F.col("__hash")), "left").drop("__id", "__hash")
+    rest = flagged.filter("NOT __may").withColumn("__spans", F.lit(None).cast(spans.schema["__spans"].dataType))
     both = hit.unionByName(rest)
     kind = "n_units long, n_removed long, removed_spans array<struct<a:int,b:int>>, clean binary"
 
@@ -322,5 +323,5 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, p: RepeatParams,
             rows.append((n, int(gone.sum()), runs, clean))
         return pd.DataFrame(rows, columns=["n_units", "n_removed", "removed_spans", "clean"])
 
-    done = both.withColumn("__r", finish(F.col(text_col), F.col("spans")))
+    done = both.withColumn("__r", finish(F.col(text_col), F.col("__spans")))
     return done.select(*[F.col(c) for c in docs.columns], *[F.col(f"__r.{c}").alias(c) for c in OUT])
