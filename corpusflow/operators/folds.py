@@ -277,3 +277,85 @@ def sentences_from_captions(segments: Column, duration_threshold: float = 10.0,
             .otherwise(acc["out"])
 
     return F.aggregate(segments, init, step, finish)
+
+
+def split_long(df: DataFrame, max_len: float = 3600.0, min_len: float = 1.0, sample_rate: int = 16000, path: str = "audio_filepath",
+               duration: str = "duration", segments: str = "segments", n_frames: str | None = None) -> DataFrame:
+    """Recordings of ``max_len`` seconds or more are cut at the end of the segment
+    before the one that would pass the limit.  A part no longer than ``min_len`` joins
+    the next one; a last part that short, or over the limit by a second, is left out.
+    Output: short recordings as they are, the parts with their own path, offset and
+    duration, and for each cut recording a parent row with ``split_filepaths`` and
+    ``split_offsets``.  ``n_frames``: column with the number of samples (else duration
+    times rate)."""
+    sr = F.lit(float(sample_rate))
+    cut = F.aggregate(segments, F.struct(F.lit(0.0).alias("from"), F.lit(0.0).alias("prev"), F.array().cast("array<double>").alias("at")),
+                      lambda acc, s: F.when(s["end"] - acc["from"] > max_len,
+                                            F.struct(acc["prev"].alias("from"), s["end"].cast("double").alias("prev"),
+                                                     F.concat(acc["at"], F.array(acc["prev"])).alias("at")))
+                                      .otherwise(F.struct(acc["from"].alias("from"), s["end"].cast("double").alias("prev"), acc["at"].alias("at"))))["at"]
+    frames = F.col(n_frames) if n_frames else F.round(F.col(duration) * sr)
+    stem = F.substring(F.col(path), F.lit(1), F.length(path) - 4)
+
+    def part(k: Column, start: Column, length: Column) -> Column:
+        name = F.concat(stem, F.lit("."), k.cast("string"), F.lit("_of_"), (F.size("_at") + 1).cast("string"), F.lit(".wav"))
+        return F.struct(name.alias("path"), (start / sr).alias("offset"), (length / sr).alias("duration"))
+
+    kind = "array<struct<path:string,offset:double,duration:double>>"
+
+    def step(acc: Column, x: Column) -> Column:
+        stop = F.ceil(x["at"] * sr).cast("double")
+        return F.when(stop - acc["from"] > min_len * sr,
+                      F.struct(stop.alias("from"), F.concat(acc["parts"], F.array(part(x["k"], acc["from"], stop - acc["from"]))).alias("parts"))) \
+            .otherwise(acc)
+
+    def finish(acc: Column) -> Column:
+        rest = frames.cast("double") - 1 - acc["from"]
+        return F.when((rest > min_len * sr) & (rest < (max_len + 1) * sr),
+                      F.concat(acc["parts"], F.array(part(F.size("_at") + 1, acc["from"], rest)))).otherwise(acc["parts"])
+
+    numbered = F.transform("_at", lambda x, i: F.struct((i + 1).alias("k"), x.alias("at")))
+    parts = F.aggregate(numbered, F.struct(F.lit(0.0).alias("from"), F.array().cast(kind).alias("parts")), step, finish)
+    long = F.col(duration) >= max_len
+    tagged = df.withColumn("_at", F.when(long, cut)).withColumn("_parts", F.when(long, parts))
+    parent = tagged.withColumn("split_filepaths", F.transform("_parts", lambda x: x["path"])) \
+                   .withColumn("split_offsets", F.transform("_parts", lambda x: x["offset"])).withColumn("offset", F.lit(None).cast("double"))
+    pieces = tagged.filter(long).withColumn("_x", F.explode("_parts")).withColumn(path, F.col("_x.path")) \
+                   .withColumn("offset", F.col("_x.offset")).withColumn(duration, F.col("_x.duration")) \
+                   .withColumn("split_filepaths", F.lit(None).cast("array<string>")).withColumn("split_offsets", F.lit(None).cast("array<double>"))
+    return parent.drop("_at", "_parts").unionByName(pieces.drop("_at", "_parts", "_x"))
+
+
+def words_into_segments(alignment: Column, segments: Column) -> Column:
+    """The segments with their ``words`` and joined ``text``.  A cursor goes
+    through the words and the segments: a word inside a segment belongs to it; one that
+    sticks out belongs to it unless the next segment overlaps it more; one that
+    overlaps neither is skipped; a word that starts at or after a segment's end moves
+    the cursor on.  Without words or segments the segments get null fields."""
+    def overlap(w: Column, s: Column) -> Column:
+        shared = F.least(w["end"], s["end"]) - F.greatest(w["start"], s["start"])    # these skip nulls
+        return F.when(s.isNull(), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), shared))
+
+    def moves_on(w: Column, i: Column) -> Column:
+        s, nxt = F.get(segments, i), F.get(segments, i + 1)
+        inside = (w["start"] >= s["start"]) & (w["end"] <= s["end"])
+        return (w["start"] >= s["end"]) | (~inside & (overlap(w, nxt) > overlap(w, s)))
+
+    def belongs(w: Column, i: Column) -> Column:
+        s = F.get(segments, i)
+        return ((w["start"] >= s["start"]) & (w["end"] <= s["end"])) | (overlap(w, s) > 0)
+
+    def step(acc: Column, w: Column) -> Column:
+        ahead = F.filter(F.sequence(F.lit(0), F.size(segments) - 1), lambda i: (i >= acc["i"]) & ~moves_on(w, i))
+        at = F.coalesce(F.get(ahead, F.lit(0)), F.size(segments))
+        return F.struct(at.alias("i"), F.concat(acc["of"], F.array(F.when(belongs(w, at), at).otherwise(F.lit(-1)))).alias("of"))
+
+    of = F.aggregate(alignment, F.struct(F.lit(0).alias("i"), F.array().cast("array<int>").alias("of")), step)["of"]
+    paired = F.zip_with(alignment, of, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
+
+    def fill(s: Column, k: Column) -> Column:
+        mine = F.transform(F.filter(paired, lambda p: p["i"] == k), lambda p: p["w"])
+        mine = F.when(F.size(alignment) > 0, mine)
+        return s.withField("words", mine).withField("text", F.array_join(F.transform(mine, lambda w: w["word"]), " "))
+
+    return F.transform(segments, fill)
