@@ -3,14 +3,17 @@
 The expression text is parsed by Python's own ``ast`` module and turned into
 a Column tree against the frame's schema, so it runs JVM-side and is
 constant-folded by Catalyst instead of being re-evaluated per row.  Names are
-row fields (an ``entry.`` prefix is removed).  Only the first comparator of a
-chained comparison is used, as in the rule; chains are rejected.
+row fields (an ``entry.`` prefix is removed).  Of a chained comparison only the
+first comparator is used, as in the rule.  ``and``, ``or``, ``not`` and the test of
+``if`` take any value: zero, empty and null are false, and ``and`` / ``or`` give one
+of their operands.
 """
 
 from __future__ import annotations
 
 import ast
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +21,12 @@ from pyspark.sql import types as T
 
 
 class _Typed:
-    __slots__ = ("col", "dtype")
+    __slots__ = ("col", "dtype", "exponent")
 
-    def __init__(self, col: Column, dtype):
+    def __init__(self, col: Column, dtype, exponent=None):
         self.col = col
         self.dtype = dtype
+        self.exponent = exponent          # the value of an integer constant
 
 
 def _lit_type(v):
@@ -61,12 +65,19 @@ def _bin(op, a: _Typed, b: _Typed) -> _Typed:
         return _Typed(x.cast("double") / y.cast("double"), T.DoubleType())
     if isinstance(op, ast.FloorDiv):
         t = _wider(a.dtype, b.dtype)
-        res = F.floor(x.cast("double") / y.cast("double"))
-        return _Typed(res if isinstance(t, T.IntegralType) else res.cast("double"), t)
+        if isinstance(t, T.IntegralType):
+            return _Typed(_floor_div(x.cast("long"), y.cast("long")), T.LongType())
+        return _Typed(F.floor(x.cast("double") / y.cast("double")).cast("double"), t)
     if isinstance(op, ast.Mod):
         # Python: the result takes the divisor's sign
-        return _Typed(x - y * F.floor(x.cast("double") / y.cast("double")), _wider(a.dtype, b.dtype))
+        t = _wider(a.dtype, b.dtype)
+        if isinstance(t, T.IntegralType):
+            x, y = x.cast("long"), y.cast("long")
+            return _Typed(x - y * _floor_div(x, y), T.LongType())
+        return _Typed(x - y * F.floor(x.cast("double") / y.cast("double")), t)
     if isinstance(op, ast.Pow):
+        if isinstance(_wider(a.dtype, b.dtype), T.IntegralType) and isinstance(b.exponent, int) and b.exponent >= 0:
+            return _Typed(F.aggregate(F.array_repeat(x.cast("long"), b.exponent), F.lit(1).cast("long"), lambda acc, v: acc * v), T.LongType())
         return _Typed(F.pow(x, y), T.DoubleType())
     if isinstance(op, ast.BitOr):
         return _Typed(x | y, T.BooleanType()) if _bool(a, b) else _Typed(x.bitwiseOR(y), a.dtype)
@@ -81,6 +92,25 @@ def _bin(op, a: _Typed, b: _Typed) -> _Typed:
     raise ValueError(f"unsupported operator {type(op).__name__}")
 
 
+def _floor_div(x: Column, y: Column) -> Column:
+    """Exact floor division of longs (``div`` cuts towards zero)."""
+    q = F.call_function("div", x, y)
+    return F.when((x - q * y != 0) & ((x < 0) != (y < 0)), q - 1).otherwise(q)
+
+
+def _truth(v: _Typed) -> Column:
+    """Python's truth of a value."""
+    if isinstance(v.dtype, T.BooleanType):
+        return F.coalesce(v.col, F.lit(False))
+    if isinstance(v.dtype, T.StringType):
+        return F.coalesce(F.length(v.col) > 0, F.lit(False))
+    if isinstance(v.dtype, (T.ArrayType, T.MapType)):
+        return F.coalesce(F.size(v.col) > 0, F.lit(False))
+    if isinstance(v.dtype, T.NumericType):
+        return F.coalesce(v.col != 0, F.lit(False))
+    return v.col.isNotNull()
+
+
 def _bool(a, b) -> bool:
     return isinstance(a.dtype, T.BooleanType) and isinstance(b.dtype, T.BooleanType)
 
@@ -122,14 +152,12 @@ class _Compiler:
         if isinstance(n.op, ast.UAdd):
             return v
         if isinstance(n.op, ast.Not):
-            return _Typed(~v.col, T.BooleanType())
+            return _Typed(~_truth(v), T.BooleanType())
         if isinstance(n.op, ast.Invert):
             return _Typed(F.bitwise_not(v.col), v.dtype)
         raise ValueError("unsupported unary operator")
 
     def _Compare(self, n):
-        if len(n.ops) > 1:
-            raise ValueError("chained comparisons are not supported")
         a, b, op = self.go(n.left), self.go(n.comparators[0]), n.ops[0]
         if isinstance(op, (ast.Is, ast.IsNot)):
             if isinstance(n.comparators[0], ast.Constant) and n.comparators[0].value is None:
@@ -142,18 +170,21 @@ class _Compiler:
         return _Typed(_CMP[type(op)](a.col, b.col), T.BooleanType())
 
     def _BoolOp(self, n):
-        vals = [self.go(v).col for v in n.values]
-        out = vals[0]
-        for v in vals[1:]:
-            out = (out & v) if isinstance(n.op, ast.And) else (out | v)
-        return _Typed(out, T.BooleanType())
+        vals = [self.go(v) for v in n.values]
+        if all(isinstance(v.dtype, T.BooleanType) for v in vals):
+            return _Typed(reduce((lambda a, b: a & b) if isinstance(n.op, ast.And) else (lambda a, b: a | b), [v.col for v in vals]), T.BooleanType())
+        out = vals[-1]
+        for v in reversed(vals[:-1]):
+            first, rest = (out.col, v.col) if isinstance(n.op, ast.And) else (v.col, out.col)
+            out = _Typed(F.when(_truth(v), first).otherwise(rest), v.dtype if v.dtype == out.dtype else _wider(v.dtype, out.dtype))
+        return out
 
     def _IfExp(self, n):
         body, other = self.go(n.body), self.go(n.orelse)
-        return _Typed(F.when(self.go(n.test).col, body.col).otherwise(other.col), body.dtype)
+        return _Typed(F.when(_truth(self.go(n.test)), body.col).otherwise(other.col), body.dtype)
 
     def _Constant(self, n):
-        return _Typed(F.lit(n.value), _lit_type(n.value))
+        return _Typed(F.lit(n.value), _lit_type(n.value), n.value if type(n.value) is int else None)
 
     def _Name(self, n):
         if n.id in self.fields:
@@ -184,26 +215,30 @@ class _Compiler:
         is_str = isinstance(base.dtype, T.StringType)
         length = F.length(base.col) if is_str else F.size(base.col)
         if isinstance(n.slice, ast.Slice):
-            step = n.slice.step.value if n.slice.step is not None else 1
-            if step not in (1, -1):
-                raise ValueError("only slice steps 1 and -1 are supported")
+            step = ast.literal_eval(n.slice.step) if n.slice.step is not None else 1
+            if not isinstance(step, int) or step == 0:
+                raise ValueError("a slice step has to be an integer other than 0")
             lo = self.go(n.slice.lower).col if n.slice.lower is not None else None
             hi = self.go(n.slice.upper).col if n.slice.upper is not None else None
-            if step == -1:
-                if lo is not None or hi is not None:
-                    raise ValueError("reversed slices with bounds are not supported")
-                return _Typed(F.reverse(base.col), base.dtype)
+            first, last = (F.lit(0), length) if step > 0 else (F.lit(-1), length - 1)
 
             def norm(i, default):
                 if i is None:
                     return default
-                return F.least(F.greatest(F.when(i < 0, i + length).otherwise(i), F.lit(0)), length)
-            s = norm(lo, F.lit(0))
-            e = norm(hi, length)
-            cnt = F.greatest(e - s, F.lit(0))
+                return F.least(F.greatest(F.when(i < 0, i + length).otherwise(i), first), last)
+            s = norm(lo, first if step > 0 else last)
+            e = norm(hi, last if step > 0 else first)
+            if step == 1:
+                cnt = F.greatest(e - s, F.lit(0))
+                if is_str:
+                    return _Typed(F.call_function("substring", base.col, s + 1, cnt), base.dtype)
+                return _Typed(F.slice(base.col, s + 1, cnt), base.dtype)
+            # every step-th place from s on, up to but without e
+            n_items = F.greatest(F.ceil((e - s) / step), F.lit(0)).cast("int")
+            at = F.transform(F.slice(F.sequence(F.lit(0), F.greatest(n_items, F.lit(1))), F.lit(1), n_items), lambda k: (s + k * step + 1).cast("int"))
             if is_str:
-                return _Typed(F.call_function("substring", base.col, s + 1, cnt), base.dtype)
-            return _Typed(F.slice(base.col, s + 1, cnt), base.dtype)
+                return _Typed(F.array_join(F.transform(at, lambda i: F.call_function("substring", base.col, i, F.lit(1))), ""), base.dtype)
+            return _Typed(F.transform(at, lambda i: F.element_at(base.col, i)), base.dtype)
         key = self.go(n.slice)
         if isinstance(base.dtype, T.MapType):
             return _Typed(base.col[key.col], base.dtype.valueType)

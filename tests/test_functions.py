@@ -115,3 +115,24 @@ def test_expressions(spark):
     assert (r.d2, r.t, r.l, r.m, r.mod, r.both) == (4.0, "long", 2, 4.0, 2, True)
     kept = lambda_expression(df, "keep", "entry.n > 5", filter=True)
     assert kept.count() == 0
+
+
+@pytest.mark.parametrize("expression", [
+    "entry.t[::-1]", "entry.t[1:7:2]", "entry.t[::3]", "entry.t[7:1:-2]", "entry.t[-2::-3]", "entry.t[:2:-1]", "entry.t[5:2]", "entry.t[9:0:-4]",
+    "entry.big // 3", "-entry.big // 7", "entry.big % 10", "-entry.big % 10", "entry.n // -2", "entry.n % -3", "entry.n ** 3", "entry.x // 2", "entry.n ** -1",
+    "entry.n and entry.big", "entry.z and entry.big", "entry.z or entry.n", "entry.e or entry.t", "not entry.e", "not entry.n", "'yes' if entry.e else 'no'",
+    "'yes' if entry.t else 'no'", "entry.n > 3 and entry.x > 1", "abs(entry.n - 9)", "sum(entry.l)", "sorted(entry.l)", "min(entry.l)", "entry.l[::-1]", "entry.l[1::2]", "entry.l[-1]"])
+def test_expressions_equal_python(spark, expression):
+    from types import SimpleNamespace
+
+    from corpusflow.functions.exprs import lambda_expression
+    row = {"t": "abcdefgh", "big": 2 ** 60 + 7, "n": 5, "z": 0, "x": 7.5, "e": "", "l": [3, 1, 2]}
+    df = spark.createDataFrame([tuple(row.values())], "t string, big long, n long, z long, x double, e string, l array<long>")
+    want = eval(expression, {"entry": SimpleNamespace(**row), "abs": abs, "sum": sum, "sorted": sorted, "min": min})  # noqa: S307
+    assert lambda_expression(df, "out", expression).first().out == want
+
+
+def test_chained_comparison_uses_the_first(spark):
+    from corpusflow.functions.exprs import lambda_expression
+    df = spark.createDataFrame([(5,)], "n long")
+    assert lambda_expression(df, "out", "1 < entry.n < 3").first().out is True
