@@ -167,15 +167,14 @@ def remove_failed_chapters(df: DataFrame, failed: DataFrame, key: str = "audio_f
 def drop_duplicates(df: DataFrame, drop_key: str = "text", order_col: str = SEQ) -> DataFrame:
     """One row per key, the first in file order; NULL is one key.
 
-    Written as ``min(struct(order, row))`` per key rather than a window: the
+    Written as ``min_by(row, order)`` per key rather than a window: the
     aggregate is partial on the map side, so a key that holds a third of all
     rows is reduced to one candidate per task before the shuffle.
     """
-    others = [c for c in df.columns if c not in (drop_key, order_col)]
-    packed = F.struct(F.col(order_col).alias("_o"), *[F.col(c) for c in others])
-    first = df.groupBy(drop_key).agg(F.min(packed).alias("_r"))
-    return first.select(*[F.col("_r")[c].alias(c) if c != drop_key else F.col(c) for c in df.columns
-                          if c != order_col], F.col("_r._o").alias(order_col)).select(*df.columns)
+    # min_by compares the order only, so columns of any type (maps too) may ride along
+    row = F.struct(*[F.col(c) for c in df.columns if c != drop_key])
+    first = df.groupBy(drop_key).agg(F.min_by(row, F.col(order_col)).alias("_r"))
+    return first.select(*[F.col("_r")[c].alias(c) if c != drop_key else F.col(c) for c in df.columns])
 
 
 def split_membership(df: DataFrame, split_table: DataFrame, key_expr: Column, split_key: str = "file_prefix",

@@ -8,6 +8,8 @@ aggregations (used for tests and as a stand-in model).
 
 from __future__ import annotations
 
+import logging
+import uuid
 from typing import Callable, Sequence
 
 import pandas as pd
@@ -21,13 +23,14 @@ _MODELS: dict = {}
 def score_batches(df: DataFrame, make_model: Callable, in_cols: Sequence[str], out_schema: T.StructType,
                   batch_size: int = 64, sort_by: str | None = None, on_error: str = "null") -> DataFrame:
     """``make_model()`` returns a callable mapping a pandas frame of
-    ``in_cols`` to a pandas frame of ``out_schema`` columns.  Rows are kept
-    (``on_error='null'``) or dropped (``'drop'``) when a batch fails; the
-    last partial batch is scored too."""
+    ``in_cols`` to a pandas frame of ``out_schema`` columns.  When a batch fails
+    its error is logged and its rows are kept with null scores
+    (``on_error='null'``) or dropped (``'drop'``); ``'raise'`` fails the job.  The last
+    partial batch is scored too."""
     src = df.sortWithinPartitions(sort_by) if sort_by else df
     out_fields = [f.name for f in out_schema.fields]
     schema = T.StructType(list(df.schema.fields) + list(out_schema.fields))
-    key = id(make_model)
+    key = uuid.uuid4().hex            # one model for each call and worker
 
     def run(it):
         model = _MODELS.get(key)
@@ -39,6 +42,9 @@ def score_batches(df: DataFrame, make_model: Callable, in_cols: Sequence[str], o
                 try:
                     res = model(chunk[list(in_cols)]).reset_index(drop=True)
                 except Exception:  # noqa: BLE001 - a failed batch is a scoring result
+                    if on_error == "raise":
+                        raise
+                    logging.getLogger(__name__).exception("a batch of %d rows could not be scored", len(chunk))
                     if on_error == "drop":
                         continue
                     res = pd.DataFrame({c: [None] * len(chunk) for c in out_fields})

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusflow.functions import channels as C
 from corpusflow.functions import metrics as M
 from corpusflow.functions import text as TX
 from corpusflow.functions.arabic import clean_arabic
@@ -350,3 +351,55 @@ def q_similarity(spark, sf):
     p = table(spark, sf, "part").select("p_partkey", "p_name").filter(F.length("p_name") > 1).repartition("p_partkey")
     return p.select("p_partkey", M.similarity(F.col("p_name"), F.col("p_name")).alias("same"),
                     M.similarity(F.col("p_name"), F.expr("substring(p_name, 2)")).alias("shorter"))
+
+
+# --- two channels: J4, T16, T18 ----------------------------------------------------------------------------
+# The speaker's text is the beginning of the microphone's, of a share that depends on the
+# turn; so their similarity has a closed form.
+
+_SHARE = "CASE turn % 6 WHEN 0 THEN 1.0 WHEN 1 THEN 0.96 WHEN 2 THEN 0.7 WHEN 3 THEN 0.45 WHEN 4 THEN 0.1 ELSE 0.0 END"
+
+
+def _two_channels(spark, sf):
+    c = table(spark, sf, "conversations").select("conv_id", "turn", F.col("text").alias("mic"))
+    c = c.withColumn("spk", F.expr(f"substring(mic, 1, CAST(floor(length(mic) * {_SHARE}) AS INT))")).repartition("conv_id")
+    return c.withColumn("sim", M.similarity(F.lower("mic"), F.lower("spk")))
+
+
+_CHANNELS_SQL = f"""
+WITH c AS (SELECT conv_id, turn, text AS mic, left(text, CAST(floor(length(text) * {_SHARE}) AS INT)) AS spk FROM conversations),
+s AS (SELECT *, 200.0 * length(spk) / (length(mic) + length(spk)) AS sim,
+             list_distinct(list_filter(regexp_split_to_array(lower(mic), '\\s+'), lambda x: x <> '')) AS mw,
+             list_distinct(list_filter(regexp_split_to_array(lower(spk), '\\s+'), lambda x: x <> '')) AS sw FROM c),
+b AS (SELECT *, CASE WHEN mic = '' OR spk = '' THEN 0.0 ELSE greatest(sim / 100.0, CASE WHEN len(sw) > 0 THEN len(list_intersect(mw, sw)) / len(sw) ELSE 0 END) END AS score FROM s)"""
+
+
+@query("channel_bleeding", _CHANNELS_SQL + """
+SELECT conv_id, turn, score, mic <> '' AND spk <> '' AND score >= 0.98 AS detected FROM b""")
+def q_channel_bleeding(spark, sf):
+    b = _two_channels(spark, sf).select("conv_id", "turn", C.bleeding(F.col("mic"), F.col("spk"), F.col("sim"), 0.98).alias("b"))
+    return b.select("conv_id", "turn", "b.score", "b.detected")
+
+
+@query("channel_choice", _CHANNELS_SQL + """
+SELECT conv_id, turn, CASE WHEN spk = '' THEN mic WHEN score >= 1.01 THEN spk WHEN sim / 100 >= 0.9 THEN spk ELSE mic END AS text,
+       CASE WHEN spk = '' THEN 'mic' WHEN sim / 100 >= 0.9 THEN 'spk_validated' WHEN sim / 100 >= 0.6 THEN 'merged' ELSE 'mic' END AS source,
+       CASE WHEN spk = '' THEN 0.5 ELSE sim / 100 END AS confidence FROM b""")
+def q_channel_choice(spark, sf):
+    c = _two_channels(spark, sf)
+    b = c.withColumn("b", C.bleeding(F.col("mic"), F.col("spk"), F.col("sim"), 1.01))
+    r = b.select("conv_id", "turn", C.corrected(F.col("mic"), F.col("spk"), F.col("sim"), F.col("b.score"), 1.01).alias("r"))
+    return r.select("conv_id", "turn", "r.text", "r.source", "r.confidence")
+
+
+@query("channel_validation", _CHANNELS_SQL + """
+SELECT conv_id, turn, CASE WHEN spk = '' THEN mic WHEN sim >= 80 THEN mic ELSE spk END AS text,
+       CASE WHEN mic = '' AND spk = '' THEN 0.0 WHEN spk = '' THEN 0.5 ELSE sim / 100 END AS confidence,
+       CASE WHEN spk = '' THEN NULL WHEN sim >= 80 THEN 'high' WHEN sim >= 50 THEN 'medium' ELSE 'low' END AS agreement FROM b""")
+def q_channel_validation(spark, sf):
+    """Of agreeing texts the longer one, of others the speaker's."""
+    c = _two_channels(spark, sf)
+    sure = C.validated(F.col("mic"), F.col("spk"), F.col("sim"), use_cleaner_channel=False)
+    weak = C.validated(F.col("mic"), F.col("spk"), F.col("sim"), use_cleaner_channel=True)
+    r = c.select("conv_id", "turn", F.when(F.col("sim") >= 80, sure).otherwise(weak).alias("r"))
+    return r.select("conv_id", "turn", "r.text", "r.confidence", "r.agreement")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SEQ = "_seq"
+MAX_NAMED_FILES = 10_000
 
 
 def with_text_seq(df: DataFrame) -> DataFrame:
@@ -79,17 +80,24 @@ def combine_manifests(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def read_text_lines(spark: SparkSession, manifest: DataFrame, input_file_key: str,
-                    text_key: str) -> DataFrame:
+                    text_key: str, root: str | None = None, glob: str = "*") -> DataFrame:
     """One row per non-blank stripped line of the file named in each
     manifest row; the row's other fields are copied.
 
-    The file list comes from the manifest (Spark derives it); the lines are
-    read by one distributed text scan and joined back on the path.
+    With ``root`` all files below it (matching ``glob``) are scanned and joined with
+    the manifest on the path, so no list of paths passes the driver.  Without it the
+    manifest's paths are named to the scan, ``MAX_NAMED_FILES`` at most.
     """
-    paths = [r[0] for r in manifest.select(input_file_key).distinct().collect()]
-    if not paths:
-        return manifest.withColumn(text_key, F.lit(None).cast("string")).limit(0)
-    lines = (spark.read.text(paths)
+    if root is not None:
+        files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(root)
+    else:
+        paths = [r[0] for r in manifest.select(input_file_key).distinct().limit(MAX_NAMED_FILES + 1).collect()]
+        if len(paths) > MAX_NAMED_FILES:
+            raise ValueError(f"more than {MAX_NAMED_FILES} files: give the folder that holds them as root")
+        if not paths:
+            return manifest.withColumn(text_key, F.lit(None).cast("string")).limit(0)
+        files = spark.read.text(paths)
+    lines = (files
              .select(F.regexp_replace(F.col("_metadata.file_path"), "^file:", "").alias("_path"),
                      F.col("_metadata.file_block_start").alias("_b"),
                      F.monotonically_increasing_id().alias("_i"),
