@@ -206,27 +206,3 @@ def audio_durations(spark: SparkSession, root: str, extension: str = "wav") -> D
             yield pd.DataFrame({"audio_filepath": pdf["audio_filepath"], "duration": out})
 
     return files.mapInPandas(probe, _DUR_SCHEMA)
-
-
-_TAR_SCHEMA = T.StructType([T.StructField("archive", T.StringType()), T.StructField("member", T.StringType()),
-                            T.StructField("size", T.LongType()), T.StructField("content", T.BinaryType())])
-
-
-def tar_members(spark: SparkSession, root: str, glob: str = "*.tar") -> DataFrame:
-    """Members of every tar archive below ``root`` as rows."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", glob).load(root)
-             .select(F.regexp_replace("path", "^file:", "").alias("archive"), "content"))
-
-    def expand(it):
-        import tarfile
-        for pdf in it:
-            rows = []
-            for a, b in zip(pdf["archive"], pdf["content"]):
-                with tarfile.open(fileobj=io.BytesIO(b)) as tf:
-                    for m in tf.getmembers():
-                        if m.isfile():
-                            rows.append((a, m.name, m.size, tf.extractfile(m).read()))
-            yield pd.DataFrame(rows, columns=["archive", "member", "size", "content"])
-
-    return files.mapInPandas(expand, _TAR_SCHEMA)

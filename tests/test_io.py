@@ -3,13 +3,12 @@ temporary folder."""
 import io
 import json
 import os
-import tarfile
 import tempfile
 import wave
 
 from pyspark.sql import functions as F
 
-from corpusflow.sinks import tars, writers
+from corpusflow.sinks import writers
 from corpusflow.sources import formats as S
 from corpusflow.sources.manifest import combine_manifests, read_manifest, read_text_lines
 from corpusflow.streaming.manifests import read_manifest_stream, run_stateless
@@ -66,7 +65,7 @@ def test_ctm_vtt_trans(spark):
     assert [(r.utt_id, r.text) for r in tr] == [("1-2-0001", "HELLO WORLD"), ("1-2-0002", "AGAIN")]
 
 
-def test_wav_probe_and_tar_roundtrip(spark):
+def test_wav_probe(spark):
     d = _dir()
     os.makedirs(f"{d}/wav")
     for name, frames in [("a", 16000), ("b", 8000)]:
@@ -78,14 +77,6 @@ def test_wav_probe_and_tar_roundtrip(spark):
     _write(f"{d}/wav/broken.wav", "not a wav")
     got = {os.path.basename(r.audio_filepath): r.duration for r in S.audio_durations(spark, f"{d}/wav").collect()}
     assert got == {"a.wav": 1.0, "b.wav": 0.5, "broken.wav": -1.0}
-    rows = spark.createDataFrame([(0, "k1", "t1", b"abc"), (0, "k2", "t2", b"de"), (1, "k3", "t3", b"f")],
-                                 "shard_id int, key string, text string, payload binary")
-    stats = {r.shard_id: r.samples for r in tars.write_tar_shards(rows, f"{d}/tars").collect()}
-    assert stats == {0: 2, 1: 1}
-    with tarfile.open(f"{d}/tars/shard_0.tar") as tf:
-        assert tf.getnames() == ["k1.json", "k1.wav", "k2.json", "k2.wav"]
-    members = S.tar_members(spark, f"{d}/tars").collect()
-    assert sorted(m.member for m in members) == ["k1.json", "k1.wav", "k2.json", "k2.wav", "k3.json", "k3.wav"]
 
 
 def test_streaming_stateless(spark):
@@ -97,3 +88,12 @@ def test_streaming_stateless(spark):
     q.awaitTermination(120)
     out = spark.read.json(f"{d}/out")
     assert sorted(r.text for r in out.collect()) == ["fine", "ok text"]
+
+
+def test_text_lines_by_folder(spark):
+    d = _dir()
+    _write(f"{d}/t/a.txt", "one\n\n two \n")
+    _write(f"{d}/t/b.txt", "three\n")
+    m = spark.createDataFrame([(f"{d}/t/a.txt", 1)], "source_file string, n int")
+    got = read_text_lines(spark, m, "source_file", "text", root=f"{d}/t", glob="*.txt").collect()
+    assert sorted((r.text, r.n) for r in got) == [("one", 1), ("two", 1)]
