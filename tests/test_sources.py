@@ -120,3 +120,68 @@ def test_arabic(spark):
     assert one("كِتَابٌ؟", remove_diacritics=True, remove_punctuation=True) == "كتاب"
     assert one("كـــتاب", remove_tatweel=True) == "كتاب" and one("ﻻ", normalize_ligature=True) == "لا"
     assert one("أإآةﻷ", normalize=True) == "اااهلا" and one("ﻛﺘﺎﺏ", apply_nfkc=True) == "كتاب"
+
+
+def test_video_manifest(spark):
+    from corpusflow.sources import corpora as C
+
+    videos = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z")], "video_id string, category string")
+    wavs = _files(spark, ["/w/a.wav", "/w/b.wav"])
+    vtts = _files(spark, ["/v/a.ar.vtt", "/v/c.ar.vtt"])
+    got = C.video_manifest(videos, wavs, vtts, "/w/", "/v", "ar").collect()
+    assert [(r.sample_id, r.category, r.audio_filepath, r.vtt_filepath) for r in got] == [("a", "x", "/w/a.wav", "/v/a.ar.vtt")]
+    assert C.split_name("dev") == "clean_dev" and C.split_name("noisy_test") == "noisy_test"
+    with pytest.raises(ValueError):
+        C.split_name("other")
+
+
+def test_paired_captions(spark, tmp_path):
+    from corpusflow.sources import corpora as C
+
+    os.makedirs(f"{tmp_path}/wav")
+    for n in ("t1.flac", "t2.x.flac"):
+        with open(f"{tmp_path}/wav/{n}", "w") as f:
+            f.write("x")
+    got = sorted((r.audio_filepath, r.vtt_filepath) for r in C.paired_captions(spark, str(tmp_path), "es", "flac").collect())
+    assert got == [(f"{tmp_path}/wav/t1.flac", f"{tmp_path}/vtt/t1.es.vtt"), (f"{tmp_path}/wav/t2.x.flac", f"{tmp_path}/vtt/t2.es.vtt")]
+
+
+def test_chapters(spark):
+    from corpusflow.sources import corpora as C
+
+    df = spark.createDataFrame([("u1", [("a", 1.0), ("b", 2.0)], None), ("u2", [("c", 3.0)], "404")],
+                               "url string, utterances array<struct<audio_filepath:string,duration:double>>, error string")
+    ok, failed = C.chapter_utterances(df)
+    assert sorted((r.url, r.audio_filepath, r.duration) for r in ok.collect()) == [("u1", "a", 1.0), ("u1", "b", 2.0)]
+    assert [r.url for r in failed.collect()] == ["u2"]
+
+
+def test_tdf(spark, tmp_path):
+    from corpusflow.sources import corpora as C
+
+    def line(start, end, text, *more):
+        return "\t".join(["f1.sph", "1", start, end, "sp", "native", "d", text, "2", "3", "4", *more])
+
+    with open(f"{tmp_path}/f1.tdf", "w") as f:
+        f.write("\n".join(["head", ";;", ";;", line("0.0", "1.5", "hola"), line("1.5", "1.6", "no"), line("2", "3", ""), line("3", "4", "si", "x", "y")]) + "\n")
+    got = [(r.audio_filepath, r.text, r.duration, r.other_info) for r in C.read_tdf(spark, str(tmp_path), "/out").orderBy("start").collect()]
+    assert got == [("/out/f1_line0_channel1_2_3_4.wav", "hola", 1.5, ""), ("/out/f1_line3_channel1_2_3_4.wav", "si", 1.0, "x,y")]
+
+
+def test_extension_points(spark):
+    from corpusflow.operators import extend as X
+    from corpusflow.operators import filters as FL
+
+    df = spark.createDataFrame([("a b",), ("",), ("c",)], "text string")
+    out = X.map_rows(df, lambda r: ({"word": w, "n": len(r["text"])} for w in r["text"].split()), "word string, n long")
+    assert sorted((r.word, r.n) for r in out.collect()) == [("a", 3), ("b", 3), ("c", 1)]
+
+    def op(d):
+        return FL.drop_if_regex_match(d, [r"\d"])
+
+    X.check_cases(op, [{"input": {"text": "ok"}, "output": {"text": "ok"}}, {"input": {"text": "no 1"}, "output": None}], spark, "text string")
+    with pytest.raises(AssertionError, match="case 0"):
+        X.check_cases(op, [{"input": {"text": "1"}, "output": {"text": "1"}}], spark, "text string")
+    caps = spark.createDataFrame([([(0.0, "a  1"), (1.0, "b")],)], "s array<struct<start:double,text:string>>")
+    got = caps.select(X.sub_caption_texts(F.col("s"), [{"pattern": r"\d", "repl": "x"}]).alias("s")).first().s
+    assert [(r.start, r.text.strip()) for r in got] == [(0.0, "a x"), (1.0, "b")]
