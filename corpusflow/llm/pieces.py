@@ -29,9 +29,12 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,11 +43,11 @@ from corpusflow.llm.store import without
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_CUTS = 500_000      # encoded cuts that a Python worker keeps
-GROUP_CHARS = 1 << 20     # characters encoded together
+CACHE_CUTS = 800_000      # encoded cuts that a Python worker keeps
+GROUP_CHARS = 4 << 20     # characters encoded together
 LONG_CUT = 512            # from here a cut advances alone
 NEAR_BITS = 20
-CACHE_PAIRS = 1_000_000
+PAIR_BITS = 21
 _CUT = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+$")
 
 
@@ -75,7 +78,7 @@ class Merges:
     hash: np.ndarray
     size: np.ndarray
     blanks: dict[int, int]
-    pairs: np.ndarray         # sorted pairs that were judged before, and what came out
+    pairs: np.ndarray         # pairs that were judged before, by slot, and what came out
     valid: np.ndarray
 
 
@@ -158,7 +161,7 @@ def _merges(usable: list[tuple[str, float, int]], hashes: dict[str, int], blanks
     score = {t: (-s, i) for t, s, i in usable}
     ids = {t: i for t, _, i in usable}
     m = Merges(np.zeros(n, np.int64), np.arange(n), np.arange(n), np.zeros(n, N.U), np.zeros(n, np.int64),
-               blanks, np.zeros(0, np.int64), np.zeros(0, bool))
+               blanks, np.full(1 << PAIR_BITS, -1, np.int64), np.zeros(1 << PAIR_BITS, bool))
     for rank, t in enumerate(sorted(score, key=score.get), 1):
         i = ids[t]
         m.hash[i], m.size[i] = N.U(hashes[t]), len(t)
@@ -245,25 +248,22 @@ def _judge_pairs(a: np.ndarray, b: np.ndarray, table: PieceTable) -> np.ndarray:
 
 
 def _valid_pairs(a: np.ndarray, b: np.ndarray, table: PieceTable) -> np.ndarray:
-    """_judge_pairs for many equal pairs; pairs below 0 (no piece) are valid."""
+    """_judge_pairs through a table of judged pairs; pairs below 0 (no piece) are valid."""
     m = table.merges
-    out = (a < 0) | (b < 0)
-    ask = np.flatnonzero(~out)
-    uniq, inv = np.unique(a[ask].astype(np.int64) << 32 | b[ask].astype(np.int64), return_inverse=True)
-    at = np.minimum(np.searchsorted(m.pairs, uniq), max(0, len(m.pairs) - 1))
-    known = m.pairs[at] == uniq if len(m.pairs) else np.zeros(len(uniq), bool)
-    got = np.zeros(len(uniq), bool)
-    got[known] = m.valid[at[known]] if len(m.pairs) else False
-    new = uniq[~known]
-    if len(new):
-        got[~known] = _judge_pairs((new >> 32).astype(np.int64), (new & 0xFFFFFFFF).astype(np.int64), table)
-        if len(m.pairs) > CACHE_PAIRS:
-            m.pairs, m.valid = new, got[~known]
-        else:
-            m.pairs = np.concatenate([m.pairs, new])
-            order = np.argsort(m.pairs, kind="stable")
-            m.pairs, m.valid = m.pairs[order], np.concatenate([m.valid, got[~known]])[order]
-    out[ask] = got[inv]
+    pair = a.astype(np.int64) << 32 | b.astype(np.int64)
+    slot = ((pair.view(N.U) * _MUL) >> N.U(64 - PAIR_BITS)).astype(np.int64)
+    out = m.valid[slot]
+    free = (a < 0) | (b < 0)
+    out[free] = True
+    ask = np.flatnonzero((m.pairs[slot] != pair) & ~free)
+    if len(ask):
+        new, first, inv = np.unique(pair[ask], return_index=True, return_inverse=True)
+        got = _judge_pairs(new >> 32, new & 0xFFFFFFFF, table)
+        at = slot[ask[first]]
+        m.pairs[at], m.valid[at] = new, got
+        # two new pairs may share a slot: the later one holds it, both get their own result
+        m.valid[at] = got[np.searchsorted(new, m.pairs[at])]
+        out[ask] = got[inv]
     return out
 
 
@@ -275,7 +275,7 @@ def _best(row: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
     return at[np.searchsorted(row[at], np.arange(n))]
 
 
-def _viterbi_equal(texts: list[str], length: int, table: PieceTable) -> list[list[int]]:
+def _viterbi_equal(texts: list[str], length: int, table: PieceTable) -> tuple[np.ndarray, np.ndarray]:
     codes = _codes(texts, length)
     n = len(texts)
     h, pw = _prefix(codes), _pows(table.longest)
@@ -293,15 +293,15 @@ def _viterbi_equal(texts: list[str], length: int, table: PieceTable) -> list[lis
             value = best[e - size, row] + np.where(at < 0, table.unknown_score, table.scores[at])
         pick = _best(row, value, n)
         best[e], back[e], piece[e] = value[pick], size[pick], this[pick]
-    return _trace(texts, back.T, piece.T, table)
+    return _trace(codes, back, piece, table)
 
 
-def _viterbi_long(text: str, table: PieceTable) -> list[int]:
+def _viterbi_long(text: str, table: PieceTable) -> np.ndarray:
     """One long cut: the substrings of a stretch are probed at once, then the
     maxima go along the text."""
     length, most = len(text), table.longest
     best = np.zeros(length + 1)
-    back, piece = np.zeros((1, length + 1), np.int32), np.full((1, length + 1), -1, np.int32)
+    back, piece = np.zeros((length + 1, 1), np.int32), np.full((length + 1, 1), -1, np.int32)
     pw, sizes = _pows(most), np.arange(most, 0, -1)
     for a in range(0, length, 1 << 14):
         lo, hi = max(0, a - most), min(length, a + (1 << 14))
@@ -317,12 +317,12 @@ def _viterbi_long(text: str, table: PieceTable) -> list[int]:
         for r, e in enumerate(ends.tolist()):
             i, j = edge[r], edge[r + 1]
             if table.merges:
-                value = _valid_pairs(piece[0, e - size[i:j]], this[i:j], table).astype(float)
+                value = _valid_pairs(piece[e - size[i:j], 0], this[i:j], table).astype(float)
             else:
                 value = best[e - size[i:j]] + np.where(at[i:j] < 0, table.unknown_score, table.scores[at[i:j]])
             k = int(value.argmax())
-            best[e], back[0, e], piece[0, e] = value[k], size[i + k], this[i + k]
-    return _trace([text], back, piece, table)[0]
+            best[e], back[e, 0], piece[e, 0] = value[k], size[i + k], this[i + k]
+    return _trace(_codes([text], length), back, piece, table)[0]
 
 
 def _blank_run(n: int, table: PieceTable) -> list[int]:
@@ -344,46 +344,92 @@ def _blank_run(n: int, table: PieceTable) -> list[int]:
     return [sizes[k] for k in out]
 
 
-def _trace(texts: list[str], back: np.ndarray, piece: np.ndarray, table: PieceTable) -> list[list[int]]:
-    out = []
-    for t, b, p in zip(texts, back.tolist(), piece.tolist()):
-        e, ids = len(t), []
-        while e:
-            if p[e] >= 0:
-                ids.append(p[e])
-            elif table.byte_ids:
-                ids += [table.byte_ids[c] for c in reversed(t[e - 1].encode("utf-8", "surrogatepass"))]
-            elif not (ids and ids[-1] == table.unknown_id):
-                ids.append(table.unknown_id)
-            e -= b[e]
-        out.append(ids[::-1])
-    return out
-
+def _trace(codes: np.ndarray, back: np.ndarray, piece: np.ndarray, table: PieceTable) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts behind each other, and their number in each: the
+    backpointers of all texts are followed together."""
+    n, length = codes.shape
+    end = np.full(n, length)
+    rows, steps = np.arange(n), []
+    while len(rows):
+        e = end[rows]
+        p = piece[e, rows].astype(np.int64)
+        steps.append((rows, np.where(p < 0, -1 - codes[rows, e - 1].astype(np.int64), p)))   # below 0: a character
+        end[rows] = e - back[e, rows]
+        rows = rows[end[rows] > 0]
+    count = np.zeros(n, np.int64)
+    for r, _ in steps:
+        count[r] += 1
+    last = np.cumsum(count) - 1
+    flat = np.zeros(int(count.sum()), np.int64)
+    for k, (r, p) in enumerate(steps):
+        flat[last[r] - k] = p
+    return _spell_unknown(flat, count, table) if (flat < 0).any() else (flat, count)
+
+
+def _spell_unknown(flat: np.ndarray, count: np.ndarray, table: PieceTable) -> tuple[np.ndarray, np.ndarray]:
+    """Characters without a piece become their byte pieces, or one unknown piece for
+    each run of them."""
+    size = np.ones(len(flat), np.int64)
+    text = np.repeat(np.arange(len(count)), count)
+    spelt = {}
+    if table.byte_ids:
+        for p in np.unique(flat[flat < 0]).tolist():
+            spelt[p] = [table.byte_ids[c] for c in chr(-1 - p).encode("utf-8", "surrogatepass")]
+            size[flat == p] = len(spelt[p])
+    else:
+        again = np.zeros(len(flat), bool)
+        again[1:] = (flat[1:] < 0) & (flat[:-1] < 0) & (text[1:] == text[:-1])
+        size[again] = 0
+        flat = np.where(flat < 0, table.unknown_id, flat)
+    start = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.int64)
+    one = (flat >= 0) & (size > 0)
+    out[start[one]] = flat[one]
+    for p, ids in spelt.items():
+        out[start[flat == p][:, None] + np.arange(len(ids))] = ids
+    return out, np.bincount(text, size, len(count)).astype(np.int64)
+
+
+def encode_cuts(cuts: list[str], table: PieceTable) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct cuts in the order of work, their ids behind each other, and
+    the number of ids of each. Equal lengths advance together."""
+    order, flats, counts = [], [], []
+
+    def add(texts: list[str], flat, count) -> None:
+        order.extend(texts)
+        flats.append(np.asarray(flat, np.int64))
+        counts.append(np.asarray(count, np.int64))
 
-def encode_cuts(cuts: list[str], table: PieceTable) -> dict[str, list[int]]:
-    """Ids of distinct cuts: equal lengths advance together."""
-    by_length: dict[int, list[str]] = {}
-    out: dict[str, list[int]] = {}
     if table.merges and any(c[:2] == BLANK * 2 or c == BLANK for c in cuts):
         # blanks merge with each other last: only the one before a word can join it
         runs = {c: len(c) - len(c.lstrip(BLANK)) for c in cuts if c[:2] == BLANK * 2 or c == BLANK}
-        rest = encode_cuts(list({c[n - 1:] for c, n in runs.items() if n < len(c)} | {c for c in cuts if c not in runs}), table)
+        words = list({c[n - 1:] for c, n in runs.items() if n < len(c)} | {c for c in cuts if c not in runs})
+        add(*encode_cuts(words, table))
+        at = dict(zip(order, np.split(flats[0], np.cumsum(counts[0])[:-1]))) if words else {}
         blank = table.merges.blanks[1]
+        wanted = set(cuts)
         for c, n in runs.items():
-            word = rest.get(c[n - 1:]) if n < len(c) else [blank]
+            word = at[c[n - 1:]].tolist() if n < len(c) else [blank]
             alone = word[0] == blank
-            out[c] = _blank_run(n if alone else n - 1, table) + (word[1:] if alone else word)
-        return rest | out
+            ids = _blank_run(n if alone else n - 1, table) + (word[1:] if alone else word)
+            if c in at and c in wanted:
+                raise AssertionError("a cut with blanks was encoded twice")
+            add([c], ids, [len(ids)])
+        return order, np.concatenate(flats), np.concatenate(counts)
+    by_length: dict[int, list[str]] = {}
     for c in cuts:
         by_length.setdefault(len(c), []).append(c)
     for length, same in by_length.items():
         if length >= LONG_CUT:
-            out |= {c: _viterbi_long(c, table) for c in same}
+            for c in same:
+                ids = _viterbi_long(c, table)
+                add([c], ids, [len(ids)])
             continue
-        step = max(1, (1 << 16) // length)
+        step = max(1, (1 << 17) // length)
         for i in range(0, len(same), step):
-            out |= zip(same[i:i + step], _viterbi_equal(same[i:i + step], length, table))
-    return out
+            add(same[i:i + step], *_viterbi_equal(same[i:i + step], length, table))
+    empty = np.zeros(0, np.int64)
+    return order, np.concatenate(flats or [empty]), np.concatenate(counts or [empty])
 
 
 def _normal(text: str, table: PieceTable) -> str:
@@ -405,22 +451,54 @@ def _stretches(text: str, table: PieceTable):
         a = b
 
 
-def encode_texts(texts: list[str], table: PieceTable, cache: dict[str, list[int]]) -> list[list[int]]:
-    """Ids of each text; ``cache`` holds cuts that were encoded before."""
-    out: list[list[int]] = []
-    for t in texts:
-        ids: list[int] = []
-        for cuts in _stretches(_normal(t, table), table):
-            new = {c for c in cuts if c not in cache}
-            if new:
-                if len(cache) + len(new) > CACHE_CUTS:
-                    cache.clear()
-                    new = set(cuts)
-                cache.update(encode_cuts(list(new), table))
-            for c in cuts:
-                ids += cache[c]
-        out.append(ids)
-    return out
+class Encoder:
+    """Encodes texts and keeps the cuts it has encoded, up to CACHE_CUTS of them."""
+
+    def __init__(self, table: PieceTable):
+        self.table = table
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.start, self.count, self.flat = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _learn(self, cuts: set[str]) -> None:
+        new = [c for c in cuts if c not in self.place]
+        if len(self.place) + len(new) > CACHE_CUTS:
+            self.clear()
+            new = list(cuts)
+        if new:
+            order, flat, count = encode_cuts(new, self.table)
+            self.place.update(zip(order, range(len(self.count), len(self.count) + len(order))))
+            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count) - count])
+            self.count = np.concatenate([self.count, count])
+            self.flat = np.concatenate([self.flat, flat])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts behind each other, and their number in each."""
+        flats, counts = [], np.zeros(len(texts), np.int64)
+        for i, j in _runs(texts):
+            for k, stretches in self._rounds(texts[i:j]):
+                self._learn(set().union(*stretches))
+                at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(stretches)), np.int64, sum(map(len, stretches)))
+                n = self.count[at]
+                flats.append(self.flat[N.ragged_index(self.start[at], n)].astype(np.int32))
+                ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum([0, *map(len, stretches)])]
+                counts[i + k:i + k + len(stretches)] += np.diff(ends)
+        return np.concatenate(flats or [np.zeros(0, np.int32)]), counts
+
+    def _rounds(self, texts: list[str]):
+        """(first text, cuts of each text): all texts at once, or one text a
+        stretch at a time where it is alone."""
+        if len(texts) == 1:
+            for cuts in _stretches(_normal(texts[0], self.table), self.table):
+                yield 0, [cuts]
+        else:
+            yield 0, [list(chain.from_iterable(_stretches(_normal(t, self.table), self.table))) for t in texts]
+
+    def lists(self, texts: list[str]) -> list[list[int]]:
+        flat, counts = self.encode(texts)
+        return [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] if texts else []
 
 
 def decode_ids(ids, table: PieceTable) -> str:
@@ -429,30 +507,51 @@ def decode_ids(ids, table: PieceTable) -> str:
     return text[1:] if table.dummy_prefix and text[:1] == " " else text
 
 
-def _warm(texts: list[str], table: PieceTable, cache: dict[str, list[int]]) -> None:
-    """Encode the unknown cuts of several texts in one go."""
-    new: set[str] = set()
-    for t in texts:
-        for cuts in _stretches(_normal(t, table), table):
-            new.update(cuts)
-    new = {c for c in new if c not in cache}
-    if len(cache) + len(new) > CACHE_CUTS:
-        cache.clear()
-    else:
-        cache.update(encode_cuts(list(new), table))
+class Surfaces:
+    """The bytes of all pieces behind each other, to check many texts at once."""
+
+    def __init__(self, table: PieceTable):
+        self.size = np.array([len(x) for x in table.surface])
+        self.start = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(table.surface), np.uint8)
+        self.prefix = int(table.dummy_prefix)
+
+    def round_trip(self, texts: list[str], flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Do the ids stand for the texts?"""
+        out = np.zeros(len(texts), bool)
+        edge = N.starts_of(counts)
+        for i, j in _runs(texts):
+            ids = flat[edge[i]:edge[j]]
+            size = self.size[ids]
+            got = self.data[N.ragged_index(self.start[ids], size)].tobytes()
+            ends = np.concatenate([[0], np.cumsum(size)])[edge[i:j + 1] - edge[i]].tolist()
+            for k in range(i, j):
+                one = got[ends[k - i]:ends[k - i + 1]]
+                out[k] = one[self.prefix if texts[k] else 0:] == texts[k].encode("utf-8", "surrogatepass")
+        return out
 
 
 def _runs(texts: list[str]):
     i = 0
     while i < len(texts):
         j, size = i, 0
-        while j < len(texts) and (size < GROUP_CHARS or j == i):
+        while j < len(texts) and (size + len(texts[j]) <= GROUP_CHARS or j == i):
             size += len(texts[j])
             j += 1
         yield i, j
         i = j
 
 
+_ENCODERS: dict[str, tuple[Encoder, Surfaces]] = {}     # of this Python worker: it serves many tasks
+
+
+def _worker_encoder(path: str, table: PieceTable) -> tuple[Encoder, Surfaces]:
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = Encoder(table), Surfaces(table)
+    return _ENCODERS[path]
+
+
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", out: str = "ids",
            check_col: str | None = None, keep_text: bool = True) -> DataFrame:
     """``docs`` with the list of piece ids ``out`` of ``text_col``. With
@@ -464,20 +563,17 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", out: str =
     names = [docs.columns[i] for i in through] + [out] + ([check_col] if check_col else [])
 
     def run(batches):
-        table, cache = shared.value, {}
+        encoder, surfaces = _worker_encoder(model_path, shared.value)
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            for i, j in _runs([t or "" for t in texts]):
-                part = [t or "" for t in texts[i:j]]
-                _warm(part, table, cache)
-                lists = encode_texts(part, table, cache)
-                null = [t is None for t in texts[i:j]]
-                ids = pa.array([None if z else x for z, x in zip(null, lists)], pa.list_(pa.int32()))
-                cols = [batch.column(k).slice(i, j - i) for k in through] + [ids]
-                if check_col:
-                    cols.append(pa.array([None if z else decode_ids(x, table) == t
-                                          for z, x, t in zip(null, lists, part)], pa.bool_()))
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+            given = batch.column(at).to_pylist()
+            texts = [t or "" for t in given]
+            flat, counts = encoder.encode(texts)
+            null = pa.array([t is None for t in given], pa.bool_())
+            ids = pa.ListArray.from_arrays(pa.array(N.starts_of(counts).astype(np.int32)), pa.array(flat, pa.int32()))
+            cols = [batch.column(k) for k in through] + [pc.if_else(null, pa.scalar(None, ids.type), ids)]
+            if check_col:
+                cols.append(pc.if_else(null, pa.scalar(None, pa.bool_()), pa.array(surfaces.round_trip(texts, flat, counts))))
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = docs.select(*[docs.columns[i] for i in through], F.lit(None).cast("array<int>").alias(out),
                          *([F.lit(None).cast("boolean").alias(check_col)] if check_col else [])).schema
@@ -486,8 +582,6 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", out: str =
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with the text of its piece ids (null list: null)."""
-    import pandas as pd
-
     shared = encoded.sparkSession.sparkContext.broadcast(load_pieces(model_path))
 
     @F.pandas_udf("string")

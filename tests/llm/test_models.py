@@ -27,21 +27,43 @@ def _odd_texts():
 def test_merge_file_equals_the_library(table, rows):
     lib = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
     texts = _odd_texts() + [t or "" for _, t, *_ in rows]
-    assert pieces.encode_texts(texts, table, {}) == lib.encode(texts)
+    assert pieces.Encoder(table).lists(texts) == lib.encode(texts)
     long = " ".join(t for t in texts)
-    assert pieces.encode_texts([long], table, {}) == [lib.encode(long)]
+    assert pieces.Encoder(table).lists([long]) == [lib.encode(long)]
+
+
+def test_groups_and_forgetting_do_not_matter(table, monkeypatch):
+    texts = _odd_texts()
+    want = pieces.Encoder(table).lists(texts)
+    monkeypatch.setattr(pieces, "GROUP_CHARS", 40)
+    monkeypatch.setattr(pieces, "CACHE_CUTS", 25)
+    monkeypatch.setattr(pieces, "PAIR_BITS", 21)
+    e = pieces.Encoder(table)
+    assert e.lists(texts) == want and e.lists(texts[::-1]) == want[::-1] and e.lists([]) == []
+
+
+def test_few_pair_slots(monkeypatch):
+    monkeypatch.setattr(pieces, "PAIR_BITS", 3)
+    t = pieces.load_pieces(pieces.default_model())
+    lib = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    texts = _odd_texts()
+    assert pieces.Encoder(t).lists(texts) == lib.encode(texts)
 
 
 def test_long_cut_equals_short_path(table, monkeypatch):
     texts = _odd_texts()
-    want = pieces.encode_texts(texts, table, {})
+    want = pieces.Encoder(table).lists(texts)
     monkeypatch.setattr(pieces, "LONG_CUT", 1)
-    assert pieces.encode_texts(texts, table, {}) == want
+    assert pieces.Encoder(table).lists(texts) == want
 
 
 def test_round_trip(table):
     texts = [t for t in _odd_texts() if "▁" not in t]
-    assert [pieces.decode_ids(i, table) for i in pieces.encode_texts(texts, table, {})] == texts
+    assert [pieces.decode_ids(i, table) for i in pieces.Encoder(table).lists(texts)] == texts
+    flat, counts = pieces.Encoder(table).encode(texts)
+    assert pieces.Surfaces(table).round_trip(texts, flat, counts).all()
+    wrong = pieces.Surfaces(table).round_trip(texts[:-1] + ["other"], flat, counts)
+    assert wrong[:-1].all() and not wrong[-1]
 
 
 def _unigram_file(path, entries):
@@ -80,7 +102,7 @@ def test_unigram_file_takes_the_best_sum(tmp_path, monkeypatch, long_cut):
     names = {i: x for x, i in ids.items()}
     for _ in range(150):
         text = "".join(rng.choice("abcd abz") for _ in range(rng.randint(1, 30)))
-        got = pieces.encode_texts([text], t, {})[0]
+        got = pieces.Encoder(t).lists([text])[0]
         if "z" in text:
             continue
         assert "".join(names[i] for i in got) == "▁" + text.replace(" ", "▁")
