@@ -43,8 +43,8 @@ from corpusflow.llm.store import without
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_CUTS = 800_000      # encoded cuts that a Python worker keeps
-GROUP_CHARS = 4 << 20     # characters encoded together
+CACHE_CUTS = 400_000      # encoded cuts that a Python worker keeps
+GROUP_CHARS = 1 << 20     # characters encoded together
 LONG_CUT = 512            # from here a cut advances alone
 NEAR_BITS = 20
 PAIR_BITS = 21
@@ -565,15 +565,18 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", out: str =
     def run(batches):
         encoder, surfaces = _worker_encoder(model_path, shared.value)
         for batch in batches:
-            given = batch.column(at).to_pylist()
-            texts = [t or "" for t in given]
-            flat, counts = encoder.encode(texts)
-            null = pa.array([t is None for t in given], pa.bool_())
-            ids = pa.ListArray.from_arrays(pa.array(N.starts_of(counts).astype(np.int32)), pa.array(flat, pa.int32()))
-            cols = [batch.column(k) for k in through] + [pc.if_else(null, pa.scalar(None, ids.type), ids)]
-            if check_col:
-                cols.append(pc.if_else(null, pa.scalar(None, pa.bool_()), pa.array(surfaces.round_trip(texts, flat, counts))))
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            off = N.utf8(batch.column(at))[1]
+            for i, j in N.groups(off):                 # a bounded part of the batch at a time
+                part = batch.slice(i, j - i)
+                given = part.column(at).to_pylist()
+                texts = [t or "" for t in given]
+                flat, counts = encoder.encode(texts)
+                null = pa.array([t is None for t in given], pa.bool_())
+                ids = pa.ListArray.from_arrays(pa.array(N.starts_of(counts).astype(np.int32)), pa.array(flat, pa.int32()))
+                cols = [part.column(k) for k in through] + [pc.if_else(null, pa.scalar(None, ids.type), ids)]
+                if check_col:
+                    cols.append(pc.if_else(null, pa.scalar(None, pa.bool_()), pa.array(surfaces.round_trip(texts, flat, counts))))
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = docs.select(*[docs.columns[i] for i in through], F.lit(None).cast("array<int>").alias(out),
                          *([F.lit(None).cast("boolean").alias(check_col)] if check_col else [])).schema
