@@ -6,15 +6,17 @@ Bands of ``rows`` values propose candidates, and every candidate is confirmed on
 the full shingle sets.
 
 Documents with equal sets form a class first, and only classes take part in
-banding, so a group of copies is one node.  In a bucket every class is held
-against the smallest one (a star, not all pairs); after the components of the
-confirmed links are known, buckets whose classes lie in several components are
-worked on further, a few pivots at a time, until no bucket holds an untested
-pair of classes of different components.  Pairs inside one component need no
-test, and pairs whose set sizes rule the similarity out are never made.
-
-At a similarity of 0.8, a band of 4 values agrees with probability 0.41; 32 bands
-all miss a pair with probability 5e-8.
+banding, so a group of copies is one node.  Bands are swept a few at a time.  In
+a bucket, one class of each component known so far is held against that of the
+first component (a star, not all pairs), and the confirmed links merge components
+before the next sweep, so a group of near copies soon is one row in each bucket.
+Buckets whose classes still lie in several components are then worked on pivot by
+pivot (a bounded number in each pass) until none holds an untested pair of classes
+of different components.  Pairs inside one component need no test, and pairs
+whose set sizes rule the similarity out are never made.
+
+At a similarity of 0.8, a band of 6 values agrees with probability 0.26; 42 bands
+all miss a pair with probability 3e-6.
 
 Defined results: a text without words (null, empty) has no shingles and is
 linked with nothing; a text with fewer words than a shingle has one shingle, its
@@ -27,6 +29,7 @@ empty result; no other column of the input is read, whatever its name.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +41,22 @@ from corpusflow.llm.bloom import rows_with_ids, rows_without_ids
 from corpusflow.llm.graph import components
 from corpusflow.llm.store import stored
 
-PIVOTS = 16              # tested against their bucket in each later pass
+FIRST_SWEEP = 3          # bands worked on at first
+SWEEP = 13               # bands worked on together after that
+SMALL_BUCKET = 2048      # classes up to which all of a bucket are pivots in one later pass
+PIVOTS = 64              # of a larger bucket in each later pass
 
 
 @dataclass(frozen=True)
 class MinHashParams:
     words: int = 5            # of a shingle
     percent: int = 80         # linked when 100 * intersection >= percent * union
-    perms: int = 64
-    rows: int = 4             # signature values of a band
+    perms: int = 126
+    rows: int = 6             # signature values of a band
+
+    @property
+    def bands(self) -> int:
+        return 2 * self.perms // self.rows
 
 
 def shingle_sets(buf: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,58 +135,104 @@ def _sets(docs: DataFrame, p: MinHashParams) -> DataFrame:
     return docs.mapInArrow(run, "id long, shingles array<long>")
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, p: MinHashParams) -> DataFrame:
-    """Of the stored pairs (a, b) those that are linked, by their full sets."""
-    ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
-    sets = stored(_sets(rows_with_ids(docs, "id", ids).select("id", "text"), p), "sets")
-    one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return (pairs.join(one, "a").join(two, "b")
-                 .withColumn("both", both)
-                 .filter(100 * F.col("both") >= p.percent * (F.size("sa") + F.size("sb") - F.col("both")))
-                 .select("a", "b"))
-
-
-def _sizes_fit(n: str, m: str, p: MinHashParams):
-    return 100 * F.least(n, m) >= p.percent * F.greatest(n, m)
+class _Links:
+    """Candidate pairs tested so far and the components of the links among them.
+    The full set of a document is made when a pair first asks for it."""
+
+    def __init__(self, docs: DataFrame, p: MinHashParams):
+        spark = docs.sparkSession
+        self.docs, self.p = docs, p
+        self.sets = spark.createDataFrame([], "id long, shingles array<long>")
+        self.tested = spark.createDataFrame([], "a long, b long")
+        self.comp = spark.createDataFrame([], "node long, component long")
+
+    def with_component(self, rows: DataFrame) -> DataFrame:
+        return (rows.join(self.comp, rows["id"] == self.comp["node"], "left")
+                    .select("key", "id", "n", F.coalesce("component", "id").alias("c")))
+
+    def test(self, pairs: DataFrame) -> bool:
+        """Test the pairs (a, b) that are new; is one of them a link?"""
+        todo = stored(pairs.distinct().join(self.tested, ["a", "b"], "left_anti"), "pairs")
+        if todo.isEmpty():
+            return False
+        ids = todo.select(F.col("a").alias("id")).union(todo.select("b")).distinct()
+        ids = stored(ids.join(self.sets.select("id"), "id", "left_anti"), "ids")
+        if not ids.isEmpty():
+            wanted = rows_with_ids(self.docs, "id", ids).select("id", "text")
+            self.sets = self.sets.union(stored(_sets(wanted, self.p), "sets"))
+        one = self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+        two = self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+        shared = F.size(F.array_intersect("sa", "sb")).cast("long")
+        more = stored(todo.join(one, "a").join(two, "b").withColumn("m", shared)
+                          .filter(100 * F.col("m") >= self.p.percent * (F.size("sa") + F.size("sb") - F.col("m")))
+                          .select("a", "b").distinct(), "links")
+        self.tested = self.tested.union(todo)
+        if more.isEmpty():
+            return False
+        so_far = self.comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        self.comp = stored(components(so_far.union(more)), "components")
+        return True
+
+
+def _contracted(tagged: DataFrame) -> DataFrame:
+    """One class (id, n) of each component in each bucket: a component is one row
+    there, however many classes it has, and the map side already merges them."""
+    return (tagged.groupBy("key", "c").agg(F.min(F.struct("id", "n")).alias("r"), F.count(F.lit(1)).alias("m"))
+                  .select("key", "c", "r.id", "r.n", "m"))
+
+
+def _several(contracted: DataFrame) -> DataFrame:
+    """Keys that hold several components, with their number of classes."""
+    return (contracted.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.sum("m").alias("size"))
+                      .filter("lo < hi").select("key", "size"))
+
+
+def _star(reps: DataFrame, p: MinHashParams) -> DataFrame:
+    """In each bucket the class of every component against that of the first one."""
+    first = reps.groupBy("key").agg(F.min(F.struct("c", "id", "n")).alias("pivot"))
+    return _pairs(reps.join(first, "key").filter(F.col("c") != F.col("pivot.c")), p)
+
+
+def _pairs(against: DataFrame, p: MinHashParams) -> DataFrame:
+    fits = 100 * F.least("n", "pivot.n") >= p.percent * F.greatest("n", "pivot.n")     # else the sizes rule it out
+    return against.filter(fits).select(F.greatest("id", "pivot.id").alias("a"), F.least("id", "pivot.id").alias("b"))
 
 
 def near_duplicate_links(docs: DataFrame, classes: DataFrame, p: MinHashParams) -> DataFrame:
     """Components of ``classes`` (id, n, keys): ``node``, ``component`` for
     the ids that are linked with another one."""
-    rows = classes.select("id", "n", F.explode("keys").alias("key"))
-    shared = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("id", "n")).alias("pivot"))
-                  .filter("c > 1").select("key", "pivot"))
-    members = stored(rows.join(shared, "key").filter("id <> pivot.id"), "buckets")
-
-    def pairs_of(df: DataFrame) -> DataFrame:
-        return (df.filter(_sizes_fit("n", "pivot.n", p) & (F.col("id") != F.col("pivot.id")))
-                  .select(F.greatest("id", "pivot.id").alias("a"), F.least("id", "pivot.id").alias("b")).distinct())
-
-    tested = stored(pairs_of(members), "pairs")
-    links = stored(_confirmed(docs, tested, p), "links")
-    comp = stored(components(links), "components")
-    open_rows = members.select("key", "id", "n")
+    found = _Links(docs, p)
+    swept, at = [], 0
+    while at < p.bands:
+        size = FIRST_SWEEP if at == 0 else SWEEP      # the first one has nothing to contract yet
+        reps = _contracted(found.with_component(classes.select("id", "n", F.explode(F.slice("keys", at + 1, size)).alias("key"))))
+        reps = stored(reps.join(_several(reps), "key").select("key", "c", "id", "n", "m"), "buckets")
+        found.test(_star(reps, p))
+        swept.append(reps.select("key", "id", "n", "m"))
+        at += size
+    # buckets that still hold several components; their first classes against each other until nothing merges
+    reps = reduce(DataFrame.union, swept)
+    while True:
+        tagged = reps.join(found.comp, reps["id"] == found.comp["node"], "left").select("key", "id", "n", "m", F.coalesce("component", "id").alias("c"))
+        tagged = tagged.groupBy("key", "c").agg(F.min(F.struct("id", "n")).alias("r"), F.sum("m").alias("m")).select("key", "c", "r.id", "r.n", "m")
+        reps = stored(tagged.join(_several(tagged), "key").select("key", "c", "id", "n", "m"), "open")
+        if reps.isEmpty():
+            return found.comp
+        if not found.test(_star(reps, p)):
+            break
+        reps = reps.drop("c")
+    keys = reps.select("key").distinct()
+    rows = stored(classes.select("id", "n", F.explode("keys").alias("key")).join(keys, "key"), "rows")
     while True:
-        tagged = open_rows.join(comp, open_rows["id"] == comp["node"], "left").select(
-            "key", "id", "n", F.coalesce("component", "id").alias("c"))
-        several = tagged.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-        tagged = stored(tagged.join(several, "key"), "open")
-        pivots = (tagged.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(PIVOTS)).alias("slot"))
-                        .agg(F.max(F.struct("c", "id", "n")).alias("pivot")).select("key", "pivot"))
-        against = tagged.join(pivots, "key").filter(F.col("c") != F.col("pivot.c"))
-        todo = stored(pairs_of(against).join(tested, ["a", "b"], "left_anti"), "pairs")
+        tagged = found.with_component(rows)
+        tagged = stored(tagged.join(_several(tagged.withColumn("m", F.lit(1))), "key"), "open")
         if tagged.isEmpty():
-            return comp
-        if not todo.isEmpty():
-            more = stored(_confirmed(docs, todo, p), "links")
-            tested = stored(tested.union(todo), "tested")
-            if not more.isEmpty():
-                links = stored(links.union(more), "links")
-                comp = stored(components(links), "components")
+            return found.comp
+        slot = F.when(F.col("size") <= SMALL_BUCKET, F.col("id")).otherwise(F.pmod(F.xxhash64("id"), F.lit(PIVOTS)))
+        pivots = tagged.groupBy("key", slot.alias("slot")).agg(F.max(F.struct("c", "id", "n")).alias("pivot")).select("key", "pivot")
+        found.test(_pairs(tagged.join(pivots, "key").filter(F.col("c") != F.col("pivot.c")), p))
         used = pivots.select("key", F.col("pivot.id").alias("id"))
-        open_rows = tagged.select("key", "id", "n").join(used, ["key", "id"], "left_anti")
+        rows = stored(tagged.select("key", "id", "n").join(used, ["key", "id"], "left_anti"), "rows")
 
 
 def near_duplicate_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
