@@ -6,6 +6,8 @@ window one anchor, the smallest hash among its ``gram``-symbol grams, the leftmo
 where equal; equal windows have equal anchors.  Neighbouring windows with one
 anchor make a segment (shorter than two windows), and all work is on segments:
 
+0. copies: of documents with one text the first stands for all, and the others lose
+   every window;
 1. anchors that occur twice or more, from packed lists of hashes, a list for each
    batch of rows and bucket (a batch names an anchor twice at most);
 2. segments of those anchors, as digests with document and place.  A Bloom filter
@@ -31,8 +33,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusflow.llm import numerics as N
 from corpusflow.llm.bloom import bloom_words, contains, may_contain
@@ -42,6 +46,7 @@ OUT = ("n_units", "n_removed", "removed_spans", "clean")
 NO_ID = -(1 << 63)        # a null identifier sorts first
 _POS_BITS = N.U((1 << 21) - 1)
 _SHAPE = 1 << 12
+WHOLE = (1 << 31) - 1      # end of a span over the whole text
 RUNS = "h long, dg long, o1 int, o2 int, ed long, et long, ep int"
 
 
@@ -111,6 +116,22 @@ def _batches(batches, column: int, p: RepeatParams):
                 yield batch, i, found
 
 
+def _copies(docs: DataFrame) -> DataFrame:
+    """d, t of the documents whose text a document with a smaller identifier has too."""
+    slim = docs.select("d", "t", F.xxhash64(F.lit(1), "text").alias("u"), F.octet_length("text").alias("n"))
+    first = slim.groupBy("t", "u", "n").agg(F.min("d").alias("first"), F.max("d").alias("last")).filter("first < last")
+    return stored(slim.join(first, ["t", "u", "n"]).filter("d > first").select("d", "t").distinct(), "copies")
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without those in ``gone`` (d, t); only possible hits are shuffled."""
+    key = F.xxhash64("d", "t")
+    may = may_contain(docs.sparkSession, bloom_words(gone.select(key.alias("k")), "k", gone.count()))
+    flagged = docs.withColumn("may", may(key))
+    rest = flagged.filter("may").join(gone, ["d", "t"], "left_anti")
+    return flagged.filter("NOT may").unionByName(rest).drop("may")
+
+
 def _repeated_anchors(docs: DataFrame, p: RepeatParams) -> DataFrame:
     """Anchor hashes ``h`` that occur twice or more, once each."""
     buckets = 4 * shuffle_partitions(docs.sparkSession)
@@ -154,7 +175,7 @@ def _places(docs: DataFrame, anchors: DataFrame, p: RepeatParams) -> DataFrame:
 
 
 def _contents(docs: DataFrame, contested: DataFrame, p: RepeatParams) -> DataFrame:
-    """Contested segments with the values of their symbols, ``v``."""
+    """Contested segments with their symbols, ``v``: bytes, or the words' values."""
     asked = stored(contested.groupBy("d", "t").agg(F.collect_list(F.struct("h", "dg", "i0", "shape", "hot")).alias("asks")), "asked")
     may = may_contain(docs.sparkSession, bloom_words(asked, "d", asked.count()))
     joined = docs.select("d", "t", "text").filter(may(F.col("d"))).dropDuplicates(["d", "t"]).join(asked, ["d", "t"])
@@ -164,7 +185,8 @@ def _contents(docs: DataFrame, contested: DataFrame, p: RepeatParams) -> DataFra
             buf, off = N.utf8(batch.column(2))
             asks = batch.column(3)
             for i, j in N.groups(off):
-                v, counts = symbols(buf[off[i]:off[j]], off[i:j + 1] - off[i], p.unit)
+                part, places = buf[off[i]:off[j]], off[i:j + 1] - off[i]
+                v, counts = (part, np.diff(places)) if p.unit == "bytes" else symbols(part, places, p.unit)
                 lists = asks.slice(i, j - i)
                 rows = lists.flatten()
                 n = np.diff(lists.offsets.to_numpy())
@@ -175,10 +197,20 @@ def _contents(docs: DataFrame, contested: DataFrame, p: RepeatParams) -> DataFra
                 ids = pa.array(doc + i)
                 yield pa.RecordBatch.from_arrays(
                     [rows.field("h"), rows.field("dg"), batch.column(0).take(ids), batch.column(1).take(ids), rows.field("i0"),
-                     rows.field("shape"), rows.field("hot"), N.list_array(flat.view(np.int64), size, pa.int64())],
+                     rows.field("shape"), rows.field("hot"), _binary(flat, size)],
                     names=["h", "dg", "d", "t", "i0", "shape", "hot", "v"])
 
-    return stored(joined.mapInArrow(run, "h long, dg long, d long, t long, i0 int, shape int, hot boolean, v array<long>"), "contents")
+    return stored(joined.mapInArrow(run, "h long, dg long, d long, t long, i0 int, shape int, hot boolean, v binary"), "contents")
+
+
+def _binary(flat: np.ndarray, size: np.ndarray) -> pa.Array:
+    """One binary value for each ``size`` items of ``flat``."""
+    off = (N.starts_of(size) * flat.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(flat))])
+
+
+def _symbol_type(p: RepeatParams):
+    return np.uint8 if p.unit == "bytes" else N.U
 
 
 @dataclass
@@ -203,7 +235,7 @@ def _runs_of(pdf: pd.DataFrame, p: RepeatParams, kernel: Kernel) -> pd.DataFrame
     shape = pdf["shape"].to_numpy(np.int64)
     n, left = shape // _SHAPE, shape % _SHAPE
     size = n + p.window - 1
-    v = np.concatenate(pdf["v"].tolist()).view(N.U)
+    v = np.frombuffer(b"".join(pdf["v"]), _symbol_type(p)).astype(N.U)
     d, t = pdf["d"].to_numpy(np.int64), pdf["t"].to_numpy(np.int64)
     anchor = pdf["i0"].to_numpy(np.int64) + left
     order = np.lexsort((anchor, t, d))
@@ -229,9 +261,9 @@ def _hot_runs(contents: DataFrame, p: RepeatParams) -> DataFrame:
     over their windows."""
     def spread(batches):
         for batch in batches:
-            lists = batch.column(6)
-            size = np.diff(lists.offsets.to_numpy())
-            v = lists.flatten().to_numpy().view(N.U)
+            v = np.frombuffer(b"".join(batch.column(6).to_pylist()), _symbol_type(p))
+            size = pc.binary_length(batch.column(6)).to_numpy() // v.itemsize
+            v = N.BYTE_KEYS[v] if p.unit == "bytes" else v
             n = size - p.window + 1
             w = N.windows(v, p.window)[N.ragged_index(N.starts_of(size)[:-1], n)]
             seg = np.repeat(np.arange(len(n)), n)
@@ -252,35 +284,73 @@ def _hot_runs(contents: DataFrame, p: RepeatParams) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, p: RepeatParams, kernel: Kernel) -> DataFrame:
     """``docs`` has d, t, text.  Per document with something to remove: ``spans``,
-    a list of (a, b), overlapping, in symbols."""
-    places = _places(docs, _repeated_anchors(docs, p), p)
-    distinct = stored(places.groupBy("h", "dg").agg(F.count(F.lit(1)).alias("n"), F.max("shape").alias("shape"),
+    a list of (a, b), overlapping, in symbols; (0, WHOLE) for a copy."""
+    copies = _copies(docs)
+    singles = _without(docs, copies)
+    places = _places(singles, _repeated_anchors(singles, p), p)
+    distinct = stored(places.groupBy("h", "dg").agg(F.count(F.lit(1)).cast("int").alias("n"), F.max("shape").alias("shape"),
                                                     F.min(F.struct("d", "t", "i0")).alias("f")), "segments")
-    several = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    known = stored(distinct.join(several, "h", "left"), "segments")
-    contested = known.filter("k IS NOT NULL").select("h", "dg", "f.d", "f.t", "f.i0", "shape", (F.col("k") > p.hot_segments).alias("hot"))
+    several = stored(distinct.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "contested")
+    may = may_contain(docs.sparkSession, bloom_words(several, "h", several.count()))
+    contested = distinct.filter(may(F.col("h"))).join(several, "h").select(
+        "h", "dg", "f.d", "f.t", "f.i0", "shape", (F.col("k") > p.hot_segments).alias("hot"))
     contents = _contents(docs, contested, p)
     buckets = 4 * shuffle_partitions(docs.sparkSession)
     cold = (contents.filter("NOT hot").groupBy(F.pmod("h", F.lit(buckets)).alias("bucket"))
                     .applyInPandas(lambda pdf: _runs_of(pdf, p, kernel), RUNS))
-    alone = known.filter("k IS NULL AND n > 1").select(
+    # a repeated segment is later than its own first place, whatever else its windows equal
+    alone = distinct.filter("n > 1").select(
         "h", "dg", F.lit(0).alias("o1"), (F.floor(F.col("shape") / _SHAPE) - 1).cast("int").alias("o2"),
         F.col("f.d").alias("ed"), F.col("f.t").alias("et"), F.col("f.i0").alias("ep"))
     runs = stored(cold.unionByName(_hot_runs(contents, p)).unionByName(alone), "runs")
     start = F.col("i0") + F.col("o1")
     later = (F.struct("ed", "et", "ep") < F.struct(F.col("d"), F.col("t"), start)) if p.within_document else F.col("ed") < F.col("d")
-    return (places.join(runs, ["h", "dg"]).filter(later)
-                  .groupBy("d", "t").agg(F.collect_list(F.struct(start.alias("a"), (F.col("i0") + F.col("o2") + p.window).alias("b"))).alias("spans")))
+    found = places.join(runs, ["h", "dg"]).filter(later).select(
+        "d", "t", F.struct(start.alias("a"), (F.col("i0") + F.col("o2") + p.window).alias("b")).alias("s"))
+    whole = copies.select("d", "t", F.struct(F.lit(0).alias("a"), F.lit(WHOLE).alias("b")).alias("s"))
+    return found.unionByName(whole).groupBy("d", "t").agg(F.collect_list("s").alias("spans"))
 
 
-def _cut(n: int, spans) -> tuple[np.ndarray, list[dict]]:
+def _cut(n: int, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Which of ``n`` symbols go, and the maximal runs of them."""
     step = np.zeros(n + 1, np.int32)
-    np.add.at(step, [s["a"] for s in spans], 1)
-    np.add.at(step, [s["b"] for s in spans], -1)
+    np.add.at(step, begins, 1)
+    np.add.at(step, ends, -1)
     gone = np.cumsum(step[:-1]) > 0
     edge = np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))
-    return gone, [{"a": int(a), "b": int(b)} for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
+    return gone, np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def _finished(texts: pa.Array, spans: pa.Array, p: RepeatParams) -> list[pa.Array]:
+    """Columns of OUT for some texts and their lists of spans (null: none)."""
+    buf, off = N.utf8(texts)
+    edge = spans.offsets.to_numpy()
+    flat = spans.values
+    begins, ends = flat.field("a").to_numpy(), flat.field("b").to_numpy()
+    some = np.diff(edge) > 0
+    units, removed, clean, a_of, b_of, runs = [], [], [], [], [], []
+    for i in range(len(texts)):
+        data = buf[off[i]:off[i + 1]]
+        words = data.tobytes().split() if p.unit == "words" else None      # on ASCII blanks
+        n = len(data) if words is None else len(words)
+        units.append(n)
+        if not some[i]:
+            removed.append(0)
+            runs.append(0)
+            clean.append(data.tobytes() if words is None else b" ".join(words))
+            continue
+        first, last = begins[edge[i]:edge[i + 1]], ends[edge[i]:edge[i + 1]]
+        if (last == WHOLE).any():
+            first, last = (np.array([0]), np.array([n])) if n >= p.window else (first[:0], last[:0])
+        gone, a, b = _cut(n, first, last)
+        removed.append(int(gone.sum()))
+        runs.append(len(a))
+        a_of.append(a)
+        b_of.append(b)
+        clean.append(data[~gone].tobytes() if words is None else b" ".join([w for w, g in zip(words, gone.tolist()) if not g]))
+    pair = pa.StructArray.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0), pa.int32()) for x in (a_of, b_of)], names=["a", "b"])
+    lists = pa.ListArray.from_arrays(pa.array(N.starts_of(np.array(runs, np.int64)).astype(np.int32)), pair)
+    return [pa.array(units, pa.int64()), pa.array(removed, pa.int64()), lists, pa.array(clean, pa.binary())]
 
 
 def remove_repeats(docs: DataFrame, id_col: str, text_col: str, p: RepeatParams, kernel: Kernel) -> DataFrame:
@@ -299,29 +369,17 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, p: RepeatParams,
     rest = flagged.filter("NOT __may").withColumn("__spans", F.lit(None).cast(spans.schema["__spans"].dataType))
     both = hit.unionByName(rest)
     kind = "n_units long, n_removed long, removed_spans array<struct<a:int,b:int>>, clean binary"
+    names = docs.columns
+    at = names.index(text_col)
 
-    @F.pandas_udf(kind)
-    def finish(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text, spans_of in zip(texts, lists):
-            data = (text or "").encode()
-            if p.unit == "words":
-                words = data.split()           # on ASCII blanks
-                n = len(words)
-                if spans_of is None:
-                    rows.append((n, 0, [], b" ".join(words)))
-                    continue
-                gone, runs = _cut(n, spans_of)
-                clean = b" ".join([w for w, g in zip(words, gone.tolist()) if not g])
-            else:
-                n = len(data)
-                if spans_of is None:
-                    rows.append((n, 0, [], data))
-                    continue
-                gone, runs = _cut(n, spans_of)
-                clean = np.frombuffer(data, np.uint8)[~gone].tobytes()
-            rows.append((n, int(gone.sum()), runs, clean))
-        return pd.DataFrame(rows, columns=["n_units", "n_removed", "removed_spans", "clean"])
-
-    done = both.withColumn("__r", finish(F.col(text_col), F.col("__spans")))
-    return done.select(*[F.col(c) for c in docs.columns], *[F.col(f"__r.{c}").alias(c) for c in OUT])
+    def finish(batches):
+        for batch in batches:
+            off = N.utf8(batch.column(at))[1]
+            for i, j in N.groups(off):                 # a bounded part of the batch at a time
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *_finished(part.column(at), part.column(len(names)), p)],
+                                                 names=[*names, *OUT])
+
+    slim = both.select(*names, "__spans")
+    schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string(kind).fields])
+    return slim.mapInArrow(finish, schema)

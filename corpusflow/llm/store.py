@@ -25,7 +25,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     lineage ends there, and the loss of an executor repeats nothing before it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
