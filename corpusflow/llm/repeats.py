@@ -56,7 +56,7 @@ class RepeatParams:
     window: int
     gram: int
     within_document: bool      # does an earlier place in the same document count?
-    hot_segments: int = 256    # distinct segments of an anchor that one task takes
+    hot_segments: int = 4096   # distinct segments of an anchor that one task takes
 
 
 def symbols(buf: np.ndarray, off: np.ndarray, unit: str) -> tuple[np.ndarray, np.ndarray]:
