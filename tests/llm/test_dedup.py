@@ -88,6 +88,26 @@ def test_near_duplicates_odd(odd_docs, no_docs):
     assert minhash.near_duplicate_ids(no_docs).count() == 0 and minhash.drop_near_duplicates(no_docs).count() == 0
 
 
+def _line_runs_or_long(rows, size, long):
+    """plain.line_runs, where a repeated line of ``long`` words or more goes alone too."""
+    seen, gone, out = [set(), set()], {}, {}
+    seqs = {i: [(p, x) for p, x in enumerate((t or "").split("\n")) if plain.words(x)] for i, t in rows}
+    for i in sorted(seqs):
+        x, gone[i] = [x for _, x in seqs[i]], set()
+        for q in range(len(x)):
+            for n, known in zip((size, 1), seen):
+                run = tuple(x[q:q + n])
+                if len(run) == n and (n > 1 or len(plain.words(x[q])) >= long):
+                    gone[i].update(range(q, q + n) if run in known else ())
+                    known.add(run)
+    for i, t in rows:
+        drop, s = set(), seqs[i]
+        for q in gone[i]:
+            drop.update(range(s[q][0], s[q + 1][0] + 1) if q + 1 in gone[i] else [s[q][0]])
+        out[i] = (len(gone[i]), "\n".join(x for p, x in enumerate((t or "").split("\n")) if p not in drop))
+    return out
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 4])
 def test_line_dedup(docs, rows, size):
     want = plain.line_runs(_pairs(rows), size)
@@ -107,6 +127,28 @@ def test_line_dedup_odd(spark, odd_docs, no_docs):
     assert got == {None: "b\nc", 1: "a", 2: "x\n"}
 
 
+@pytest.mark.parametrize("size", [2, 3])
+@pytest.mark.parametrize("long", [1, 12, 30])
+def test_line_dedup_long_lines(docs, rows, size, long):
+    want = _line_runs_or_long(_pairs(rows), size, long)
+    assert want != plain.line_runs(_pairs(rows), size)
+    for r in linededup.line_dedup(docs, min_lines=size, long_words=long).collect():
+        n, left = want[r["doc_id"]]
+        assert r["n_removed_lines"] == n == sum(x["lines"] for x in r["removed_runs"])
+        assert (r["clean_text"] or "") == left
+
+
+def test_line_dedup_long_line_between_others(spark):
+    long = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, f"a\n{long}\nb"), (2, f"c\n\n{long}\n\nd"), (3, long), (4, long + " x"), (5, f"e\na\n{long}\n{long}\nf"), (6, "a"), (7, "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["clean_text"], [tuple(x) for x in r["removed_runs"]]) for r in linededup.line_dedup(df, long_words=50).collect()}
+    assert got == {1: (rows[0][1], []), 2: ("c\n\n\nd", [(2, 2, 1)]), 3: ("", [(0, 0, 1)]), 4: (rows[3][1], []),
+                   5: ("e\nf", [(1, 3, 3)]), 6: ("a", []), 7: ("a", [])}
+    kept = {r["doc_id"] for r in linededup.line_dedup(df, long_words=51).filter("n_removed_lines = 0").collect()}
+    assert kept == {1, 2, 3, 4, 6, 7}
+
+
 def test_line_dedup_is_native(docs):
     plan = linededup.line_dedup(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
