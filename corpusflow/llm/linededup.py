@@ -9,7 +9,9 @@ once is settled and leaves, so only repeated lines are carried on; doubling
 stops at ``min_lines``.  Suffixes with one rank then are an interval whose
 longest common prefix is ``min_lines`` or more.  Its first suffix, by (document,
 line), stays; the others' lines are marked, and neighbouring marks join into the
-maximal repeated runs that are deleted, with the blank lines inside them.  With
+runs that are deleted, with the blank lines inside them.  No longer common prefix
+is derived: a run is a union of repeated groups of ``min_lines`` lines, which may
+come from different documents, and not always a repeat as a whole.  With
 ``long_words``, a repeated line of that many words or more is a run of its own
 accord: its interval, known from the first ranking, counts beside the others.
 

@@ -149,6 +149,11 @@ def test_line_dedup_long_line_between_others(spark):
     assert kept == {1, 2, 3, 4, 6, 7}
 
 
+def test_line_dedup_runs_are_unions(spark):
+    df = spark.createDataFrame([(1, "a\nb"), (2, "c\nd"), (3, "a\nb\nc\nd")], "doc_id long, text string")
+    assert {r["doc_id"]: [tuple(x) for x in r["removed_runs"]] for r in linededup.line_dedup(df).collect()} == {1: [], 2: [], 3: [(0, 3, 4)]}
+
+
 def test_line_dedup_is_native(docs):
     plan = linededup.line_dedup(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
