@@ -17,8 +17,8 @@ anchor make a segment (shorter than two windows), and all work is on segments:
 4. anchors with several distinct segments are contested: windows of different
    segments may be equal.  Their texts are fetched once each, aligned at the
    anchor, and the operator's own kernel finds the first place of every window.
-   An anchor with very many distinct segments is spread by window instead, and
-   aggregated window by window;
+   An anchor with very many distinct segments is first split by the symbols next
+   to it, level by level, with equal parts made one at each;
 5. every place of a segment is held against the first places of its windows;
    later ones are marked.
 
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -56,7 +57,7 @@ class RepeatParams:
     window: int
     gram: int
     within_document: bool      # does an earlier place in the same document count?
-    hot_segments: int = 4096   # distinct segments of an anchor that one task takes
+    hot_segments: int = 256   # distinct segments of an anchor that one task takes
 
 
 def symbols(buf: np.ndarray, off: np.ndarray, unit: str) -> tuple[np.ndarray, np.ndarray]:
@@ -256,30 +257,82 @@ def _runs_of(pdf: pd.DataFrame, p: RepeatParams, kernel: Kernel) -> pd.DataFrame
                          "ep": (anchor[src] - left[who] + o[s]).astype(np.int32)})
 
 
-def _hot_runs(contents: DataFrame, p: RepeatParams) -> DataFrame:
-    """The same for anchors with very many distinct segments, by an aggregate
-    over their windows."""
-    def spread(batches):
-        for batch in batches:
-            v = np.frombuffer(b"".join(batch.column(6).to_pylist()), _symbol_type(p))
-            size = pc.binary_length(batch.column(6)).to_numpy() // v.itemsize
-            v = N.BYTE_KEYS[v] if p.unit == "bytes" else v
-            n = size - p.window + 1
-            w = N.windows(v, p.window)[N.ragged_index(N.starts_of(size)[:-1], n)]
-            seg = np.repeat(np.arange(len(n)), n)
-            o = np.arange(len(seg)) - N.starts_of(n)[seg]
-            ids = pa.array(seg)
+def _halves(units: DataFrame, p: RepeatParams) -> DataFrame:
+    """Units (segments of one group ``g``, or parts of them, with digest ``c``), cut in two by
+    the anchor's place in the window: the windows with ``k1`` to ``k2`` symbols before the anchor
+    become those with k1 to m and those with m + 1 to k2.  All windows of such a part hold
+    the same stretch around the anchor, and the next group is the old one with its symbols."""
+    def halved(batch):
+        g, c, d, t, i0, shape, k1, k2 = (batch.column(k).to_numpy() for k in range(8))
+        v = np.frombuffer(b"".join(batch.column(8).to_pylist()), _symbol_type(p))
+        n, left = shape.astype(np.int64) // _SHAPE, shape.astype(np.int64) % _SHAPE
+        start = N.starts_of(n + p.window - 1)[:-1]
+        up, down = N.powers(len(v) + 1)
+        total = np.zeros(len(v) + 1, N.U)
+        np.cumsum((N.BYTE_KEYS[v] if p.unit == "bytes" else v) * up[:len(v)], out=total[1:])
+        middle = (k1 + k2) // 2
+        for a, b in ((k1, middle), (middle + 1, k2)):
+            lo, hi = np.maximum(left - b, 0), np.minimum(left - a, n - 1)
+            ok = np.flatnonzero(lo <= hi)
+            lo, hi, a, b, at = lo[ok], hi[ok], a[ok], b[ok], start[ok] + left[ok]
+            first, size = start[ok] + lo, hi - lo + p.window
+            form = (hi - lo + 1) * _SHAPE + left[ok] - lo
+            core = (total[at - b + p.window] - total[at - a]) * down[at - a]
+            part = (total[first + size] - total[first]) * down[first]
+            group = N.mix(core + N.mix(g[ok].view(N.U) + (a * _SHAPE + b).astype(N.U)))
+            digest = N.mix(part + form.astype(N.U) * N.U(0xD6E8FEB86659FD93))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(k).take(ids) for k in range(4)] +
-                [pa.array(o, pa.int32()), pa.array(batch.column(4).to_numpy()[seg] + o, pa.int32()), pa.array(w.view(np.int64))],
-                names=["h", "dg", "d", "t", "o", "p", "w"])
+                [pa.array(x) for x in (g[ok], c[ok], lo.astype(np.int32), group.view(np.int64), digest.view(np.int64), d[ok], t[ok],
+                                       (i0[ok] + lo).astype(np.int32), form.astype(np.int32), a.astype(np.int32), b.astype(np.int32))]
+                + [_binary(v[N.ragged_index(first, size)], size)],
+                names=["g", "c", "o", "g2", "c2", "d", "t", "i0", "shape", "k1", "k2", "v"])
 
-    rows = stored(contents.filter("hot").select("h", "dg", "d", "t", "i0", "shape", "v")
-                  .mapInArrow(spread, "h long, dg long, d long, t long, o int, p int, w long"), "windows")
-    first = rows.groupBy("h", "w").agg(F.min(F.struct("d", "t", "p")).alias("f"))
-    return (rows.join(first, ["h", "w"])
-                .select("h", "dg", F.col("o").alias("o1"), F.col("o").alias("o2"), F.col("f.d").alias("ed"),
-                        F.col("f.t").alias("et"), F.col("f.p").alias("ep")))
+    def run(batches):
+        for batch in batches:
+            size = pc.binary_length(batch.column(8)).to_numpy() // np.dtype(_symbol_type(p)).itemsize
+            for i, j in N.groups(N.starts_of(size)):       # a bounded number of symbols at a time
+                yield from halved(batch.slice(i, j - i))
+
+    return units.select("g", "c", "d", "t", "i0", "shape", "k1", "k2", "v").mapInArrow(
+        run, "g long, c long, o int, g2 long, c2 long, d long, t long, i0 int, shape int, k1 int, k2 int, v binary")
+
+
+def _hot_runs(contents: DataFrame, p: RepeatParams, kernel: Kernel) -> DataFrame:
+    """The same for anchors with very many distinct segments, split by the symbols next to
+    the anchor until a group has few distinct units or one; equal units are one from
+    there on, so a passage common to all costs a unit for each half, not a row for each window."""
+    units = contents.filter("hot").select(F.col("h").alias("g"), F.col("dg").alias("c"), "d", "t", "i0", "shape",
+                                          F.lit(0).alias("k1"), F.lit(p.window - p.gram).alias("k2"), "v")
+    members = contents.filter("hot").select("h", "dg", F.lit(0).alias("o"), F.col("h").alias("g"), F.col("dg").alias("c"))
+    runs = []
+    while True:
+        sizes = units.groupBy("g").agg(F.count(F.lit(1)).alias("k"))
+        sized = stored(units.join(sizes, "g").withColumn("split", (F.col("k") > max(p.hot_segments, 1)) & (F.col("k1") < F.col("k2"))), "units")
+        small = (sized.filter("NOT split AND k > 1").select(F.col("g").alias("h"), F.col("c").alias("dg"), "d", "t", "i0", "shape", "v"))
+        found = _kernel_runs(small, p, kernel).unionByName(
+            sized.filter("NOT split AND k = 1").select(
+                F.col("g").alias("h"), F.col("c").alias("dg"), F.lit(0).alias("o1"),
+                (F.floor(F.col("shape") / _SHAPE) - 1).cast("int").alias("o2"),
+                F.col("d").alias("ed"), F.col("t").alias("et"), F.col("i0").alias("ep")))
+        found = found.withColumnRenamed("h", "g").withColumnRenamed("dg", "c")
+        runs.append(members.join(found, ["g", "c"]).select(
+            "h", "dg", (F.col("o") + F.col("o1")).alias("o1"), (F.col("o") + F.col("o2")).alias("o2"), "ed", "et", "ep"))
+        rest = sized.filter("split")
+        if rest.isEmpty():
+            return reduce(DataFrame.unionByName, runs)
+        parts = stored(_halves(rest, p), "halves")
+        edges = parts.select("g", "c", F.col("o").alias("by"), "g2", "c2")
+        members = stored(members.join(edges, ["g", "c"]).select("h", "dg", (F.col("o") + F.col("by")).alias("o"),
+                                                                 F.col("g2").alias("g"), F.col("c2").alias("c")), "members")
+        first = F.min_by(F.struct("d", "t", "i0", "shape", "k1", "k2", "v"), F.struct("d", "t", "i0"))
+        units = parts.groupBy(F.col("g2").alias("g"), F.col("c2").alias("c")).agg(first.alias("f")).select("g", "c", "f.*")
+
+
+def _kernel_runs(contents: DataFrame, p: RepeatParams, kernel: Kernel) -> DataFrame:
+    """Runs of the segments (h, dg, d, t, i0, shape, v), all of an anchor in one task."""
+    buckets = 4 * shuffle_partitions(contents.sparkSession)
+    return (contents.groupBy(F.pmod("h", F.lit(buckets)).alias("bucket"))
+                    .applyInPandas(lambda pdf: _runs_of(pdf, p, kernel), RUNS))
 
 
 def repeated_spans(docs: DataFrame, p: RepeatParams, kernel: Kernel) -> DataFrame:
@@ -295,14 +348,12 @@ def repeated_spans(docs: DataFrame, p: RepeatParams, kernel: Kernel) -> DataFram
     contested = distinct.filter(may(F.col("h"))).join(several, "h").select(
         "h", "dg", "f.d", "f.t", "f.i0", "shape", (F.col("k") > p.hot_segments).alias("hot"))
     contents = _contents(docs, contested, p)
-    buckets = 4 * shuffle_partitions(docs.sparkSession)
-    cold = (contents.filter("NOT hot").groupBy(F.pmod("h", F.lit(buckets)).alias("bucket"))
-                    .applyInPandas(lambda pdf: _runs_of(pdf, p, kernel), RUNS))
+    cold = _kernel_runs(contents.filter("NOT hot"), p, kernel)
     # a repeated segment is later than its own first place, whatever else its windows equal
     alone = distinct.filter("n > 1").select(
         "h", "dg", F.lit(0).alias("o1"), (F.floor(F.col("shape") / _SHAPE) - 1).cast("int").alias("o2"),
         F.col("f.d").alias("ed"), F.col("f.t").alias("et"), F.col("f.i0").alias("ep"))
-    runs = stored(cold.unionByName(_hot_runs(contents, p)).unionByName(alone), "runs")
+    runs = stored(cold.unionByName(_hot_runs(contents, p, kernel)).unionByName(alone), "runs")
     start = F.col("i0") + F.col("o1")
     later = (F.struct("ed", "et", "ep") < F.struct(F.col("d"), F.col("t"), start)) if p.within_document else F.col("ed") < F.col("d")
     found = places.join(runs, ["h", "dg"]).filter(later).select(

@@ -179,6 +179,33 @@ def test_substring_dedup(docs, rows, size, hot, monkeypatch):
         assert (r["n_units"], r["n_removed"], plain.sha(bytes(r["clean"]))) == want[r["doc_id"]]
 
 
+@pytest.mark.parametrize("module, run, size", [(suffix, suffix.suffix_dedup, 100), (substring, substring.substring_dedup, 13)])
+def test_hot_anchors_are_split_by_content(spark, module, run, size, monkeypatch):
+    """A passage that all documents share between texts of their own: rows made for its
+    hot anchors stay a few for each distinct segment, not one for each window."""
+    rng = random.Random(5)
+    passage = " ".join(f"p{rng.randrange(10**5)}" for _ in range(60))
+    rows = [(i, " ".join([f"u{rng.randrange(10**6)}" for _ in range(20)] + [passage] + [f"v{rng.randrange(10**6)}" for _ in range(20)])) for i in range(60)]
+    make, store, made = repeats.RepeatParams, repeats.stored, {}
+    assert make("bytes", 100, 24, True).hot_segments == 256
+    monkeypatch.setattr(module, "RepeatParams", lambda *a, **k: make(*a, **k, hot_segments=8))
+
+    def counted(df, name):
+        made.setdefault(name, []).append(store(df, name))
+        return made[name][-1]
+
+    monkeypatch.setattr(repeats, "stored", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = (plain.byte_repeats if size == 100 else plain.word_repeats)(rows, size)
+    for r in run(df).collect():
+        assert (r["n_units"], r["n_removed"], plain.sha(bytes(r["clean"]))) == (want[r["doc_id"]][0], want[r["doc_id"]][1], want[r["doc_id"]][-1])
+    found = made["segments"][0]
+    hot = found.join(found.groupBy("h").count().filter("count > 8"), "h")
+    levels = (size - (suffix.GRAM if size == 100 else substring.GRAM)).bit_length()
+    spread = sum(x.count() for x in made["halves"])
+    assert "windows" not in made and 0 < spread <= 2 * levels * hot.count()
+
+
 def test_segments_over_stretches(monkeypatch):
     """A text longer than a stretch is cut into windows without loss."""
     rng = np.random.default_rng(5)
