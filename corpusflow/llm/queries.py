@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import exact, linededup, minhash, mixing, pieces, ppm, quality, substring, suffix, urlfilter
+from corpusflow.llm import (align, decontam, exact, linededup, minhash, mixing, pieces, ppm, quality, resample, substring,
+                            suffix, urlfilter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -236,3 +237,68 @@ def op7(spark, sf_dir):
     d = linededup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select("doc_id", "n_lines", "n_removed_lines", F.size("removed_runs").cast("long").alias("n_runs"),
                     F.sha2(F.coalesce("clean_text", F.lit("")), 256).alias("kept_sha256"))
+
+
+# --- 11 ----------------------------------------------------------------------
+
+@_query("op11_decontamination", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS x FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS x FROM benchmark),
+g AS (SELECT DISTINCT item_id, n, array_to_string(x[k:k + n - 1], ' ') AS s
+      FROM (SELECT *, least(len(x), 10) AS n, unnest(range(1, len(x) - least(len(x), 10) + 2)) AS k FROM b WHERE len(x) > 0)),
+w AS (SELECT doc_id, k, n, array_to_string(x[k:k + n - 1], ' ') AS s
+      FROM (SELECT doc_id, x, n, unnest(range(1, len(x) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM g))),
+h AS (SELECT doc_id, k, n, item_id FROM w JOIN g USING (n, s)),
+c AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS i FROM (SELECT DISTINCT doc_id, k, n FROM h)) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(x)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+""")
+def op11(spark, sf_dir):
+    d = decontam.contamination(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    return d.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                    F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+# --- 12 ----------------------------------------------------------------------
+
+@_query("op12_importance_resampling", r"""
+WITH RECURSIVE bits AS (SELECT i, i::BIGINT AS c, 0 AS k FROM range(256) r(i) UNION ALL
+                        SELECT i, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), k + 1 FROM bits WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS tab FROM bits WHERE k = 8),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS x FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS x FROM benchmark),
+dw AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(x) AS w FROM d) GROUP BY ALL),
+bw AS (SELECT w, count(*) AS n FROM (SELECT unnest(x) AS w FROM b) GROUP BY w),
+v AS (SELECT w, list_transform(range(strlen(w)), lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::BIGINT) AS y
+      FROM (SELECT w FROM dw UNION SELECT w FROM bw)),
+f AS (SELECT w, xor(list_reduce(list_prepend(4294967295, y), lambda c, z: xor(c >> 8, tab[(xor(c, z) & 255) + 1])), 4294967295) % 10000 AS k FROM v, tab),
+s AS (SELECT k, sum(n)::DOUBLE AS s FROM dw JOIN f USING (w) GROUP BY k),
+t AS (SELECT k, sum(n)::DOUBLE AS t FROM bw JOIN f USING (w) GROUP BY k),
+a AS (SELECT coalesce((SELECT sum(s) FROM s), 0) AS s_all, coalesce((SELECT sum(t) FROM t), 0) AS t_all),
+g AS (SELECT k, floor(1000 * ln((coalesce(t, 0) + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::BIGINT AS gain FROM s LEFT JOIN t USING (k), a),
+m AS (SELECT doc_id, sum(n * gain)::BIGINT AS weight FROM dw JOIN f USING (w) JOIN g USING (k) GROUP BY doc_id),
+o AS (SELECT d.doc_id, len(x)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+             ('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT AS h FROM d LEFT JOIN m USING (doc_id)),
+z AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM o),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM z WHERE n_features >= 20)
+SELECT z.doc_id, n_features, weight, score, CASE WHEN place <= (SELECT count(*) FROM r) * 10 // 100 THEN place END AS rank
+FROM z LEFT JOIN r USING (doc_id)
+""")
+def op12(spark, sf_dir):
+    d = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample.importance_resample(d, _table(spark, sf_dir, "benchmark").select("text"))
+
+
+# --- 13 ----------------------------------------------------------------------
+
+@_query("op13_cross_tokenizer_alignment")
+def op13(spark, sf_dir):
+    d = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align.cross_alignment(d, *align.default_files())
