@@ -5,6 +5,11 @@ Both token rows cover the same bytes, so aligning them is merging two sorted lis
 of token ends: an end that only one side has links two tokens, an end of both
 sides links two tokens and closes a group.
 
+Neither tokenizer joins what a single blank between two other characters parts, so
+texts are encoded segment by segment there, and a worker keeps the ids of the
+segments it has seen, ``KEPT_SEGMENTS`` at most.  (A file for which this does not
+hold is given whole texts.)
+
 The documents of a bounded run lie behind each other, hence one merge for all of
 them.  Its path is cut at every ``PIECE``-th diagonal: a binary search, for all
 diagonals at once, finds how many A and B ends lie before each cut.  The pieces
@@ -33,6 +38,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from functools import lru_cache
 from itertools import chain
 
@@ -42,9 +48,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm import numerics as N
+from corpusflow.llm.pieces import load_pieces
 from corpusflow.llm.store import stored
 
 PIECE = 256                   # merged ends of one piece
+KEPT_SEGMENTS = 1 << 19       # whose ids a worker remembers
 BROADCAST_PAIRS = 2_000_000   # rows of the pair table up to which it is broadcast
 TIE_COLUMNS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 
@@ -70,7 +78,10 @@ class ByteLevel:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
+        vocab, before = spec["model"]["vocab"], spec["pre_tokenizer"] or {}
+        self.separable = (spec["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+                          and not before.get("add_prefix_space") and all(t["special"] for t in spec["added_tokens"]))
         letters = byte_letters()
         self.surface = [b""] * self.tok.get_vocab_size()
         for entry, i in vocab.items():
@@ -88,6 +99,11 @@ class Pieces:
 
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.surface = [self._bytes(i) for i in range(self.sp.get_piece_size())]
+        try:
+            table = load_pieces(path)
+            self.separable = table.dummy_prefix and not table.crossing
+        except ValueError:                # a normaliser that may look over blanks
+            self.separable = False
 
     def _bytes(self, i: int) -> bytes:
         piece = self.sp.id_to_piece(i)
@@ -141,42 +157,92 @@ def merge_path(a: np.ndarray, b: np.ndarray, piece: int = PIECE) -> tuple[np.nda
 
 # --- one run of documents ----------------------------------------------------
 
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+
+
+def segments_of(text: str) -> list[str]:
+    """The text cut at every single blank between two other characters."""
+    return _CUT.split(text)
+
+
+class Encoded:
+    """Ids of segments under both tokenizers, and whether both give them back."""
+
+    def __init__(self, a: ByteLevel, b: Pieces):
+        self.a, self.b = a, b
+        self.separable = a.separable and b.separable
+        self._forget()
+
+    def _forget(self):
+        self.place: dict[str, int] = {}
+        self.good = np.zeros(0, bool)
+        self.count, self.flat = [np.zeros(0, np.int64)] * 2, [np.zeros(0, np.int32)] * 2
+
+    def cut(self, texts: list[str]) -> list[list[str]]:
+        if not self.separable:
+            return [[t] for t in texts]
+        plain = [t.split(" ") for t in texts]       # right unless blanks meet other white space
+        loose = {s for s in set(chain.from_iterable(plain)) if not s or s[-1].isspace()}
+        return plain if not loose else [p if loose.isdisjoint(p) else segments_of(t) for t, p in zip(texts, plain)]
+
+    def learn(self, segments: set[str]):
+        new = list(segments - self.place.keys())
+        if len(self.place) + len(new) > KEPT_SEGMENTS:
+            self._forget()
+            new = list(segments)
+        for i in range(0, len(new), KEPT_SEGMENTS // 8):
+            part = new[i:i + KEPT_SEGMENTS // 8]
+            ids = self.a.ids(part), self.b.ids(part)
+            wanted = [b" " + s.encode() for s in part]
+            good = [b"".join(map(self.a.surface.__getitem__, x)) == w and b"".join(map(self.b.surface.__getitem__, y)) == w
+                    for w, x, y in zip(wanted, *ids)]
+            self.place.update(zip(part, range(len(self.place), len(self.place) + len(part))))
+            self.good = np.append(self.good, good)
+            for k in range(2):
+                self.count[k] = np.append(self.count[k], np.array([len(x) for x in ids[k]], np.int64))
+                self.flat[k] = np.append(self.flat[k], np.fromiter(chain.from_iterable(ids[k]), np.int32))
+        self.start = [N.starts_of(c) for c in self.count]
+
+    def encode(self, texts: list[str]):
+        """Places of the texts that both tokenizers give back; for A and for B
+        their ids behind each other and their number in each text."""
+        have = np.array([k for k, t in enumerate(texts) if t], np.int64)
+        cut = self.cut([texts[k] for k in have])
+        self.learn(set(chain.from_iterable(cut)))
+        sizes = np.array([len(c) for c in cut], np.int64)
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+        if not len(have):
+            return have, [], []
+        fine = np.logical_and.reduceat(self.good[at], N.starts_of(sizes)[:-1])
+        at, sizes = at[np.repeat(fine, sizes)], sizes[fine]
+        edge = N.starts_of(sizes)
+        ids, counts = [], []
+        for k in range(2):
+            n = self.count[k][at]
+            ids.append(self.flat[k][N.ragged_index(self.start[k][at], n)].astype(np.int64))
+            counts.append(np.diff(N.starts_of(n)[edge]))
+        return have[fine], ids, counts
+
+
 class Aligner:
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = ByteLevel(path_a), Pieces(path_b)
-        self.size_a, self.size_b = (np.array([len(s) for s in t.surface], np.int64) for t in (self.a, self.b))
-        self.base = len(self.b.surface)
-        names = [str(i).encode() + b"," for i in range(max(len(self.a.surface), self.base))]
+        a, b = ByteLevel(path_a), Pieces(path_b)
+        self.encoded = Encoded(a, b)
+        self.size_a, self.size_b = (np.array([len(s) for s in t.surface], np.int64) for t in (a, b))
+        names = [str(i).encode() + b"," for i in range(max(len(self.size_a), len(self.size_b)))]
         self.name = np.frombuffer(b"".join(names), np.uint8)
         self.name_size = np.array([len(x) for x in names], np.int64)
         self.name_at = N.starts_of(self.name_size)[:-1]
 
-    def _both(self, texts: list[str]):
-        """Ids of the texts that both tokenizers give back, and their places."""
-        have = [k for k, t in enumerate(texts) if t]
-        given = [texts[k] for k in have]
-        place, ids_a, ids_b = [], [], []
-        for k, t, x, y in zip(have, given, self.a.ids(given), self.b.ids(given)):
-            want = b" " + t.encode()
-            if (b"".join(map(self.a.surface.__getitem__, x)) == want
-                    and b"".join(map(self.b.surface.__getitem__, y)) == want):
-                place.append(k)
-                ids_a.append(x)
-                ids_b.append(y)
-        return place, ids_a, ids_b
-
     def align(self, texts: list[str]) -> dict:
         """Columns of TIE_COLUMNS, ``pairs`` and ``links`` for the texts."""
-        place, lists_a, lists_b = self._both(texts)
+        at, ids, counts = self.encoded.encode(texts)
         n = len(texts)
         out = {c: np.zeros(n, np.int64) for c in ("n_a", "n_b", "n_groups", "n_links")} | {"groups_sha256": [""] * n}
         pair_counts = np.zeros(n, np.int64)
-        if not place:
+        if not len(at):
             return out | {"pairs": np.zeros(0, np.int64), "links": np.zeros(0, np.int64), "pair_counts": pair_counts}
-        at = np.array(place)
-        counts_a, counts_b = (np.array([len(x) for x in ids], np.int64) for ids in (lists_a, lists_b))
-        a, b = (np.fromiter(chain.from_iterable(ids), np.int64, int(c.sum()))
-                for ids, c in ((lists_a, counts_a), (lists_b, counts_b)))
+        (a, b), (counts_a, counts_b) = ids, counts
         step_a, step_b, _, again = merge_path(np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]))
         link = np.flatnonzero(~again)
         la, lb = step_a[link], step_b[link]
@@ -187,14 +253,14 @@ class Aligner:
         groups_upto = np.searchsorted(group_a, doc_a[1:], "right")
         out["n_a"][at], out["n_b"][at] = counts_a, counts_b
         out["n_groups"][at] = np.diff(groups_upto, prepend=0)
-        out["n_links"][at] = np.bincount(doc, minlength=len(place))
-        for k, digest in zip(place, self._digests(a, b, group_a, group_b, doc_a + doc_b)):
+        out["n_links"][at] = np.bincount(doc, minlength=len(at))
+        for k, digest in zip(at, self._digests(a, b, group_a, group_b, doc_a + doc_b)):
             out["groups_sha256"][k] = digest
-        shift = int(len(self.a.surface) * self.base).bit_length()
-        if shift + len(place).bit_length() > 63:
+        shift = (len(self.size_a) * len(self.size_b)).bit_length()
+        if shift + len(at).bit_length() > 63:
             raise ValueError("vocabularies too large for one key")
-        key, links = np.unique((doc << shift) + a[la] * self.base + b[lb], return_counts=True)
-        pair_counts[at] = np.bincount(key >> shift, minlength=len(place))
+        key, links = np.unique((doc << shift) + a[la] * len(self.size_b) + b[lb], return_counts=True)
+        pair_counts[at] = np.bincount(key >> shift, minlength=len(at))
         return out | {"pairs": key & ((1 << shift) - 1), "links": links, "pair_counts": pair_counts}
 
     def _digests(self, a, b, group_a, group_b, doc_tokens):
