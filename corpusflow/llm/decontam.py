@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from corpusflow.llm.store import stored, without
 
 #: Words in either case; blanks, punctuation and control characters of ASCII part them.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WORD = r"[a-zA-Z0-9\x{80}-\x{10FFFF}]+"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
 OUT = ("n_words", "n_hit", "hit_spans", "item_ids", "contaminated", "clean_text")
 _KEY = ["d", "t"]
@@ -88,27 +88,30 @@ def _probe_hash(n: int) -> Column:
 
 
 def window_hits(docs: DataFrame, found: ItemWindows, id_col: str, text_col: str, params: DecontamParams) -> DataFrame:
-    """Verified hits: document key, first word ``p`` (from 0), words ``n``, window ``w``."""
+    """One scan of the documents: a row with ``head`` for each of them, with its
+    ``n_words``, and a row with ``w`` for each verified hit: document key, first
+    word ``p`` (from 0), words ``n``, window ``w``.  One row can be both."""
     size = F.sum(F.aggregate("win", F.lit(48), lambda a, x: a + F.octet_length(x) + 16))
     lengths, total = found.windows.agg(F.collect_set("n"), size).first()       # at most ``words`` lengths
+    lengths = sorted(lengths) or [params.words]
     text = F.coalesce(F.col(text_col), F.lit(""))
     placed = docs.select(F.col(id_col).alias("d"), F.xxhash64(text).alias("t"), normal_words(text).alias("x")).select(
-        "d", "t", "x", F.posexplode("x").alias("p", "word"))
-    if not lengths:
-        return placed.select("d", "t", "p", F.lit(0).alias("n"), F.lit(None).cast("long").alias("w")).filter(F.lit(False))
+        "d", "t", "x", F.posexplode_outer("x").alias("p", "word"))             # a text without words: one row, p is null
     if len(lengths) == 1:
         probes = placed.select("d", "t", "x", "p", F.lit(lengths[0]).alias("n"), _probe_hash(lengths[0]).alias("h"))
     else:
-        each = F.array(*[F.struct(F.lit(n).alias("n"), _probe_hash(n).alias("h")) for n in sorted(lengths)])
+        each = F.array(*[F.struct(F.lit(n).alias("n"), _probe_hash(n).alias("h")) for n in lengths])
         probes = placed.select("d", "t", "x", "p", F.inline(each))
-    probes = probes.filter(F.col("p") + F.col("n") <= F.size("x"))
-    slices = -(-total // params.broadcast_bytes)
+    first = (F.coalesce("p", F.lit(0)) == 0) & (F.col("n") == lengths[0])
+    slices = max(1, -(-(total or 0) // params.broadcast_bytes))
 
     def scan(k: int) -> DataFrame:
         part = found.windows if slices == 1 else found.windows.filter(F.pmod("h", F.lit(slices)) == k)
         part = part.select(F.col("h").alias("wh"), F.col("n").alias("wn"), "win", "w")
         same = (F.col("h") == F.col("wh")) & (F.col("n") == F.col("wn")) & (F.slice("x", F.col("p") + 1, F.col("n")) == F.col("win"))
-        return probes.join(F.broadcast(part), same).select("d", "t", "p", "n", "w")
+        head = first if k == 0 else F.lit(False)
+        return (probes.join(F.broadcast(part), same, "left").withColumn("head", head).filter("head OR w IS NOT NULL")
+                      .select("d", "t", "p", "n", "w", "head", F.size("x").cast("long").alias("n_words")))
 
     return reduce(DataFrame.unionByName, [scan(k) for k in range(slices)])
 
@@ -116,7 +119,7 @@ def window_hits(docs: DataFrame, found: ItemWindows, id_col: str, text_col: str,
 def _spans(hits: DataFrame) -> DataFrame:
     """Per document with hits: ``n_hit`` and the runs of marked words (``a`` to before ``b``)."""
     on = Window.partitionBy(*_KEY).orderBy("p")
-    marks = hits.groupBy(*_KEY, "p").agg((F.col("p") + F.max("n")).alias("e"))
+    marks = hits.groupBy(*_KEY, "p").agg((F.col("p") + F.max("n")).alias("e"))        # repeated rows fall together
     reach = F.max("e").over(on.rowsBetween(Window.unboundedPreceding, -1))
     marks = marks.withColumn("run", F.coalesce(F.col("p") > reach, F.lit(True)).cast("int"))
     runs = (marks.withColumn("run", F.sum("run").over(on)).groupBy(*_KEY, "run")
@@ -125,29 +128,43 @@ def _spans(hits: DataFrame) -> DataFrame:
                                    F.array_sort(F.collect_list(F.struct("a", "b"))).alias("hit_spans"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text", params: DecontamParams = DecontamParams()) -> DataFrame:
-    """``docs`` with ``n_words``, ``n_hit`` (words inside a hit), ``hit_spans``
-    (runs of such words, numbered from 0, end exclusive), ``item_ids`` (items with
-    a hit, sorted as strings) and ``contaminated``."""
-    docs = without(docs, *OUT)
-    found = item_windows(benchmark, item_col, item_text_col, params)
-    hits = stored(window_hits(docs, found, id_col, text_col, params), "hits")
+def _found(scanned: DataFrame, found: ItemWindows) -> DataFrame:
+    """Per document key with hits: ``n_hit``, ``hit_spans``, ``item_ids`` (null: none named)."""
+    hits = scanned.filter("w IS NOT NULL")
     items = (hits.select(*_KEY, "w").distinct().join(found.holders, "w").select(*_KEY, "c").distinct()
                  .join(found.items, "c").groupBy(*_KEY).agg(F.array_sort(F.collect_set("item")).alias("item_ids")))
     spans, items = _spans(hits).toDF("__d", "__t", "n_hit", "hit_spans"), items.toDF("__e", "__u", "item_ids")
-    keyed = docs.withColumn("n_words", count_words(F.col(text_col))).withColumn("__k", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    return spans.join(items, F.col("__d").eqNullSafe(F.col("__e")) & (F.col("__t") == F.col("__u")), "left").drop("__e", "__u")
 
-    def of(d: str, t: str) -> Column:
-        return F.col(id_col).eqNullSafe(F.col(d)) & (F.col("__k") == F.col(t))
 
-    out = keyed.join(spans, of("__d", "__t"), "left").join(items, of("__e", "__u"), "left")
-    none = F.lit(0).cast("long")
-    return (out.withColumn("n_hit", F.coalesce(F.col("n_hit").cast("long"), none))
-               .withColumn("hit_spans", F.coalesce("hit_spans", F.array().cast(spans.schema["hit_spans"].dataType)))
+def _with_found(rows: DataFrame, key: Column, text_key: Column, hits: DataFrame) -> DataFrame:
+    out = rows.join(hits, key.eqNullSafe(F.col("__d")) & (text_key == F.col("__t")), "left").drop("__d", "__t")
+    return (out.withColumn("n_hit", F.coalesce(F.col("n_hit").cast("long"), F.lit(0).cast("long")))
+               .withColumn("hit_spans", F.coalesce("hit_spans", F.array().cast(hits.schema["hit_spans"].dataType)))
                .withColumn("item_ids", F.coalesce("item_ids", F.array().cast("array<string>")))
-               .withColumn("contaminated", F.col("n_hit") > 0)
-               .drop("__d", "__t", "__e", "__u", "__k"))
+               .withColumn("contaminated", F.col("n_hit") > 0))
+
+
+def contamination_report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         item_col: str = "item_id", item_text_col: str = "text", params: DecontamParams = DecontamParams()) -> DataFrame:
+    """One row for each row of ``docs``: its identifier, ``n_words``, ``n_hit``
+    (words inside a hit), ``hit_spans`` (runs of such words, numbered from 0, end
+    exclusive), ``item_ids`` (items with a hit, sorted as strings), ``contaminated``.
+    The documents are read once."""
+    found = item_windows(benchmark, item_col, item_text_col, params)
+    scanned = stored(window_hits(docs, found, id_col, text_col, params), "hits")
+    heads = scanned.filter("head").select("d", "t", F.greatest("n_words", F.lit(0)).alias("n_words"))
+    return _with_found(heads, F.col("d"), F.col("t"), _found(scanned, found)).drop("t").withColumnRenamed("d", id_col)
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  item_col: str = "item_id", item_text_col: str = "text", params: DecontamParams = DecontamParams()) -> DataFrame:
+    """``docs`` with all its columns and those of :func:`contamination_report`."""
+    docs = without(docs, *OUT)
+    found = item_windows(benchmark, item_col, item_text_col, params)
+    scanned = stored(window_hits(docs, found, id_col, text_col, params), "hits")
+    keyed = docs.withColumn("n_words", count_words(F.col(text_col))).withColumn("__k", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    return _with_found(keyed, F.col(id_col), F.col("__k"), _found(scanned, found)).drop("__k")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "spans", id_col: str = "doc_id", text_col: str = "text",

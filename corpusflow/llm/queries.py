@@ -259,7 +259,7 @@ SELECT d.doc_id, len(x)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 """)
 def op11(spark, sf_dir):
-    d = decontam.contamination(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    d = decontam.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return d.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
                     F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 

@@ -56,7 +56,7 @@ def test_hits(docs, rows, items, small_broadcast):
     want = plain_hits([(r[0], r[1]) for r in rows], texts)
     assert sum(bool(h) for _, h, _ in want.values()) > 5
     p = decontam.DecontamParams(broadcast_bytes=2000 if small_broadcast else 1 << 20)
-    for r in decontam.contamination(docs, frame, params=p).collect():
+    for r in decontam.contamination(docs, frame, params=p).collect() + decontam.contamination_report(docs, frame, params=p).collect():
         n, hit, ids = want[r["doc_id"]]
         assert (r["n_words"], r["n_hit"], r["item_ids"], r["contaminated"]) == (n, len(hit), ids, bool(hit))
         assert {i for a, b in r["hit_spans"] for i in range(a, b)} == hit
@@ -90,7 +90,9 @@ def test_decontamination_odd(spark, odd_docs, no_docs, items):
     got = decontam.contamination(odd, frame).collect()
     assert len(got) == 10 and all(r["win"] == "x" for r in got)
     assert sorted(r["n_hit"] for r in got) == [0] * 5 + [10] * 5
-    assert decontam.contamination(no_docs, frame).count() == 0
+    again = decontam.contamination_report(odd, frame).collect()
+    assert Counter((r["doc_id"], r["n_words"], r["n_hit"]) for r in again) == Counter((r["doc_id"], r["n_words"], r["n_hit"]) for r in got)
+    assert decontam.contamination(no_docs, frame).count() == decontam.contamination_report(no_docs, frame).count() == 0
     none = decontam.decontaminate(odd_docs, items[1].limit(0)).collect()
     assert len(none) == 10 and not any(r["contaminated"] or r["item_ids"] for r in none)
 
@@ -210,7 +212,7 @@ def plain_align(rows):
              sum(holds[x] for x in links), plain.sha(g) if g else "") for d, na, nb, links, g in docs]
 
 
-ODD_TEXTS = ["", None, "a", " ", "  two  blanks \n\n tabs\t\t", "<|endoftext|> <s> </s> <unk>", "▁piece mark", "ñandú 中文 😀 \u0000 \x7f",
+ODD_TEXTS = ["trailing blank ", " leading", "tab\t blank", "line\n  indented   more \n\n x", "no\u00a0 break \u2003 em", "a  b c", "un\u2581der", "x \x1c y\x1d z", "", None, "a", " ", "  two  blanks \n\n tabs\t\t", "<|endoftext|> <s> </s> <unk>", "▁piece mark", "ñandú 中文 😀 \u0000 \x7f",
              "x" * 700, "ﬁ ligature é", "\r\n", "日本語のテキスト", "<0x41> literal"]
 
 
