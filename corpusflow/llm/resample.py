@@ -82,14 +82,14 @@ def crossing_buckets(text: Column, p: ResampleParams) -> Column:
 
 
 def _lines(table: DataFrame, text_col: str) -> DataFrame:
-    return table.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line"))
+    lines = table.select(F.explode_outer(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line"))
+    return lines.filter(F.col("line").rlike(WORD))
 
 
 def segments(table: DataFrame, text_col: str, p: ResampleParams) -> DataFrame:
     """Distinct lines: two hashes, ``occ`` (occurrences), ``n`` (words), ``buckets``."""
     once = _lines(table, text_col).groupBy("line").agg(F.count(F.lit(1)).alias("occ"))
-    worded = once.select("line", "occ", normal_words(F.col("line")).alias("x")).filter("size(x) > 0")
-    return stored(worded.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), F.col("line")).alias("h2"), "occ",
+    return stored(once.select("line", "occ", normal_words(F.col("line")).alias("x")).select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), F.col("line")).alias("h2"), "occ",
                                 F.size("x").alias("n"), line_buckets(F.col("x"), p).alias("buckets")), "segments")
 
 
