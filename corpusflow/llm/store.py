@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -11,10 +12,13 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names.  Only where it is unset
-    (tests, a laptop) a private one is registered instead."""
+    """The folder that ``spark.checkpoint.dir`` names.  Only a session inside one
+    process (``local[n]``) may leave it unset and gets a private one; executors of a
+    cluster could not see that, so there it is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpusflow-ckpt-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder
