@@ -8,18 +8,24 @@ once as a column of its own.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from corpusflow.functions.metrics import similarity_py
 from corpusflow.functions.text import words
 
+LOOK_AHEAD = 2       # words that one text may have more than the other before they meet again
+ALIKE = 85.0         # similarity above which two words count as one
+
 
 def _empty(c: Column) -> Column:
     return F.coalesce(F.length(c) == 0, F.lit(True))
 
 
 def bleeding(mic: Column, speaker: Column, similarity: Column, threshold: float = 0.75) -> Column:
-    """Struct of ``score`` -- the larger of the similarity (0 to 1) and the share of
+    """Struct of ``score`` -- the larger of the similarity (0 to 1) and the share of
     the speaker's distinct words that the microphone has too -- and ``detected``.
     Without one of the texts: 0 and false."""
     mine, theirs = F.array_distinct(words(F.lower(mic))), F.array_distinct(words(F.lower(speaker)))
@@ -53,8 +59,9 @@ def validated(mic: Column, speaker: Column, similarity: Column, similarity_thres
     """Struct of ``text``, ``confidence`` and ``agreement`` (high, medium, low; null
     with an empty text).  Of agreeing texts the speaker's counts if it is preferred,
     else the longer one; of others the cleaner channel's, the speaker's, or the
-    microphone's.  The word-by-word consensus strategy is not built."""
-    if strategy not in ("best_confidence", "speaker_priority"):
+    microphone's.  The strategy ``consensus`` merges word by word (:func:`consensus`)
+    what is at least half alike, unless agreeing texts have a preferred speaker."""
+    if strategy not in ("best_confidence", "speaker_priority", "consensus"):
         raise ValueError(f"strategy {strategy!r}")
 
     def pick(text: Column, confidence: Column, agreement: str | None) -> Column:
@@ -63,7 +70,49 @@ def validated(mic: Column, speaker: Column, similarity: Column, similarity_thres
     sure = similarity / 100.0
     speaker_first = strategy == "speaker_priority" or use_cleaner_channel
     agreed = speaker if speaker_first else F.when(F.length(speaker) > F.length(mic), speaker).otherwise(mic)
-    fallback = speaker if use_cleaner_channel else mic
+    fallback = partial = speaker if use_cleaner_channel else mic
+    if strategy == "consensus":
+        partial = consensus(mic, speaker)
+        agreed = speaker if use_cleaner_channel else partial
     return (F.when(_empty(mic) & _empty(speaker), pick(F.lit(""), F.lit(0.0), None)).when(_empty(mic), pick(speaker, F.lit(0.5), None))
              .when(_empty(speaker), pick(mic, F.lit(0.5), None)).when(similarity >= similarity_threshold, pick(agreed, sure, "high"))
-             .when(similarity >= 50, pick(fallback, sure, "medium")).otherwise(pick(fallback, sure, "low")))
+             .when(similarity >= 50, pick(partial, sure, "medium")).otherwise(pick(fallback, sure, "low")))
+
+
+def merged_words(mine: list[str], theirs: list[str]) -> list[str]:
+    """Words on which two texts agree, in order, with up to LOOK_AHEAD words that only
+    one of them has in between; a word of ``mine`` without a partner so near is skipped,
+    and what is left of the longer text follows."""
+    known: dict[tuple[str, str], bool] = {}
+
+    def alike(a: str, b: str) -> bool:
+        if (a, b) not in known:
+            known[a, b] = a == b or similarity_py(a, b) > ALIKE
+        return known[a, b]
+
+    out: list[str] = []
+    i = j = 0
+    while i < len(mine) and j < len(theirs):
+        ahead = next((k for k, w in enumerate(theirs[j:j + LOOK_AHEAD + 1]) if alike(mine[i], w)), None)
+        if ahead is not None:                    # here, or after words that only the other text has
+            out += [*theirs[j:j + ahead], mine[i]]
+            i, j = i + 1, j + ahead + 1
+            continue
+        ahead = next((k for k, w in enumerate(mine[i + 1:i + LOOK_AHEAD + 1], 1) if alike(theirs[j], w)), None)
+        if ahead is None:
+            i += 1
+        else:
+            out += mine[i:i + ahead + 1]
+            i, j = i + ahead + 1, j + 1
+    return out + (mine[i:] or theirs[j:])
+
+
+@F.pandas_udf(T.StringType())
+def _merged(mine: pd.Series, theirs: pd.Series) -> pd.Series:
+    return pd.Series([None if a is None or b is None else " ".join(merged_words(list(a), list(b))) for a, b in zip(mine, theirs)], dtype=object)
+
+
+def consensus(mic: Column, speaker: Column) -> Column:
+    """T16, strategy ``consensus``: the lower-cased words that both channels have (null
+    if one of the texts is)."""
+    return _merged(words(F.lower(mic)), words(F.lower(speaker)))
