@@ -112,6 +112,9 @@ def _merged(mine: pd.Series, theirs: pd.Series) -> pd.Series:
     return pd.Series([None if a is None or b is None else " ".join(merged_words(list(a), list(b))) for a, b in zip(mine, theirs)], dtype=object)
 
 
+_merged = _merged.asNondeterministic()        # evaluated once, never copied into a filter
+
+
 def consensus(mic: Column, speaker: Column) -> Column:
     """T16, strategy ``consensus``: the lower-cased words that both channels have (null
     if one of the texts is)."""

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusflow.operators.scan import with_global_index
 from corpusflow.sources.manifest import SEQ
 
 
@@ -115,23 +116,43 @@ def bootstrap_ci(df: DataFrame, metric_cols: Sequence[str], key: str = SEQ, num_
     # one row for each task and replicate, added up in the shuffle
     total = src.mapInPandas(partial, out_schema).groupBy("b").agg(F.sum("w").alias("w"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(k)])
     reps = total.select("b", *[(F.col(f"s{i}") / F.col("w")).alias(f"mean{i}") for i in range(k)])
-    lo, hi = ci_lower / 100.0, ci_upper / 100.0
-    rows = [reps.select(F.lit(metric_cols[i]).alias("system"), F.lit(None).cast("string").alias("versus"),
-                        F.col(f"mean{i}").alias("v")) for i in range(k)]
-    if pairwise:
-        for i in range(k):
-            for j in range(i + 1, k):
-                rows.append(reps.select(F.lit(metric_cols[i]).alias("system"), F.lit(metric_cols[j]).alias("versus"),
-                                        (F.col(f"mean{i}") - F.col(f"mean{j}")).alias("v")))
-    from functools import reduce
-    allrows = reduce(lambda a, b: a.unionByName(b), rows)
-    return allrows.groupBy("system", "versus").agg(
+    return _intervals(reps, metric_cols, ci_lower, ci_upper, pairwise)
+
+
+def _intervals(reps: DataFrame, metric_cols: Sequence[str], ci_lower: float, ci_upper: float, pairwise: bool) -> DataFrame:
+    """Mean and percentiles over the replicates (``b``, ``mean0``, ...) of each system and each pair."""
+    k = len(metric_cols)
+    one = [F.struct(F.lit(metric_cols[i]).alias("system"), F.lit(None).cast("string").alias("versus"), F.col(f"mean{i}").alias("v")) for i in range(k)]
+    two = [F.struct(F.lit(metric_cols[i]).alias("system"), F.lit(metric_cols[j]).alias("versus"), (F.col(f"mean{i}") - F.col(f"mean{j}")).alias("v"))
+           for i in range(k) for j in range(i + 1, k)]
+    return reps.select(F.inline(F.array(*one, *(two if pairwise else [])))).groupBy("system", "versus").agg(
         F.avg("v").alias("mean"),
-        F.percentile("v", lo).alias("ci_lower"),
-        F.percentile("v", hi).alias("ci_upper"),
+        F.percentile("v", ci_lower / 100.0).alias("ci_lower"),
+        F.percentile("v", ci_upper / 100.0).alias("ci_upper"),
         F.avg((F.col("v") > 0).cast("double")).alias("poi"))
 
 
+def bootstrap_exact(df: DataFrame, metric_cols: Sequence[str], order: Sequence[str], num_bootstraps: int = 1000,
+                    bootstrap_sample_ratio: float = 1.0, seed: int = 42, ci_lower: float = 2.5, ci_upper: float = 97.5,
+                    pairwise: bool = True, indices: DataFrame | None = None) -> DataFrame:
+    """A6 with resamples of exactly ``int(n * ratio)`` rows, drawn with replacement:
+    :func:`bootstrap_ci` by index join.  Rows are numbered in ``order`` (a total one);
+    draw ``k`` of replicate ``b`` is row ``hash(seed, b, k) mod n``, or, with
+    ``indices`` (``b``, ``i``, from 0), what that says.  Work is replicates times rows."""
+    rows = with_global_index(df.select(*order, *[F.col(c).cast("double").alias(f"m{i}") for i, c in enumerate(metric_cols)]), list(order), "i")
+    rows = rows.select("i", *[f"m{i}" for i in range(len(metric_cols))])
+    if indices is None:
+        n = rows.count()
+        size = int(n * bootstrap_sample_ratio)
+        draw = df.sparkSession.range(num_bootstraps * size)
+        b = F.floor(F.col("id") / F.lit(max(size, 1)))
+        indices = draw.select(b.alias("b"), F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(max(n, 1))).alias("i"))
+    drawn = indices.groupBy("b", "i").agg(F.count(F.lit(1)).alias("times"))
+    total = drawn.join(rows, "i").groupBy("b").agg(F.sum("times").alias("w"), *[F.sum(F.col("times") * F.col(f"m{i}")).alias(f"s{i}") for i in range(len(metric_cols))])
+    reps = total.select("b", *[(F.col(f"s{i}") / F.col("w")).alias(f"mean{i}") for i in range(len(metric_cols))])
+    return _intervals(reps, metric_cols, ci_lower, ci_upper, pairwise)
+
+
 def session_totals(df: DataFrame, session: str = "session_id", duration_key: str = "duration",
                    min_duration: float | None = None, max_duration: float | None = None) -> DataFrame:
     """Per session, total duration and segment count after the

@@ -136,7 +136,7 @@ def tts_segments(df: DataFrame, segments: str = "segments", min_duration: float
         return F.transform("_w", lambda w: w[field])
 
     last = F.transform("_w", lambda w: F.contains(F.lit(terminal_punct_marks), F.substring(w["word"], -1, 1)) & (F.length(w["word"]) > 0))
-    rows = rows.withColumn("_c", cuts(each("start"), each("end"), each("speaker"), each("bandwidth"), last,
+    rows = rows.withColumn("_c", cuts.asNondeterministic()(each("start"), each("end"), each("speaker"), each("bandwidth"), last,
                                       F.transform("_w", lambda w: F.coalesce(w["word"], F.lit("")) == "")))
 
     def utterance(c: Column) -> Column:
