@@ -11,12 +11,12 @@ longest common prefix is ``min_lines`` or more.  Its first suffix, by (document,
 line), stays; the others' lines are marked, and neighbouring marks join into the
 runs that are deleted, with the blank lines inside them.  No longer common prefix
 is derived: a run is a union of repeated groups of ``min_lines`` lines, which may
-come from different documents, and not always a repeat as a whole.  With
-``long_words``, a repeated line of that many words or more is a run of its own
-accord: its interval, known from the first ranking, counts beside the others.
+come from different documents, and not always a repeat as a whole.  A repeated line
+of ``long_words`` words or more is a run of its own accord, whatever stands around it:
+its interval, known from the first ranking, counts beside the others.
 
 Defined results: a null text counts as empty and stays null; lines without a
-word are no symbols; rows repeated with one identifier and text count as one
+word are no symbols; of a very long text each line travels as two hashes; rows repeated with one identifier and text count as one
 document and get one result; a null identifier sorts first; an empty table
 gives an empty result; columns named like an output column are replaced.
 """
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from corpusflow.llm.store import code_point_words, stored, without
 from corpusflow.operators.scan import with_prefix_sum
 
+LONG_WORDS = 20          # words from which one repeated line is a run by itself
 HAS_WORD = r"[^\x20\x09-\x0D]"
 OUT = ("n_lines", "n_removed_lines", "removed_runs", "clean_text")
 _DOC = ["d", "t"]
@@ -87,7 +88,7 @@ def repeated_runs(docs: DataFrame, id_col: str, text_col: str, min_lines: int, l
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2,
-               long_words: int | None = None) -> DataFrame:
+               long_words: int | None = LONG_WORDS) -> DataFrame:
     """``docs`` with ``n_lines`` (lines with a word), ``n_removed_lines``,
     ``removed_runs`` (first and last line, lines with a word) and ``clean_text``.
     A run is ``min_lines`` lines or more, or one line of ``long_words`` words or

@@ -220,11 +220,13 @@ WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x
 s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS q FROM l WHERE regexp_matches(x, '[^ 	-
 ]')),
 w AS (SELECT *, lead(x) OVER d AS y, lead(p) OVER d AS b FROM s WINDOW d AS (PARTITION BY doc_id ORDER BY q)),
-n AS (SELECT doc_id, q, p, b, row_number() OVER (PARTITION BY x, y ORDER BY doc_id, q) AS nth FROM w WHERE y IS NOT NULL),
-m AS (SELECT *, CASE WHEN q > lag(q) OVER d + 2 OR lag(q) OVER d IS NULL THEN 1 ELSE 0 END AS fresh
-      FROM n WHERE nth > 1 WINDOW d AS (PARTITION BY doc_id ORDER BY q)),
-r AS (SELECT doc_id, run, min(p) AS a, max(b) AS b, max(q) - min(q) + 2 AS lines
-      FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY q) AS run FROM m) GROUP BY doc_id, run),
+n AS (SELECT doc_id, q, p, b, q + 1 AS e, row_number() OVER (PARTITION BY x, y ORDER BY doc_id, q) AS nth FROM w WHERE y IS NOT NULL
+      UNION ALL SELECT doc_id, q, p, p, q, row_number() OVER (PARTITION BY x ORDER BY doc_id, q) FROM s
+                WHERE len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) >= 20),
+m AS (SELECT *, CASE WHEN q <= max(e) OVER (PARTITION BY doc_id ORDER BY q, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS fresh
+      FROM n WHERE nth > 1),
+r AS (SELECT doc_id, run, min(p) AS a, max(b) AS b, max(e) - min(q) + 1 AS lines
+      FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY q, e ROWS UNBOUNDED PRECEDING) AS run FROM m) GROUP BY doc_id, run),
 k AS (SELECT doc_id, string_agg(x, chr(10) ORDER BY p) AS t FROM l
       WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = l.doc_id AND l.p BETWEEN r.a AND r.b) GROUP BY doc_id),
 g AS (SELECT doc_id, sum(lines)::BIGINT AS n_removed, count(*)::BIGINT AS n_runs FROM r GROUP BY doc_id),

@@ -39,12 +39,17 @@ def near_components(rows, k=5, percent=80):
     return {i: (len(s), find(i)) for i, s in sets.items()}
 
 
-def line_runs(rows, size=2):
+def line_runs(rows, size=2, long=20):
     """doc_id -> (removed lines, text that is left)"""
     seqs = {i: [(p, x) for p, x in enumerate((t or "").split("\n")) if WORD.search(x)] for i, t in rows}
     seen, gone = set(), defaultdict(set)
     for i in sorted(seqs):
         s = seqs[i]
+        for q, (_, x) in enumerate(s):
+            if long and len(words(x)) >= long:
+                if x in seen:
+                    gone[i].add(q)
+                seen.add(x)
         for q in range(len(s) - size + 1):
             run = tuple(x for _, x in s[q:q + size])
             if run in seen:

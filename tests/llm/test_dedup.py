@@ -2,6 +2,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,7 +121,10 @@ def test_line_dedup(docs, rows, size):
 
 def test_line_dedup_odd(spark, odd_docs, no_docs):
     out = linededup.line_dedup(odd_docs.withColumn("runs", F.lit("x")).withColumn("d", F.lit(1)).withColumn("clean_text", F.lit(1))).collect()
-    assert len(out) == 10 and all(r["n_removed_lines"] == 0 and r["clean_text"] == r["text"] and r["runs"] == "x" for r in out)
+    assert len(out) == 10 and all(r["runs"] == "x" for r in out)
+    # the row without identifier holds the one long line first
+    assert sorted((r["doc_id"], r["clean_text"]) for r in out if r["n_removed_lines"]) == [(1, ""), (1, ""), (2, "")]
+    assert all(r["clean_text"] == r["text"] for r in out if not r["n_removed_lines"])
     assert linededup.line_dedup(no_docs).count() == 0
     rows = [(1, "a\nb\nc"), (1, "a\nb\nc"), (2, "x\n\na\n\nb"), (None, "b\nc")]
     got = {r["doc_id"]: r["clean_text"] for r in linededup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
@@ -131,7 +135,7 @@ def test_line_dedup_odd(spark, odd_docs, no_docs):
 @pytest.mark.parametrize("long", [1, 12, 30])
 def test_line_dedup_long_lines(docs, rows, size, long):
     want = _line_runs_or_long(_pairs(rows), size, long)
-    assert want != plain.line_runs(_pairs(rows), size)
+    assert want != plain.line_runs(_pairs(rows), size, 0)
     for r in linededup.line_dedup(docs, min_lines=size, long_words=long).collect():
         n, left = want[r["doc_id"]]
         assert r["n_removed_lines"] == n == sum(x["lines"] for x in r["removed_runs"])
@@ -230,3 +234,23 @@ def test_repeats_odd(odd_docs, no_docs):
         assert all(r["n_removed"] == r["n_units"] for r in out if r["doc_id"] in (1, 2))
         assert all(r["n_units"] == 0 and r["clean"] == b"" for r in out if not r["text"])
         assert op(no_docs).count() == 0
+
+
+def test_long_windows_and_their_bound(spark):
+    w = [f"w{i}" for i in range(6000)]
+    d = spark.createDataFrame([(1, " ".join(w)), (2, "new " + " ".join(w))], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in substring.substring_dedup(d, min_words=5000).collect()}
+    assert got == {1: 0, 2: 6000}
+    with pytest.raises(ValueError):
+        substring.substring_dedup(d, min_words=1 << 15)
+
+
+def test_kernel_in_slices(spark, docs, rows, monkeypatch):
+    from corpusflow.llm import repeats
+
+    monkeypatch.setattr(repeats, "SLICE", 3)
+    pdf = pd.DataFrame({"h": [5, 1, 5, 1, 2, 2, 9], "dg": range(7)})
+    seen = []
+    monkeypatch.setattr(repeats, "_slice_runs", lambda part, p, kernel: seen.append(list(part["h"])) or part)
+    assert len(repeats._runs_of(pdf, None, None)) == 7
+    assert seen == [[1, 1, 2, 2], [5, 5, 9]] or all(len(set(a) & set(b)) == 0 for a, b in zip(seen, seen[1:]))
