@@ -35,7 +35,7 @@ def test_quality_lines(line, fails):
 
 
 def test_quality_cleans_and_rejects():
-    good = "\n".join(f"A clean sentence number {i} has eight words." for i in range(12))
+    good = "\n".join(" ".join(f"word{i}x{k}" for k in range(7)) + " end." for i in range(12))
     j = dict(zip([f.split()[0] for f in quality.SCHEMA.split(", ")], quality.judge(good + "\nHome | News | Login\n\nmenu", quality.QualityParams())))
     assert j["kept"] and j["n_bad_lines"] == 2 and j["clean_text"] == good + "\n"
     j = dict(zip([f.split()[0] for f in quality.SCHEMA.split(", ")], quality.judge(good + "\n" + "\n".join("junk line without an end" for _ in range(30)), quality.QualityParams())))

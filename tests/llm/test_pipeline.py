@@ -48,6 +48,22 @@ def test_stages(spark, folder):
         assert r["round_trip"] and pieces.decode_ids(r["ids"], table) == want[r["doc_id"]] and r["n_tokens"] == len(r["ids"])
 
 
+def test_quality_stage_runs_the_rules_once(spark, folder):
+    plan = P.quality_rules(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+
+
+def test_stages_odd(spark, odd_docs):
+    d = odd_docs.withColumn("kept", F.lit("x")).withColumn("__q", F.lit(1))
+    left = P.quality_rules(spark, d, "")
+    assert left.columns == d.columns and all(len(r["text"].split()) >= 50 for r in left.collect())
+    for stage in (P.line_dedup, P.near_dedup, P.mix):
+        got = stage(spark, d, "")
+        assert got.columns == d.columns
+        got.collect()
+    assert P.tokenise(spark, d, "").count() == 10
+
+
 def test_empty_documents(spark, tmp_path, no_docs):
     no_docs.write.parquet(f"{tmp_path}/documents.parquet")
     assert P.run(spark, str(tmp_path)).count() == 0
