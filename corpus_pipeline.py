@@ -5,6 +5,13 @@ Each stage is a function of (session, documents, folder of the tables); its resu
 is written as Parquet into the shared folder and read back as the documents of
 the next one.  All but the last return the columns of ``documents``; where a stage
 changes the text, ``n_chars`` follows.
+
+Defined results: the quality stage drops null and empty texts, so no later stage of
+a run sees one (given one by itself, line dedup and near dedup keep it, mixing gives
+it no words and the tokeniser no ids); repeated rows of one identifier and text are
+judged alike, and near dedup keeps them together; rows without an identifier are kept
+by both dedup stages; ties fall by identifier; further columns pass unchanged; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,8 +30,7 @@ def _with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep, without their failing lines."""
-    judged = quality.quality_rules(docs, out="__q").filter("__q.kept").withColumn("__clean", F.col("__q.clean_text"))
-    return _with_text(judged, docs.columns, "__clean")
+    return quality.cleaned(docs, "text", "n_chars" if "n_chars" in docs.columns else None)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
