@@ -46,7 +46,8 @@ from corpusflow.llm.store import shuffle_partitions, stored, without
 OUT = ("n_units", "n_removed", "removed_spans", "clean")
 NO_ID = -(1 << 63)        # a null identifier sorts first
 _POS_BITS = N.U((1 << 21) - 1)
-_SHAPE = 1 << 12
+_SHAPE = 1 << 15           # windows of a segment and symbols before its anchor, in one number
+SLICE = 1 << 13            # segments that a kernel takes at once, or those of one anchor
 WHOLE = (1 << 31) - 1      # end of a span over the whole text
 RUNS = "h long, dg long, o1 int, o2 int, ed long, et long, ep int"
 
@@ -59,6 +60,10 @@ class RepeatParams:
     within_document: bool      # does an earlier place in the same document count?
     hot_segments: int = 256   # distinct segments of an anchor that one task takes
 
+    def __post_init__(self):
+        if not 0 < self.gram <= self.window < _SHAPE:
+            raise ValueError(f"windows of 1 to {_SHAPE - 1} symbols, with grams no longer than them")
+
 
 def symbols(buf: np.ndarray, off: np.ndarray, unit: str) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit value for each symbol, and the number of symbols of each text."""
@@ -231,12 +236,21 @@ Kernel = Callable[[Aligned, RepeatParams], np.ndarray]
 
 
 def _runs_of(pdf: pd.DataFrame, p: RepeatParams, kernel: Kernel) -> pd.DataFrame:
-    """First places of all windows of the segments, as runs of windows."""
+    """First places of all windows of the segments, as runs of windows; a bounded
+    number of segments at a time, all of an anchor together."""
+    pdf = pdf.sort_values("h", kind="stable", ignore_index=True)
+    h = pdf["h"].to_numpy()
+    edges = np.append(np.flatnonzero(np.append(True, h[1:] != h[:-1])), len(h))
+    cuts = np.unique(np.append(edges[np.searchsorted(edges, np.arange(0, len(h), SLICE))], len(h)))
+    return pd.concat([_slice_runs(pdf.iloc[i:j], p, kernel) for i, j in zip(cuts[:-1], cuts[1:])])
+
+
+def _slice_runs(pdf: pd.DataFrame, p: RepeatParams, kernel: Kernel) -> pd.DataFrame:
     pdf = pdf.sort_values(["d", "t", "i0"], kind="stable").reset_index(drop=True)
     shape = pdf["shape"].to_numpy(np.int64)
     n, left = shape // _SHAPE, shape % _SHAPE
     size = n + p.window - 1
-    v = np.frombuffer(b"".join(pdf["v"]), _symbol_type(p)).astype(N.U)
+    v = np.frombuffer(b"".join(pdf["v"]), _symbol_type(p))
     d, t = pdf["d"].to_numpy(np.int64), pdf["t"].to_numpy(np.int64)
     anchor = pdf["i0"].to_numpy(np.int64) + left
     order = np.lexsort((anchor, t, d))

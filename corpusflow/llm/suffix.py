@@ -48,11 +48,10 @@ def _sorted_suffixes(al: Aligned, codes: np.ndarray, most: int) -> tuple[np.ndar
     """Order of the suffixes from the anchors, by anchor and then content, and
     each one's common prefix with the one before (up to ``most`` bytes)."""
     size = np.minimum(al.right, most)
-    grid = np.zeros((len(size), most), np.int16)
+    grid = np.zeros((len(size), most), codes.dtype)
     cell = np.arange(most) < size[:, None]
-    grid[cell] = codes[N.ragged_index(al.at, size)] + 1     # 0 ends a suffix
-    packed = np.ascontiguousarray(grid.astype(">u2")).view(f"S{2 * most}").ravel()
-    order = np.lexsort((packed, al.group))
+    grid[cell] = codes[N.ragged_index(al.at, size)]         # 0 ends a suffix
+    order = np.lexsort((grid.view(f"S{grid.itemsize * most}").ravel(), al.group))
     rows = grid[order]
     same = (rows[1:] == rows[:-1]) & (rows[1:] > 0)
     lcp = np.zeros(len(order), np.int64)
@@ -63,7 +62,10 @@ def _sorted_suffixes(al: Aligned, codes: np.ndarray, most: int) -> tuple[np.ndar
 
 def expand_intervals(al: Aligned, p: RepeatParams) -> np.ndarray:
     """Age of the oldest place of every window of every segment, flat."""
-    alphabet, codes = np.unique(al.v, return_inverse=True)   # bytes as small numbers
+    alphabet = np.flatnonzero(np.bincount(al.v, minlength=256))
+    number = np.zeros(256, np.uint8 if len(alphabet) < 256 else np.dtype(">u2"))    # UTF-8 never uses all bytes
+    number[alphabet] = np.arange(1, len(alphabet) + 1)
+    codes = number[al.v]
     order, lcp = _sorted_suffixes(al, codes, p.window)
     start = N.starts_of(al.windows)
     oldest = np.full(start[-1], -1, np.int64)
@@ -83,7 +85,7 @@ def expand_intervals(al: Aligned, p: RepeatParams) -> np.ndarray:
         if not len(live):
             break
         moved = order[live]
-        key = al.group[moved] * (len(alphabet) + 1) + codes[al.at[moved] - t - 1]
+        key = al.group[moved] * (len(alphabet) + 1) + codes[al.at[moved] - t - 1].astype(np.int64)
         step = np.argsort(key, kind="stable")
         back, key = live[step], key[step]
         grown = np.zeros(len(step), np.int64)
