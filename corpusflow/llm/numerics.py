@@ -8,6 +8,7 @@ from prefix sums, mixed with its length.
 
 from __future__ import annotations
 
+import ctypes
 from functools import lru_cache
 
 import numpy as np
@@ -59,12 +60,22 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def groups(off: np.ndarray, most: int = CHUNK):
     """Runs (first, end) of documents with about ``most`` bytes together; a
-    longer document makes a run of its own."""
+    longer document makes a run of its own.  Behind the last one, what the worker
+    no longer uses goes back to the system: it lives on for tasks of other kinds."""
     i, n = 0, len(off) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + most, "right")) - 1)
         yield i, j
         i = j
+    release()
+
+
+def release() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):      # another C library
+        pass
 
 
 def word_hashes(buf: np.ndarray, off: np.ndarray, lower: bool = False, seed: int = 0

@@ -47,6 +47,7 @@ OUT = ("n_units", "n_removed", "removed_spans", "clean")
 NO_ID = -(1 << 63)        # a null identifier sorts first
 _POS_BITS = N.U((1 << 21) - 1)
 _SHAPE = 1 << 15           # windows of a segment and symbols before its anchor, in one number
+PART = 1 << 18             # bytes of text, or symbols, worked on at once
 SLICE = 1 << 13            # segments that a kernel takes at once, or those of one anchor
 WHOLE = (1 << 31) - 1      # end of a span over the whole text
 RUNS = "h long, dg long, o1 int, o2 int, ed long, et long, ep int"
@@ -117,7 +118,7 @@ def _batches(batches, column: int, p: RepeatParams):
     """(batch, first row, arrays of segments()) over Arrow batches."""
     for batch in batches:
         buf, off = N.utf8(batch.column(column))
-        for i, j in N.groups(off):
+        for i, j in N.groups(off, PART):
             for found in segments(*symbols(buf[off[i]:off[j]], off[i:j + 1] - off[i], p.unit), p):
                 yield batch, i, found
 
@@ -190,7 +191,7 @@ def _contents(docs: DataFrame, contested: DataFrame, p: RepeatParams) -> DataFra
         for batch in batches:
             buf, off = N.utf8(batch.column(2))
             asks = batch.column(3)
-            for i, j in N.groups(off):
+            for i, j in N.groups(off, PART):
                 part, places = buf[off[i]:off[j]], off[i:j + 1] - off[i]
                 v, counts = (part, np.diff(places)) if p.unit == "bytes" else symbols(part, places, p.unit)
                 lists = asks.slice(i, j - i)
@@ -304,7 +305,7 @@ def _halves(units: DataFrame, p: RepeatParams) -> DataFrame:
     def run(batches):
         for batch in batches:
             size = pc.binary_length(batch.column(8)).to_numpy() // np.dtype(_symbol_type(p)).itemsize
-            for i, j in N.groups(N.starts_of(size)):       # a bounded number of symbols at a time
+            for i, j in N.groups(N.starts_of(size), PART):       # a bounded number of symbols at a time
                 yield from halved(batch.slice(i, j - i))
 
     return units.select("g", "c", "d", "t", "i0", "shape", "k1", "k2", "v").mapInArrow(
@@ -440,7 +441,7 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, p: RepeatParams,
     def finish(batches):
         for batch in batches:
             off = N.utf8(batch.column(at))[1]
-            for i, j in N.groups(off):                 # a bounded part of the batch at a time
+            for i, j in N.groups(off, PART):                 # a bounded part of the batch at a time
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *_finished(part.column(at), part.column(len(names)), p)],
                                                  names=[*names, *OUT])
