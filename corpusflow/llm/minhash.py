@@ -41,6 +41,7 @@ from corpusflow.llm.bloom import rows_with_ids, rows_without_ids
 from corpusflow.llm.graph import components
 from corpusflow.llm.store import stored
 
+PART = 1 << 18           # bytes of text worked on at once
 FIRST_SWEEP = 3          # bands worked on at first
 SWEEP = 13               # bands worked on together after that
 SMALL_BUCKET = 2048      # classes up to which all of a bucket are pivots in one later pass
@@ -101,7 +102,7 @@ def _signatures(docs: DataFrame, p: MinHashParams) -> DataFrame:
     def run(batches):
         for batch in batches:
             buf, off = N.utf8(batch.column(1))
-            for i, j in N.groups(off):
+            for i, j in N.groups(off, PART):
                 g, counts = shingle_sets(buf[off[i]:off[j]], off[i:j + 1] - off[i], p.words)
                 have = np.flatnonzero(counts)
                 digest = np.zeros((2, j - i), N.U)
@@ -126,7 +127,7 @@ def _sets(docs: DataFrame, p: MinHashParams) -> DataFrame:
     def run(batches):
         for batch in batches:
             buf, off = N.utf8(batch.column(1))
-            for i, j in N.groups(off):
+            for i, j in N.groups(off, PART):
                 g, counts = shingle_sets(buf[off[i]:off[j]], off[i:j + 1] - off[i], p.words)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), N.list_array(g.view(np.int64), counts, pa.int64())],

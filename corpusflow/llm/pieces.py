@@ -452,10 +452,10 @@ def _stretches(text: str, table: PieceTable):
 
 
 class Encoder:
-    """Encodes texts and keeps the cuts it has encoded, up to CACHE_CUTS of them."""
+    """Encodes texts and keeps the cuts it has encoded, up to ``kept_cuts`` of them."""
 
-    def __init__(self, table: PieceTable):
-        self.table = table
+    def __init__(self, table: PieceTable, kept_cuts: int = CACHE_CUTS):
+        self.table, self.kept_cuts = table, kept_cuts
         self.clear()
 
     def clear(self) -> None:
@@ -464,7 +464,7 @@ class Encoder:
 
     def _learn(self, cuts: set[str]) -> None:
         new = [c for c in cuts if c not in self.place]
-        if len(self.place) + len(new) > CACHE_CUTS:
+        if len(self.place) + len(new) > self.kept_cuts:
             self.clear()
             new = list(cuts)
         if new:
@@ -545,17 +545,19 @@ def _runs(texts: list[str]):
 _ENCODERS: dict[str, tuple[Encoder, Surfaces]] = {}     # of this Python worker: it serves many tasks
 
 
-def _worker_encoder(path: str, table: PieceTable) -> tuple[Encoder, Surfaces]:
+def _worker_encoder(path: str, table: PieceTable, kept_cuts: int) -> tuple[Encoder, Surfaces]:
     if path not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path] = Encoder(table), Surfaces(table)
+        _ENCODERS[path] = Encoder(table, kept_cuts), Surfaces(table)
     return _ENCODERS[path]
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", out: str = "ids",
-           check_col: str | None = None, keep_text: bool = True) -> DataFrame:
+           check_col: str | None = None, keep_text: bool = True, part_bytes: int = N.CHUNK,
+           kept_cuts: int = CACHE_CUTS) -> DataFrame:
     """``docs`` with the list of piece ids ``out`` of ``text_col``. With
-    ``check_col`` also whether decoding gives the text back."""
+    ``check_col`` also whether decoding gives the text back.  Texts are worked on
+    ``part_bytes`` bytes at a time; a worker keeps ``kept_cuts`` encoded cuts."""
     docs = without(docs, out, *([check_col] if check_col else []))
     shared = docs.sparkSession.sparkContext.broadcast(load_pieces(model_path))
     at = docs.columns.index(text_col)
@@ -563,10 +565,10 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", out: str =
     names = [docs.columns[i] for i in through] + [out] + ([check_col] if check_col else [])
 
     def run(batches):
-        encoder, surfaces = _worker_encoder(model_path, shared.value)
+        encoder, surfaces = _worker_encoder(model_path, shared.value, kept_cuts)
         for batch in batches:
             off = N.utf8(batch.column(at))[1]
-            for i, j in N.groups(off):                 # a bounded part of the batch at a time
+            for i, j in N.groups(off, part_bytes):     # a bounded part of the batch at a time
                 part = batch.slice(i, j - i)
                 given = part.column(at).to_pylist()
                 texts = [t or "" for t in given]
