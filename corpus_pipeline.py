@@ -23,6 +23,18 @@ from corpusflow.llm import linededup, minhash, mixing, pieces, quality
 from corpusflow.llm.store import stored
 
 
+ROWS_PER_BATCH = 2000     # that go to a Python worker at once
+KEPT_CUTS = 100_000       # encoded cuts that a worker remembers
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Stages follow each other in the same executors, whose Python workers live on:
+    the session's batches get smaller, so that their buffers stay small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= ROWS_PER_BATCH:
+        spark.conf.set(key, str(ROWS_PER_BATCH))
+
+
 def _with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
     new = {"text": F.col(text), "n_chars": F.char_length(text).cast("long")}
     return docs.select(*[new[c].alias(c) if c in new else F.col(c) for c in columns])
@@ -30,6 +42,7 @@ def _with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep, without their failing lines."""
+    _small_batches(spark)
     return quality.cleaned(docs, "text", "n_chars" if "n_chars" in docs.columns else None)
 
 
@@ -42,6 +55,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest identifier of each group of near-duplicates."""
+    _small_batches(spark)
     return minhash.drop_near_duplicates(docs).select(*docs.columns)
 
 
@@ -52,7 +66,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids instead of the text."""
-    ids = pieces.encode(docs, pieces.default_model(), out="ids", check_col="round_trip", keep_text=False)
+    _small_batches(spark)
+    ids = pieces.encode(docs, pieces.default_model(), out="ids", check_col="round_trip", keep_text=False, kept_cuts=KEPT_CUTS)
     return ids.select("doc_id", "lang", "source", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
                       "round_trip", "ids")
 
