@@ -454,8 +454,8 @@ def _stretches(text: str, table: PieceTable):
 class Encoder:
     """Encodes texts and keeps the cuts it has encoded, up to ``kept_cuts`` of them."""
 
-    def __init__(self, table: PieceTable, kept_cuts: int = CACHE_CUTS):
-        self.table, self.kept_cuts = table, kept_cuts
+    def __init__(self, table: PieceTable, kept_cuts: int | None = None):
+        self.table, self.kept_cuts = table, kept_cuts or CACHE_CUTS
         self.clear()
 
     def clear(self) -> None:
