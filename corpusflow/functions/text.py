@@ -41,8 +41,7 @@ def words(c) -> Column:
 
 def remove_extra_spaces(c) -> Column:
     """``' '.join(s.split())``."""
-    collapsed = F.regexp_replace(_c(c), WS_RUN, " ")
-    return F.regexp_replace(collapsed, "^ | $", "")
+    return F.trim(F.regexp_replace(_c(c), WS_RUN, " "))     # one blank is left at each end at most
 
 
 def add_start_end_spaces(c) -> Column:
@@ -174,16 +173,22 @@ def hallucination_flags(c, unique_words_threshold: float = 0.4,
                         long_word_rel_threshold: float = 3.0) -> dict[str, Column]:
     """T12 without the phrase list (that one is a join, see
     ``operators.filters.hallucination_features``).  Empty text raises."""
-    w = words(c)
-    n = F.size(w)
-    guard = F.when(n == 0, F.raise_error(F.lit("hallucination features: empty text")))
-    lens = F.array_sort(F.transform(w, lambda x: F.length(x)))
-    longest = F.element_at(lens, -1)
-    second = F.element_at(lens, -2)
-    repeated = guard.otherwise(F.size(F.array_distinct(w)) / n <= unique_words_threshold)
-    long_word = guard.otherwise(
-        (longest >= long_word_threshold)
-        | ((n > 1) & (F.try_divide(longest - second, second) >= long_word_rel_threshold)))
+    def once(flag) -> Column:
+        """``flag`` of the words, which are made once."""
+        empty = F.raise_error(F.lit("hallucination features: empty text"))
+        return F.get(F.transform(F.array(words(c)), lambda w: F.when(F.size(w) == 0, empty).otherwise(flag(w))), 0)
+
+    def two_longest(acc: Column, word: Column) -> Column:
+        size = F.length(word)
+        return F.struct(F.greatest(acc["first"], size).alias("first"), F.greatest(acc["second"], F.least(acc["first"], size)).alias("second"))
+
+    def far_longer(two: Column) -> Column:
+        second = F.nullif(two["second"], F.lit(-1))
+        return (two["first"] >= long_word_threshold) | (F.try_divide(two["first"] - second, second) >= long_word_rel_threshold)
+
+    none = F.struct(F.lit(-1).alias("first"), F.lit(-1).alias("second"))
+    repeated = once(lambda w: F.size(F.array_distinct(w)) / F.size(w) <= unique_words_threshold)
+    long_word = once(lambda w: F.aggregate(w, none, two_longest, far_longer))
     return {"hall_repeated_ngrams": repeated, "hall_long_word": F.coalesce(long_word, F.lit(False))}
 
 

@@ -62,7 +62,8 @@ def high_low_counts(df: DataFrame, value: Column, low, high) -> DataFrame:
 
 
 def _any_match(text: Column, patterns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [text.rlike(to_java_pattern(p)) for p in patterns])
+    """Does one of the patterns match?  The text is made once for all of them."""
+    return F.exists(F.array(text), lambda t: reduce(lambda a, b: a | b, [t.rlike(to_java_pattern(p)) for p in patterns]))
 
 
 def drop_if_none_of_regex_match(df: DataFrame, regex_patterns: Sequence[str], text_key: str = "text") -> DataFrame:
@@ -84,16 +85,16 @@ def drop_if_regex_match(df: DataFrame, regex_patterns: Sequence[str], text_key:
 def regex_match_counts(df: DataFrame, regex_patterns: Sequence[str], text_key: str = "text") -> DataFrame:
     """F12 counter (A2): per pattern, the number of matches in the rows it
     dropped; a row counts only for the first pattern that matches it."""
-    padded = TX.add_start_end_spaces(F.col(text_key))
-    first = F.lit(None).cast("int")
-    for i in reversed(range(len(regex_patterns))):
-        first = F.when(padded.rlike(to_java_pattern(regex_patterns[i])), F.lit(i)).otherwise(first)
-    counts = F.lit(None).cast("long")
-    for i in reversed(range(len(regex_patterns))):
-        counts = F.when(first == i, F.regexp_count(padded, F.lit(to_java_pattern(regex_patterns[i])))) \
-            .otherwise(counts)
+    def found(padded: Column) -> Column:
+        hit = F.lit(None).cast("struct<i:int,n:long>")
+        for i in reversed(range(len(regex_patterns))):
+            p = to_java_pattern(regex_patterns[i])
+            hit = F.when(padded.rlike(p), F.struct(F.lit(i).alias("i"), F.regexp_count(padded, F.lit(p)).cast("long").alias("n"))).otherwise(hit)
+        return hit
+
     pats = F.array(*[F.lit(p) for p in regex_patterns])
-    return (df.select(first.alias("_i"), counts.alias("_n"))
+    hits = F.filter(F.transform(F.array(TX.add_start_end_spaces(F.col(text_key))), found), lambda h: h.isNotNull())
+    return (df.select(F.inline_outer(hits).alias("_i", "_n"))
               .filter(F.col("_i").isNotNull())
               .groupBy("_i").agg(F.sum("_n").alias("matches"))
               .select(F.element_at(pats, F.col("_i") + 1).alias("pattern"), "matches"))

@@ -38,7 +38,7 @@ def text_gate(manifest: DataFrame, min_duration: float, max_duration: float,
         "char_rate": M.charrate("text", "duration"),
     })
     m = FL.drop_high_low_duration(m, max_duration, min_duration)
-    m = m.filter((F.col("char_rate") >= low_charrate) & (F.col("char_rate") <= high_charrate))
+    m = m.filter(F.exists(F.array("char_rate"), lambda rate: (rate >= low_charrate) & (rate <= high_charrate)))
     m = FL.drop_duplicates(m, "text")
     return SH.sort_manifest(m, "duration", descending=True)
 
