@@ -125,11 +125,14 @@ def round_robin(df: DataFrame, num_shards: int, seed: int = 42, key: str = SEQ,
 def append_shards(base: DataFrame, new: DataFrame, num_shards: int, shuffle: bool = True,
                   shuffle_seed: int = 42, key: str = SEQ, out: str = "shard_id") -> DataFrame:
     """New rows are cut into full shards of the base shard size
-    (remainder discarded), numbered after the base's last shard."""
+    (remainder discarded), numbered after the base's last shard.  A base without a
+    full shard gives no shard size; that is an error if there are new rows."""
     agg = base.agg(F.max(out).alias("m"), F.count("*").alias("n")).first()
     base_shards = (agg["m"] + 1) if agg["m"] is not None else 0
     per = agg["n"] // base_shards if base_shards else 0
     n_new = new.count()
+    if per == 0 and n_new:
+        raise ValueError("the base has no full shard to take the shard size from")
     if per == 0:
         return base
     order = [hash_order(shuffle_seed, F.col(key)), F.col(key)] if shuffle else [F.col(key)]

@@ -94,3 +94,17 @@ def test_long_word_and_null(spark):
     assert (u["start"], u["end"], u["bandwidth"], u["words"][1]["word"], u["pesq_squim"]) == (0.0, 2.0, [8, 8], "b.", [1.0, 1.0])
     with pytest.raises(ValueError):
         tts.tts_segments(df, min_duration=30)
+
+
+# --- D6 ----------------------------------------------------------------------
+
+def test_append_shards(spark):
+    from corpusflow.operators import shards
+
+    base = spark.createDataFrame([(i, i // 4) for i in range(8)], "k long, shard_id int")
+    new = spark.createDataFrame([(100 + i,) for i in range(10)], "k long")
+    got = shards.append_shards(base, new, 2, shuffle=False, key="k").orderBy("k").collect()
+    assert [(r["k"], r["shard_id"]) for r in got if r["k"] >= 100] == [(100 + i, 2 + i // 4) for i in range(8)]
+    with pytest.raises(ValueError, match="no full shard"):
+        shards.append_shards(base.limit(0), new, 2, key="k")
+    assert shards.append_shards(base.limit(0), new.limit(0), 2, key="k").count() == 0
