@@ -11,19 +11,27 @@ a bucket, one class of each component known so far is held against that of the
 first component (a star, not all pairs), and the confirmed links merge components
 before the next sweep, so a group of near copies soon is one row in each bucket.
 Buckets whose classes still lie in several components are then worked on pivot by
-pivot (a bounded number in each pass) until none holds an untested pair of classes
-of different components.  Pairs inside one component need no test, and pairs
-whose set sizes rule the similarity out are never made.
-
-At a similarity of 0.8, a band of 6 values agrees with probability 0.26; 42 bands
-all miss a pair with probability 3e-6.
+pivot, twice as many pivots in each pass, until none holds an untested pair of
+classes of different components.  Before that a bucket of more than ``SPLIT`` classes
+is split without loss: two sets as similar as asked for share one of their rarest
+shingles (of ``n`` shingles, in one order for all sets, the first
+``n - ceil(n * percent / 100) + 1``; the smaller set of the two has it among its first
+``n - ceil(2 * n * percent / (100 + percent)) + 1``, its core), so its classes are dealt by
+these into buckets of their own, in which only core rows are pivots.  Documents that
+share no more than a common passage, or a template but too little of it, so never meet.
+Pairs inside one component need no test, and pairs that set sizes or the places of the
+shared shingle rule out are never made.
+
+At a similarity of 0.8, a band of 6 values agrees with probability 0.26; 55 bands
+all miss a pair with probability 6e-8.
 
 Defined results: a text without words (null, empty) has no shingles and is
 linked with nothing; a text with fewer words than a shingle has one shingle, its
 whole sequence; rows repeated with one identifier and text are one class, and classes
 whose smallest identifier is the same are one node; a null identifier is linked
 with nothing, its component is null and it is kept; an empty table gives an
-empty result; no other column of the input is read, whatever its name.
+empty result; a very long text is one row with one set, hashed in pieces; identifiers
+are taken as longs; no other column of the input is read, whatever its name.
 """
 
 from __future__ import annotations
@@ -39,20 +47,21 @@ from pyspark.sql import functions as F
 from corpusflow.llm import numerics as N
 from corpusflow.llm.bloom import rows_with_ids, rows_without_ids
 from corpusflow.llm.graph import components
-from corpusflow.llm.store import stored
+from corpusflow.llm.store import Grown, stored
 
 PART = 1 << 18           # bytes of text worked on at once
 FIRST_SWEEP = 3          # bands worked on at first
 SWEEP = 13               # bands worked on together after that
-SMALL_BUCKET = 2048      # classes up to which all of a bucket are pivots in one later pass
-PIVOTS = 64              # of a larger bucket in each later pass
+SPLIT = 32               # classes of a bucket; a larger one is split by rare shingles
+PIVOTS = 8               # of a bucket in the first later pass, then twice as many in each
+ORDER_BITS = 18          # shingles are counted in 2 ** ORDER_BITS cells, to put rare ones first
 
 
 @dataclass(frozen=True)
 class MinHashParams:
     words: int = 5            # of a shingle
     percent: int = 80         # linked when 100 * intersection >= percent * union
-    perms: int = 126
+    perms: int = 165
     rows: int = 6             # signature values of a band
 
     @property
@@ -136,6 +145,43 @@ def _sets(docs: DataFrame, p: MinHashParams) -> DataFrame:
     return docs.mapInArrow(run, "id long, shingles array<long>")
 
 
+def _order(sets: DataFrame) -> np.ndarray:
+    """How often the shingles of each cell occur: 2 ** ORDER_BITS numbers at any size."""
+    cell = F.col("g").bitwiseAND(F.lit((1 << ORDER_BITS) - 1))
+    rows = sets.select(F.explode("shingles").alias("g")).groupBy(cell.alias("cell")).count().toPandas()
+    counts = np.zeros(1 << ORDER_BITS, np.int64)
+    counts[rows["cell"].to_numpy(np.int64)] = rows["count"].to_numpy(np.int64)
+    return counts
+
+
+def _rare_shingles(sets: DataFrame, p: MinHashParams) -> DataFrame:
+    """key, id, n, at (the place in the order), core: the shingles of which similar
+    sets share one, rare ones first."""
+    spark = sets.sparkSession
+    shared = spark.sparkContext.broadcast(_order(sets))
+
+    def run(batches):
+        counts = shared.value
+        for batch in batches:
+            lists = batch.column(1)
+            off = np.asarray(lists.offsets, np.int64)
+            flat = lists.values.to_numpy(zero_copy_only=False)
+            for i, j in N.groups(off, PART):
+                g, n = flat[off[i]:off[j]], np.diff(off[i:j + 1])
+                doc = np.repeat(np.arange(j - i), n)
+                g = g[np.lexsort((g, counts[g & (len(counts) - 1)], doc))]
+                take = np.where(n > 0, n - (n * p.percent + 99) // 100 + 1, 0)
+                of = np.repeat(np.arange(j - i), take)
+                ids = batch.column(0).slice(i, j - i).take(pa.array(of))
+                place = N.ragged_index(np.zeros(len(n), np.int64), take)
+                core = n - (2 * n * p.percent + 99 + p.percent) // (100 + p.percent) + 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(g[N.ragged_index(N.starts_of(n)[:-1], take)]), ids, pa.array(n[of]), pa.array(place),
+                     pa.array(place < core[of])], names=["key", "id", "n", "at", "core"])
+
+    return sets.select("id", "shingles").mapInArrow(run, "key long, id long, n long, at long, core boolean")
+
+
 class _Links:
     """Candidate pairs tested so far and the components of the links among them.
     The full set of a document is made when a pair first asks for it."""
@@ -143,31 +189,34 @@ class _Links:
     def __init__(self, docs: DataFrame, p: MinHashParams):
         spark = docs.sparkSession
         self.docs, self.p = docs, p
-        self.sets = spark.createDataFrame([], "id long, shingles array<long>")
-        self.tested = spark.createDataFrame([], "a long, b long")
+        self.sets = Grown(spark, "id long, shingles array<long>", "sets")
+        self.tested = Grown(spark, "a long, b long", "tested")
         self.comp = spark.createDataFrame([], "node long, component long")
 
     def with_component(self, rows: DataFrame) -> DataFrame:
         return (rows.join(self.comp, rows["id"] == self.comp["node"], "left")
                     .select("key", "id", "n", F.coalesce("component", "id").alias("c")))
 
+    def sets_of(self, ids: DataFrame) -> DataFrame:
+        """The sets made so far, those of ``ids`` among them."""
+        new = stored(ids.join(self.sets.rows().select("id"), "id", "left_anti"), "ids")
+        if not new.isEmpty():
+            self.sets.add(_sets(rows_with_ids(self.docs, "id", new).select("id", "text"), self.p))
+        return self.sets.rows()
+
     def test(self, pairs: DataFrame) -> bool:
         """Test the pairs (a, b) that are new; is one of them a link?"""
-        todo = stored(pairs.distinct().join(self.tested, ["a", "b"], "left_anti"), "pairs")
+        todo = stored(pairs.distinct().join(self.tested.rows(), ["a", "b"], "left_anti"), "pairs")
         if todo.isEmpty():
             return False
-        ids = todo.select(F.col("a").alias("id")).union(todo.select("b")).distinct()
-        ids = stored(ids.join(self.sets.select("id"), "id", "left_anti"), "ids")
-        if not ids.isEmpty():
-            wanted = rows_with_ids(self.docs, "id", ids).select("id", "text")
-            self.sets = self.sets.union(stored(_sets(wanted, self.p), "sets"))
-        one = self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-        two = self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+        sets = self.sets_of(todo.select(F.col("a").alias("id")).union(todo.select("b")).distinct())
+        one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+        two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
         shared = F.size(F.array_intersect("sa", "sb")).cast("long")
         more = stored(todo.join(one, "a").join(two, "b").withColumn("m", shared)
                           .filter(100 * F.col("m") >= self.p.percent * (F.size("sa") + F.size("sb") - F.col("m")))
                           .select("a", "b").distinct(), "links")
-        self.tested = self.tested.union(todo)
+        self.tested.add(todo)
         if more.isEmpty():
             return False
         so_far = self.comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -222,18 +271,29 @@ def near_duplicate_links(docs: DataFrame, classes: DataFrame, p: MinHashParams)
         if not found.test(_star(reps, p)):
             break
         reps = reps.drop("c")
-    keys = reps.select("key").distinct()
-    rows = stored(classes.select("id", "n", F.explode("keys").alias("key")).join(keys, "key"), "rows")
+    sizes = reps.groupBy("key").agg(F.sum("m").alias("size"))
+    rows = stored(classes.select("id", "n", F.explode("keys").alias("key")).join(sizes, "key"), "rows")
+    hot = stored(rows.filter(F.col("size") > SPLIT).select("id").distinct(), "hot")
+    rows = rows.filter(F.col("size") <= SPLIT).select("key", "id", "n", F.lit(0).cast("long").alias("at"), F.lit(True).alias("core"))
+    if not hot.isEmpty():
+        sets = found.sets_of(hot).join(hot, "id", "left_semi")
+        rows = rows.union(stored(_rare_shingles(stored(sets, "hot_sets"), p), "rare"))
+    pivots_now = PIVOTS
     while True:
-        tagged = found.with_component(rows)
-        tagged = stored(tagged.join(_several(tagged.withColumn("m", F.lit(1))), "key"), "open")
+        tagged = rows.join(found.comp, rows["id"] == found.comp["node"], "left").select(*rows.columns, F.coalesce("component", "id").alias("c"))
+        still = tagged.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.max("core").alias("any")).filter("lo < hi AND any")
+        tagged = stored(tagged.join(still.select("key"), "key"), "open")
         if tagged.isEmpty():
             return found.comp
-        slot = F.when(F.col("size") <= SMALL_BUCKET, F.col("id")).otherwise(F.pmod(F.xxhash64("id"), F.lit(PIVOTS)))
-        pivots = tagged.groupBy("key", slot.alias("slot")).agg(F.max(F.struct("c", "id", "n")).alias("pivot")).select("key", "pivot")
-        found.test(_pairs(tagged.join(pivots, "key").filter(F.col("c") != F.col("pivot.c")), p))
+        slot = F.pmod(F.xxhash64("id"), F.lit(pivots_now))
+        pivots = (tagged.filter("core").groupBy("key", slot.alias("slot")).agg(F.max(F.struct("c", "id", "n", "at")).alias("pivot"))
+                        .select("key", "pivot"))
+        near = ((100 + p.percent) * F.least(F.col("n") - F.col("at"), F.col("pivot.n") - F.col("pivot.at"))
+                >= p.percent * (F.col("n") + F.col("pivot.n")))      # else too few shingles are left from here on
+        found.test(_pairs(tagged.join(pivots, "key").filter((F.col("c") != F.col("pivot.c")) & near), p))
         used = pivots.select("key", F.col("pivot.id").alias("id"))
-        rows = stored(tagged.select("key", "id", "n").join(used, ["key", "id"], "left_anti"), "rows")
+        rows = tagged.drop("c").join(used, ["key", "id"], "left_anti")
+        pivots_now *= 2
 
 
 def near_duplicate_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -33,6 +33,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Grown:
+    """A table in the shared folder that rows are added to: it is one scan, however
+    often something was added."""
+
+    def __init__(self, spark: SparkSession, schema: str, name: str):
+        self.spark, self.schema, self.filled = spark, schema, False
+        self.path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+    def add(self, df: DataFrame) -> None:
+        df.write.mode("append").option("compression", "zstd").parquet(self.path)
+        self.filled = True
+
+    def rows(self) -> DataFrame:
+        if not self.filled:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

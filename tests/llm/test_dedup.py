@@ -74,6 +74,36 @@ def test_near_duplicate_chain_in_shared_buckets(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain.near_components(rows)
 
 
+def test_near_duplicates_of_a_template(spark):
+    """Over a hundred variants of one text that are unlike each other, like it, or
+    between, and texts around one common passage: large buckets without a link in them."""
+    rng = random.Random(5)
+    base = [f"b{j}" for j in range(150)]
+    rows = []
+    for i in range(140):
+        w = list(base)
+        for j in rng.sample(range(150), i % 9):
+            w[j] = f"v{i}x{j}"
+        rows.append((1000 - i, " ".join(w + [f"t{i}x{j}" for j in range(rng.randrange(9))])))
+    rows += [(2000 + i, " ".join(base[:70] + [f"u{i}x{j}" for j in range(30)])) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicate_ids(df).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain.near_components(rows)
+
+
+def test_near_duplicate_recall(spark):
+    """1,000 pairs of a similarity between 0.80 and 0.85: at most one may be missed."""
+    rng = random.Random(17)
+    rows = []
+    for i in range(1000):
+        n = rng.randrange(80, 200)
+        extra = int(n * rng.uniform(0.178, 0.25))           # n / (n + extra) is 0.80 to 0.85
+        w = [f"p{i}x{j}" for j in range(n + 4 + extra)]
+        rows += [(2 * i, " ".join(w[:n + 4])), (2 * i + 1, " ".join(w))]
+    got = minhash.near_duplicate_ids(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id % 2 = 1")
+    assert got.filter("component_id = doc_id - 1").count() >= 999
+
+
 def test_drop_near_duplicates(docs, rows):
     want = {i for i, (_, c) in plain.near_components(_pairs(rows)).items() if i == c}
     left = minhash.drop_near_duplicates(docs.withColumn("n", F.lit(1)).withColumn("kept", F.lit("x")))
