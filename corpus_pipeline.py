@@ -24,7 +24,9 @@ from corpusflow.llm.store import stored
 
 
 ROWS_PER_BATCH = 2000     # that go to a Python worker at once
+BYTES_PER_BATCH = 4 << 20 # the same, in bytes; a longer row goes alone
 KEPT_CUTS = 100_000       # encoded cuts that a worker remembers
+PART_BYTES = 1 << 18      # of texts that a worker encodes at once
 
 
 def _small_batches(spark: SparkSession) -> None:
@@ -33,6 +35,7 @@ def _small_batches(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= ROWS_PER_BATCH:
         spark.conf.set(key, str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
 def _with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
@@ -67,7 +70,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids instead of the text."""
     _small_batches(spark)
-    ids = pieces.encode(docs, pieces.default_model(), out="ids", check_col="round_trip", keep_text=False, kept_cuts=KEPT_CUTS)
+    ids = pieces.encode(docs, pieces.default_model(), out="ids", check_col="round_trip", keep_text=False,
+                        part_bytes=PART_BYTES, kept_cuts=KEPT_CUTS)
     return ids.select("doc_id", "lang", "source", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
                       "round_trip", "ids")
 
