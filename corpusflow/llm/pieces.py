@@ -35,6 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -545,10 +546,12 @@ def _runs(texts: list[str]):
 _ENCODERS: dict[str, tuple[Encoder, Surfaces]] = {}     # of this Python worker: it serves many tasks
 
 
-def _worker_encoder(path: str, table: PieceTable, kept_cuts: int) -> tuple[Encoder, Surfaces]:
+def _worker_encoder(path: str, shared: Broadcast, kept_cuts: int) -> tuple[Encoder, Surfaces]:
+    """The worker's encoder of the file; the broadcast table is only read for a new
+    one, so that a worker never holds two tables."""
     if path not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path] = Encoder(table, kept_cuts), Surfaces(table)
+        _ENCODERS[path] = Encoder(shared.value, kept_cuts), Surfaces(shared.value)
     return _ENCODERS[path]
 
 
@@ -565,7 +568,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", out: str =
     names = [docs.columns[i] for i in through] + [out] + ([check_col] if check_col else [])
 
     def run(batches):
-        encoder, surfaces = _worker_encoder(model_path, shared.value, kept_cuts)
+        encoder, surfaces = _worker_encoder(model_path, shared, kept_cuts)
         for batch in batches:
             off = N.utf8(batch.column(at))[1]
             for i, j in N.groups(off, part_bytes):     # a bounded part of the batch at a time
