@@ -136,3 +136,31 @@ def test_chained_comparison_uses_the_first(spark):
     from corpusflow.functions.exprs import lambda_expression
     df = spark.createDataFrame([(5,)], "n long")
     assert lambda_expression(df, "out", "1 < entry.n < 3").first().out is True
+
+
+def test_distance_of_similar_long_texts():
+    """A distance of a few edits takes a narrow band, however long the texts are."""
+    import random
+    import time
+
+    rng = random.Random(5)
+    a = "".join(rng.choice("abcdefgh ") for _ in range(250_000))
+    b = list(a)
+    for at in range(1000, 250_000, 25_000):
+        b[at] = "#"
+    began = time.process_time()
+    assert M.bitparallel_distance(a, "".join(b[:120_000] + b[120_003:])) == 13
+    assert M.bitparallel_distance(a, a) == 0
+    assert time.process_time() - began < 8
+
+
+def test_distance_in_bands():
+    import random
+
+    rng = random.Random(6)
+    for n in (0, 1, 40, 600, 1500):
+        for rate in (0.01, 0.2, 0.9):
+            a = [rng.choice("abcdefghijklm") for _ in range(n)]
+            b = [y for x in a for y in ([x] if rng.random() > rate else rng.choice([[], ["z"], [x, "a"]]))]
+            for x, y in ((a, b), (b, a), (a, b[n // 3:] + b[:n // 3])):
+                assert M.bitparallel_distance("".join(x), "".join(y)) == M.edit_distance(x, y)
