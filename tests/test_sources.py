@@ -185,3 +185,16 @@ def test_extension_points(spark):
     caps = spark.createDataFrame([([(0.0, "a  1"), (1.0, "b")],)], "s array<struct<start:double,text:string>>")
     got = caps.select(X.sub_caption_texts(F.col("s"), [{"pattern": r"\d", "repl": "x"}]).alias("s")).first().s
     assert [(r.start, r.text.strip()) for r in got] == [(0.0, "a x"), (1.0, "b")]
+
+
+def test_words_into_many_segments(spark):
+    """The cursor goes through the words once, not once for every segment."""
+    import time
+
+    n = 300
+    words = F.transform(F.sequence(F.lit(0), F.lit(2 * n - 1)), lambda k: F.struct(F.concat(F.lit("w"), k).alias("word"), (k * 1.0).alias("start"), (k * 1.0 + 0.9).alias("end")))
+    segs = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda g: F.struct((g * 2.0).alias("start"), (g * 2.0 + F.when(g % 10 == 3, 0.5).otherwise(1.95)).alias("end")))
+    began = time.monotonic()
+    got = spark.range(1).select(words.alias("al"), segs.alias("sg")).select(W.words_into_segments(F.col("al"), F.col("sg")).alias("s")).first()["s"]
+    assert [s["text"] for s in got] == [f"w{2 * g}" if g % 10 == 3 else f"w{2 * g} w{2 * g + 1}" for g in range(n)]
+    assert time.monotonic() - began < 60
