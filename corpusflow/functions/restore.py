@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.functions.text import words
+from corpusflow.functions.text import once, words
 
 END = "end_text"
 _JOINED = r"(\d)[.,](\d)"
@@ -76,16 +76,17 @@ def aligned_text(raw_words: Sequence[str], norm_words: Sequence[str]) -> str:
 
 
 @F.pandas_udf(T.StringType())
-def _aligned(raw: pd.Series, norm: pd.Series) -> pd.Series:
-    def one(a, b):
-        if a is None or b is None:
-            return None
+def _aligned(found: pd.Series) -> pd.Series:
+    """Of each row the text that the JVM found, else the words (with a blank behind each) aligned here."""
+    def one(easy, a, b):
+        if easy is not None or a is None or b is None:
+            return easy
         try:
-            return aligned_text(list(a), list(b))
+            return aligned_text(a.split(" ")[:-1], b.split(" ")[:-1])
         except (IndexError, AttributeError, ValueError):
             return "n/a"
 
-    return pd.Series([one(a, b) for a, b in zip(raw, norm)], dtype=object)
+    return pd.Series([None if x is None else one(*x) for x in found], dtype=object)
 
 
 _aligned = _aligned.asNondeterministic()      # evaluated once, never copied into a filter
@@ -94,29 +95,35 @@ _aligned = _aligned.asNondeterministic()      # evaluated once, never copied int
 def restore_punctuation(raw: Column, norm: Column) -> Column:
     """The normalised text with punctuation and case of the raw one, ``n/a`` where
     they cannot be aligned (a null text cannot).  Texts that agree word by word, the
-    usual case, never leave the JVM."""
+    usual case, are joined in the JVM; of the others the words go to a helper."""
     def parted(text: Column) -> Column:
         return words(F.replace(text, F.lit("¿"), F.lit(" ¿ ")))
 
-    a = F.transform(parted(raw), lambda w: F.regexp_replace(w, _JOINED, "$1$2"))
+    a = F.transform(parted(raw), lambda w: F.when(w.rlike(_JOINED), F.regexp_replace(w, _JOINED, "$1$2")).otherwise(w))
     b = parted(norm)
 
+    # an inner lambda reads its own argument alone, or Spark does not find the helper's input
+    def folded(w: Column) -> Column:
+        bare_x, bare_y = F.regexp_replace(w["low_x"], _PUNCTUATION + "$", ""), F.regexp_replace(w["low_y"], _PUNCTUATION + "$", "")
+        return (F.when((w["low_x"] == w["low_y"]) | ((w["low_x"] != bare_x) & (bare_x == w["low_y"])), w["x"])
+                 .when((w["low_y"] != bare_y) & (bare_y == w["low_x"]), w["y"]))
+
     def choose(x: Column, y: Column) -> Column:
-        low_x, low_y = F.lower(x), F.lower(y)
-        bare_x, bare_y = F.regexp_replace(low_x, _PUNCTUATION + "$", ""), F.regexp_replace(low_y, _PUNCTUATION + "$", "")
-        return (F.when((low_x == low_y) | ((low_x != bare_x) & (bare_x == low_y)), x)
-                 .when((low_y != bare_y) & (bare_y == low_x), y))
+        pair = F.struct(x.alias("x"), y.alias("y"), F.lower(x).alias("low_x"), F.lower(y).alias("low_y"))
+        return F.when(x == y, x).otherwise(once(pair, folded))
 
-    pair = F.struct(a.alias("a"), b.alias("b"))
+    def spaced(w: Column) -> Column:
+        return F.array_join(F.concat(w, F.array(F.lit(""))), " ")
 
-    def both(s: Column) -> Column:
+    def compared(s: Column) -> Column:
         same = F.when(F.size(s["a"]) == F.size(s["b"]), F.zip_with(s["a"], s["b"], choose))
-        return F.struct(s["a"].alias("a"), s["b"].alias("b"), F.when(~F.exists(same, lambda w: w.isNull()), same).alias("same"))
+        return once(F.struct(same.alias("same"), s["a"].alias("a"), s["b"].alias("b")), told)
+
+    def told(s: Column) -> Column:
+        easy = F.replace(F.array_join(s["same"], " "), F.lit("¿ "), F.lit("¿"))
+        return F.when(~F.exists(s["same"], lambda w: w.isNull()), F.array(easy, F.lit(None), F.lit(None))).otherwise(F.array(F.lit(None), spaced(s["a"]), spaced(s["b"])))
 
-    bound = F.get(F.transform(F.array(pair), both), 0)
-    easy = F.replace(F.array_join(bound["same"], " "), F.lit("¿ "), F.lit("¿"))
-    hard = bound["same"].isNull()
-    return F.coalesce(easy, _aligned(F.when(hard, bound["a"]), F.when(hard, bound["b"])), F.lit("n/a"))
+    return F.coalesce(_aligned(once(F.struct(a.alias("a"), b.alias("b")), compared)), F.lit("n/a"))
 
 
 # --- T21 ---------------------------------------------------------------------
