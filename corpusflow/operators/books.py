@@ -1,7 +1,8 @@
 """Read lines found again in their books.
 
-A book's words are indexed by the hash of the next few words; a line's first words
-look it up, and every word of the line is compared with the book's at its place.
+Lines are brought to their book.  Its words are looked up by the next few of them in
+the first words of the lines, and every word of a line is compared with the book's at
+its place.
 What is left are the places where a line may stand.  Lines are read in order, so of
 each book's places a longest chain counts in which a later line begins behind the end
 of an earlier one; a line outside the chain is not restored.
@@ -15,8 +16,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.session import cut_lineage
-
 #: A word, with apostrophes inside, and what stands before it.
 WORD = r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"
 PIECE = r"[^\p{L}\p{N}]*" + WORD
@@ -69,50 +68,57 @@ def longest_chain(places: list[tuple[int, int, int]]) -> list[int]:
     return out[::-1]
 
 
+def places_in_book(book: list[str], lines: list[list[str]], seed_words: int) -> list[tuple[int, int, int]]:
+    """(line, begin, end) of every place in the book that has a line's words: the first
+    few words of the lines are looked for, then the whole line is compared."""
+    seeds: dict[tuple[str, ...], list[int]] = {}
+    for k, line in enumerate(lines):
+        seeds.setdefault(tuple(line[:seed_words]), []).append(k)
+    out = []
+    for n in {len(s) for s in seeds}:
+        for p, seed in enumerate(zip(*(book[j:] for j in range(n)))):
+            out += [(k, p, p + len(lines[k])) for k in seeds.get(seed, ()) if book[p:p + len(lines[k])] == lines[k]]
+    return out
+
+
 def restore_lines(lines: DataFrame, books: DataFrame, book: str = "book", order: str = "seq", text: str = "text",
                   book_text: str = "text", out: str = "restored", seed_words: int = 4) -> DataFrame:
     """``lines`` (unique by ``book`` and ``order``) with ``out``: the stretch of the
     book that has the line's words, with its punctuation and case and with white space
-    squeezed, or ``n/a``.  A line without words, or of an unknown book, is ``n/a``."""
-    asked = cut_lineage(lines.select(F.col(book).alias("_b"), F.col(order).alias("_s"), F.transform(book_pieces(F.col(text)), _normal).alias("x"))
-                             .filter("size(x) > 0"))
-    shelf = books.join(asked.select(F.col("_b").alias(book)).distinct(), book, "left_semi")
-    texts = shelf.select(F.col(book).alias("_b"), book_pieces(F.col(book_text)).alias("raw"))
-    placed = cut_lineage(texts.select("_b", "raw", F.transform("raw", _normal).alias("x"))
-                              .select("_b", F.posexplode_outer(F.arrays_zip("raw", "x")).alias("p", "z"), "x")
-                              .filter("p IS NOT NULL")
-                              .select("_b", "p", F.col("z.raw").alias("raw"), F.col("z.x").alias("word"),
-                                      *[F.xxhash64(F.lit(n), *[F.get("x", F.col("p") + j) for j in range(n)]).alias(f"h{n}") for n in range(1, seed_words + 1)]))
-    size = F.least(F.size("x"), F.lit(seed_words))
-    seed = F.coalesce(*[F.when(size == n, F.xxhash64(F.lit(n), *[F.get("x", F.lit(j)) for j in range(n)])) for n in range(1, seed_words + 1)])
-    index = placed.select("_b", "p", F.inline(F.array(*[F.struct(F.lit(n).alias("n"), F.col(f"h{n}").alias("h")) for n in range(1, seed_words + 1)])))
-    near = asked.select("_b", "_s", size.alias("n"), seed.alias("h"), F.size("x").alias("words")).join(index, ["_b", "n", "h"]).select("_b", "_s", "words", "p")
-    # word by word at the place
-    spelled = asked.select("_b", "_s", F.posexplode("x").alias("k", "word"))
-    held = (near.join(spelled, ["_b", "_s"]).select("_b", "_s", "words", F.col("p").alias("at"), (F.col("p") + F.col("k")).alias("p"), "word")
-                .join(placed.select("_b", "p", "word"), ["_b", "p", "word"])
-                .groupBy("_b", "_s", "words", "at").agg(F.count(F.lit(1)).alias("same")).filter("same = words"))
-    kinds = f"_b {lines.schema[book].dataType.simpleString()}, _s {lines.schema[order].dataType.simpleString()}, at long, words long"
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        rank = {s: i for i, s in enumerate(sorted(set(pdf["_s"])))}
-        return pdf.iloc[longest_chain([(rank[s], a, a + n) for s, a, n in zip(pdf["_s"], pdf["at"], pdf["words"])])]
-
-    found = held.select("_b", "_s", F.col("at").cast("long").alias("at"), F.col("words").cast("long").alias("words")).groupBy("_b").applyInPandas(chain, kinds)
+    squeezed, or ``n/a``.  A line without words, or of an unknown book, is ``n/a``; so is
+    one whose ``book`` and ``order``, or whose book, comes more than once.
+
+    Books and lines meet once, a book's lines beside its text; words are never rows."""
+    @F.pandas_udf("array<struct<k:int,at:int,words:int>>")
+    def found(words: pd.Series, asked: pd.Series) -> pd.Series:
+        rows = []
+        for book_words, texts in zip(words, asked):
+            held = places_in_book(book_words.split(" "), [t.split(" ") for t in texts], seed_words)
+            rows.append([{"k": held[i][0], "at": held[i][1], "words": held[i][2] - held[i][1]} for i in longest_chain(held)])
+        return pd.Series(rows, dtype=object)
+
+    said = F.array_join(F.transform(book_pieces(F.col(text)), _normal), " ")
+    asked = (lines.select(F.col(book).alias("_b"), F.col(order).alias("_s"), said.alias("_x")).filter("_x <> '' AND _b IS NOT NULL AND _s IS NOT NULL")
+                  .groupBy("_b").agg(F.array_sort(F.collect_list(F.struct("_s", "_x"))).alias("all")))
+    single = F.filter("all", lambda z, i: (i == 0) | (z["_s"] != F.get("all", i - 1)["_s"]))
+    twice = F.filter("all", lambda z, i: (i > 0) & (z["_s"] == F.get("all", i - 1)["_s"]))
+    asked = asked.select("_b", F.when(F.size(twice) == 0, F.col("all")).otherwise(
+        F.filter(single, lambda z: ~F.array_contains(F.transform(twice, lambda t: t["_s"]), z["_s"]))).alias("l"))
+    shelf = (books.select(F.col(book).alias("_b"), F.col(book_text).alias("_t")).groupBy("_b").agg(F.max("_t").alias("_t"), F.count(F.lit(1)).alias("_n"))
+                  .filter("_n = 1 AND _t IS NOT NULL").select("_b", book_pieces(F.col("_t")).alias("raw"),
+                                                              F.regexp_extract("_t", r"(?s)[^\p{L}\p{N}]*\z", 0).alias("tail")))
+    met = shelf.join(asked, "_b").select("_b", "raw", "tail", "l", found.asNondeterministic()(
+        F.array_join(F.transform("raw", _normal), " "), F.transform("l", lambda z: z["_x"])).alias("f"))
     # the book's own spelling: the word before tells what stands at the end, so one piece more is fetched
-    spans = cut_lineage(found).select("_b", "_s", "at", "words", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("words"))).alias("p"))
-    got = (spans.join(placed.select("_b", F.col("p").cast("long").alias("p"), "raw"), ["_b", "p"])
-                .groupBy("_b", "_s", "at", "words").agg(F.array_sort(F.collect_list(F.struct("p", "raw"))).alias("r")))
-    tails = placed.groupBy("_b").agg(F.max("p").alias("last"))
-    own = F.slice("r", F.lit(1), F.col("words").cast("int"))
-    first = F.regexp_extract(F.get("r", F.lit(0))["raw"], r"(?s)\S*" + WORD + r"\z", 0)
-    rest = F.array_join(F.transform(F.slice(own, F.lit(2), F.greatest(F.size(own) - 1, F.lit(0))), lambda z: z["raw"]), "")
-    follows = F.regexp_extract(F.coalesce(F.get("r", F.col("words").cast("int"))["raw"], F.lit("")), r"(?s)\A([^\s\p{L}\p{N}]*)(?=\s)", 1)
-    end = F.regexp_extract(F.coalesce(F.col("tail"), F.lit("")), r"(?s)\A\S*", 0)
-    closing = shelf.select(F.col(book).alias("_b"), F.regexp_extract(F.coalesce(F.col(book_text), F.lit("")), r"(?s)[^\p{L}\p{N}]*\z", 0).alias("tail"))
-    got = got.join(tails, "_b").join(closing, "_b")
-    at_end = F.col("at") + F.col("words") - 1 == F.col("last")
-    spelled_out = F.trim(F.regexp_replace(F.concat(first, rest, F.when(at_end, end).otherwise(follows)), r"(?U)\s+", " "))
+    stretch = F.transform("f", lambda f: F.struct(F.get("l", f["k"])["_s"].alias("_s"), f["words"].alias("words"),
+                                                  F.slice("raw", f["at"] + 1, f["words"] + 1).alias("r"),
+                                                  F.when(f["at"] + f["words"] == F.size("raw"), F.col("tail")).alias("tail")))
+    got = met.select("_b", F.inline(stretch))
+    first = F.regexp_extract(F.get("r", F.lit(0)), r"(?s)\S*" + WORD + r"\z", 0)
+    rest = F.array_join(F.slice("r", F.lit(2), F.col("words") - 1), "")
+    follows = F.regexp_extract(F.coalesce(F.get("r", F.col("words")), F.lit("")), r"(?s)\A([^\s\p{L}\p{N}]*)(?=\s)", 1)
+    end = F.regexp_extract("tail", r"(?s)\A\S*", 0)
+    spelled_out = F.trim(F.regexp_replace(F.concat(first, rest, F.coalesce(end, follows)), r"(?U)\s+", " "))
     answers = got.select("_b", "_s", spelled_out.alias(out))
     return (lines.drop(out).join(answers, F.col(book).eqNullSafe(F.col("_b")) & F.col(order).eqNullSafe(F.col("_s")), "left").drop("_b", "_s")
                  .withColumn(out, F.coalesce(out, F.lit(MISSING))))
