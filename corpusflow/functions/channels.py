@@ -109,7 +109,7 @@ def merged_words(mine: list[str], theirs: list[str]) -> list[str]:
 
 @F.pandas_udf(T.StringType())
 def _merged(mine: pd.Series, theirs: pd.Series) -> pd.Series:
-    return pd.Series([None if a is None or b is None else " ".join(merged_words(list(a), list(b))) for a, b in zip(mine, theirs)], dtype=object)
+    return pd.Series([None if a is None or b is None else " ".join(merged_words(a.split(" ")[:-1], b.split(" ")[:-1])) for a, b in zip(mine, theirs)], dtype=object)
 
 
 _merged = _merged.asNondeterministic()        # evaluated once, never copied into a filter
@@ -118,4 +118,4 @@ _merged = _merged.asNondeterministic()        # evaluated once, never copied int
 def consensus(mic: Column, speaker: Column) -> Column:
     """T16, strategy ``consensus``: the lower-cased words that both channels have (null
     if one of the texts is)."""
-    return _merged(words(F.lower(mic)), words(F.lower(speaker)))
+    return _merged(*[F.array_join(F.concat(words(F.lower(c)), F.array(F.lit(""))), " ") for c in (mic, speaker)])     # a blank behind each word
