@@ -228,3 +228,42 @@ def test_limits_take_the_first_rows(spark):
     assert SH.limit_entries(df, 0).count() == 50 and SH.percent_limit(df, 1).count() == 1
     plan = SH.shard_equal_chunks(df, 4, shuffle=False)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan.split("Scan ExistingRDD")[0] or "hashpartitioning(_pid" not in plan
+
+
+def test_trigram_lid_against_plain_counts(spark, monkeypatch):
+    """Repeated and missing keys, missing texts and labels, characters beyond the first plane, texts in pieces;
+    the counted trigrams of the texts meet the profile without being dealt by trigram."""
+    from collections import Counter
+    from math import sqrt
+
+    from corpusflow.operators import scoring as S
+    rows = [(1, "The cat sat", "en"), (1, "on the mat the", "en"), (2, "die Katze saß 𝒳𝒴𝒵 auf", "de"), (3, None, "en"), (4, "", "de"),
+            (5, "le chat", None), (None, "the dog", "en"), (6, None, "en"), (6, "le chat était là", "fr"), (7, "猫猫猫猫", "zh")] + [(8, "abab" * 50, "en")]
+    df = spark.createDataFrame(rows, "k long, text string, lang string").repartition(3)
+
+    def grams(t):
+        return Counter([None] if t is None else [("  " + t.lower() + "  ")[i:i + 3] for i in range(len(t) + 2)])
+
+    profile, texts = {}, {}
+    for k, t, g in rows:
+        if g is not None:
+            profile.setdefault(g, Counter()).update(grams(t))
+        if k is not None:
+            texts.setdefault(k, Counter()).update(grams(t))
+    norm = {g: sqrt(sum(n * n for n in c.values())) for g, c in profile.items()}
+    want = {}
+    for k, c in texts.items():
+        size = sqrt(sum(n * n for n in c.values()))
+        dots = {g: sum(n * p[x] for x, n in c.items() if x is not None) / norm[g] / size for g, p in profile.items()}
+        best = max((d, g) for g, d in dots.items())
+        want[k] = (best[1], round(best[0], 9)) if best[0] else (None, None)
+    for bound, piece in ((S.BROADCAST_ROWS, S.PIECE), (0, 7)):
+        monkeypatch.setattr(S, "BROADCAST_ROWS", bound)
+        monkeypatch.setattr(S, "PIECE", piece)
+        out = S.score_trigram_lid(df, S.train_trigram_lid(df), "k")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert ("hashpartitioning(tri" in plan) == (bound == 0)
+        got = [(r.k, r.label, r.label_prob and round(r.label_prob, 9)) for r in out.collect()]
+        assert len(got) == len(rows) and all((a, b) == want.get(k, (None, None)) for k, a, b in got)
+    sent = S._count_by_label(df.unionByName(df).coalesce(1), "text", "lang")
+    assert {(r.lang, r.n) for r in sent.filter("tri IS NULL").collect()} == {("en", 4)}
