@@ -267,3 +267,29 @@ def test_trigram_lid_against_plain_counts(spark, monkeypatch):
         assert len(got) == len(rows) and all((a, b) == want.get(k, (None, None)) for k, a, b in got)
     sent = S._count_by_label(df.unionByName(df).coalesce(1), "text", "lang")
     assert {(r.lang, r.n) for r in sent.filter("tri IS NULL").collect()} == {("en", 4)}
+
+
+def test_sentences_of_large_and_small_recordings(spark, monkeypatch):
+    """Words reach their sentence in one pass over whole recordings; a large recording is cut into ranges, with
+    the same sentences; words without a recording are left out, a null order comes first."""
+    r = random.Random(5)
+    words = ["one", "Two", "three.", "Four!", "etc.", "12.", None, "six?"]
+    rows = [(k, None if i == 0 else i, r.choice(words), i * 0.5, i * 0.5 + 0.375) for k, n in ((1, 60), (2, 9), (3, 1), (None, 5)) for i in range(n)]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "r int, o int, w string, s double, e double").repartition(5)
+    want = {}
+    for k in (1, 2, 3):
+        mine, sent = sorted((x for x in rows if x[0] == k), key=lambda x: x[3]), 0
+        for x, y in zip(mine, mine[1:] + [None]):
+            want.setdefault((k, sent), []).append(x)
+            w, nxt = x[2], y and y[2]
+            sent += bool(w) and (w[-1] in "!?" or w == "three." and (not nxt or nxt[0].isupper()))
+    want = {(k, n): (" ".join(x[2] for x in xs if x[2] is not None), xs[0][3], xs[-1][4]) for (k, n), xs in want.items()}
+    for large in (1 << 20, 20, 1):
+        monkeypatch.setattr(W, "LARGE", large)
+        monkeypatch.setattr(W, "TASK", 16)
+        out = W.sentence_segments(df, "r", "o", "w", "s", "e")
+        if large == 1 << 20:
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == 1 and "Join" not in plan
+        assert {(x.r, x.sentence_id): (x.text, x.start, x.end) for x in out.collect()} == want
