@@ -102,7 +102,8 @@ class Recording:
 
 
 def _codes(values) -> np.ndarray:
-    return pd.factorize(pd.Series(list(values), dtype=object))[0]
+    plain = np.asarray(values).dtype.kind in "iufb"
+    return pd.factorize(np.asarray(values) if plain else pd.Series(list(values), dtype=object))[0]
 
 
 def tts_segments(df: DataFrame, segments: str = "segments", min_duration: float = 5, max_duration: float = 20, max_pause: float = 2,
@@ -133,7 +134,7 @@ def tts_segments(df: DataFrame, segments: str = "segments", min_duration: float
     rows = df.withColumn("_w", flat)
 
     def each(field: str) -> Column:
-        return F.transform("_w", lambda w: w[field])
+        return F.col("_w")[field]
 
     last = F.transform("_w", lambda w: F.contains(F.lit(terminal_punct_marks), F.substring(w["word"], -1, 1)) & (F.length(w["word"]) > 0))
     rows = rows.withColumn("_c", cuts.asNondeterministic()(each("start"), each("end"), each("speaker"), each("bandwidth"), last,
@@ -143,12 +144,8 @@ def tts_segments(df: DataFrame, segments: str = "segments", min_duration: float
         w = F.slice("_w", c["a"], c["n"])
         return F.get(F.transform(F.array(w), lambda x: F.struct(
             F.get(x, 0)["speaker"].alias("speaker"), F.get(x, 0)["start"].alias("start"), F.element_at(x, -1)["end"].alias("end"),
-            F.array_join(F.transform(x, lambda y: y["word"]), " ").alias("text"),
+            F.array_join(x["word"], " ").alias("text"),
             F.transform(x, lambda y: F.struct(y["word"].alias("word"), y["start"].alias("start"), y["end"].alias("end"))).alias("words"),
-            *[_column(x, m) for m in measures])), 0)
+            *[x[m].alias(m) for m in measures])), 0)
 
     return rows.withColumn(segments, F.when(F.col(segments).isNotNull(), F.transform("_c", utterance))).drop("_w", "_c")
-
-
-def _column(words: Column, field: str) -> Column:
-    return F.transform(words, lambda y: y[field]).alias(field)

@@ -35,13 +35,22 @@ def q_shard_by_size(spark, sf):
 def _recordings(spark, sf):
     """Each document as a recording: a segment for every line, two lines a speaker's turn,
     word times from the word's place and length, pauses between lines."""
-    d = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "text"))
-    w = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
-    lines = d.select("doc_id", "line", "text", w.alias("w")).filter("size(w) > 0")
-    begun = lines.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line", "text", "w"))).alias("l"))
-
-    def segment(x, i):
-        before = F.aggregate(F.slice("l", F.lit(1), i), F.lit(0), lambda a, y: a + F.size(y["w"]))
+    worded = table(spark, sf, "documents").filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    d = worded.groupBy("doc_id").agg(F.collect_list("text").alias("t"))
+
+    def lines(t):
+        each = F.transform(F.split(t, "\n"), lambda x, i: F.struct(
+            i.alias("line"), x.alias("text"), F.filter(F.split(x, r"[\x20\x09-\x0D]+"), lambda y: y != "").alias("w")))
+        return F.filter(each, lambda x: F.size(x["w"]) > 0)
+
+    each = F.flatten(F.transform("t", lines))
+    begun = d.select("doc_id", F.when(F.size("t") > 1, F.array_sort(each)).otherwise(each).alias("l"))
+    # how many words come before each line: where, in all the words, its first one is
+    places = F.flatten(F.transform("l", lambda x: F.sequence(F.lit(0), F.size(x["w"]) - 1)))
+    firsts = F.filter(F.transform(places, lambda k, i: F.when(k == 0, i)), lambda i: i.isNotNull())
+    begun = begun.select("doc_id", "l", firsts.alias("f"))
+
+    def segment(x, before):
         return F.get(F.transform(F.array(before), lambda first: F.struct(
             F.concat(F.lit("S"), F.floor(x["line"] / 2) % 2).alias("speaker"), x["text"].alias("text"),
             F.transform(x["w"], lambda word, k: F.struct(
@@ -50,7 +59,7 @@ def _recordings(spark, sf):
             F.struct(F.lit(1.0).alias("pesq_squim"), F.lit(1.0).alias("stoi_squim"), F.lit(1.0).alias("sisdr_squim"),
                      F.when(x["line"] % 5 == 4, 8000).otherwise(16000).alias("bandwidth")).alias("metrics"))), 0)
 
-    return begun.select("doc_id", F.transform("l", segment).alias("segments"))
+    return begun.select("doc_id", F.zip_with("l", "f", segment).alias("segments"))
 
 
 @query("tts_segments", r"""
@@ -85,7 +94,9 @@ SELECT k.doc_id, any_value(r.speaker) AS speaker, min_by(r.s, r.i) AS seg_start,
 FROM k JOIN r ON r.doc_id = k.doc_id AND r.i BETWEEN k.a AND k.z GROUP BY k.doc_id, k.a, k.z
 HAVING NOT (count(*) = 1 AND max(r.e - r.s) > 20)""")
 def q_tts_segments(spark, sf):
-    out = tts.tts_segments(_recordings(spark, sf)).select("doc_id", F.explode("segments").alias("u"))
+    out = tts.tts_segments(_recordings(spark, sf))
+    # a plain explode would put a filter on the array before it, and so make the utterances twice
+    out = out.select("doc_id", F.explode_outer("segments").alias("u")).filter("u IS NOT NULL")
     return out.select("doc_id", "u.speaker", F.col("u.start").alias("seg_start"), F.col("u.end").alias("seg_end"), "u.text", F.size("u.words").cast("long").alias("n_words"))
 
 

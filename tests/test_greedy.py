@@ -96,6 +96,26 @@ def test_long_word_and_null(spark):
         tts.tts_segments(df, min_duration=30)
 
 
+def test_recordings_of_documents(spark, tmp_path):
+    """Words are numbered on over the lines, also of rows with one identifier; texts without words are left out;
+    the utterances are made once, not a second time to see whether there are any."""
+    from corpusflow.plans import queries_restore as Q
+    rows = [(1, "a bb.\n \nccc d!"), (1, "x\ny"), (2, None), (3, " \n\t"), (None, "q"), (4, "\n" * 9 + "late word")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: [(g.speaker, g.text, [(w.word, w.start) for w in g.words], g.metrics.bandwidth) for g in r.segments]
+           for r in Q._recordings(spark, str(tmp_path)).collect()}
+    assert got == {
+        1: [("S0", "a bb.", [("a", 0.0), ("bb.", 0.5)], 16000), ("S0", "x", [("x", 1.0)], 16000),
+            ("S0", "y", [("y", 4.5)], 16000), ("S1", "ccc d!", [("ccc", 8.0), ("d!", 8.5)], 16000)],
+        None: [("S0", "q", [("q", 0.0)], 16000)],
+        4: [("S0", "late word", [("late", 27.0), ("word", 27.5)], 8000)]}
+    out = Q.q_tts_segments(spark, str(tmp_path))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.split("\n") if "Filter" in line and "transform(" in line]
+    assert "aggregate(slice(" not in plan                # no line counts all words before it
+    assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == [(0, "q"), (1, "a bb."), (1, "ccc d!"), (1, "x y"), (4, "late word")]
+
+
 # --- D6 ----------------------------------------------------------------------
 
 def test_append_shards(spark):
