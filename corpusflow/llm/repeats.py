@@ -9,7 +9,7 @@ anchor make a segment (shorter than two windows), and all work is on segments:
 0. copies: of documents with one text the first stands for all, and the others lose
    every window;
 1. anchors that occur twice or more, from packed lists of hashes, a list for each
-   batch of rows and bucket (a batch names an anchor twice at most);
+   pack of a task's hashes and bucket (a pack names an anchor twice at most);
 2. segments of those anchors, as digests with document and place.  A Bloom filter
    of bounded size keeps most others out; what it lets through is harmless;
 3. for each distinct segment its first place and number (partial aggregates, so
@@ -42,6 +42,7 @@ from pyspark.sql import types as T
 from corpusflow.llm import numerics as N
 from corpusflow.llm.bloom import bloom_words, contains, may_contain
 from corpusflow.llm.store import shuffle_partitions, stored, without
+from corpusflow.session import small_batches
 
 OUT = ("n_units", "n_removed", "removed_spans", "clean")
 NO_ID = -(1 << 63)        # a null identifier sorts first
@@ -49,6 +50,7 @@ _POS_BITS = N.U((1 << 21) - 1)
 _SHAPE = 1 << 15           # windows of a segment and symbols before its anchor, in one number
 PART = 1 << 18             # bytes of text, or symbols, worked on at once
 SLICE = 1 << 13            # segments that a kernel takes at once, or those of one anchor
+PACKED = 1 << 18           # anchor hashes that a task gathers before it packs them into lists
 WHOLE = (1 << 31) - 1      # end of a span over the whole text
 RUNS = "h long, dg long, o1 int, o2 int, ed long, et long, ep int"
 
@@ -143,21 +145,29 @@ def _repeated_anchors(docs: DataFrame, p: RepeatParams) -> DataFrame:
     """Anchor hashes ``h`` that occur twice or more, once each."""
     buckets = 4 * shuffle_partitions(docs.sparkSession)
 
+    def lists(found):
+        h, n = np.unique(np.concatenate(found), return_counts=True)
+        h = np.concatenate([h, h[n > 1]])
+        b = (h % N.U(buckets)).astype(np.int64)
+        order, size = np.argsort(b, kind="stable"), np.bincount(b, minlength=buckets)
+        have = np.flatnonzero(size)
+        return pa.RecordBatch.from_arrays([pa.array(have, pa.int32()), N.list_array(h[order].view(np.int64), size[have], pa.int64())],
+                                          names=["bucket", "hs"])
+
     def pack(batches):
-        for batch in batches:
-            found = [x[4] for _, _, x in _batches([batch], 0, p)]
-            if not found:
-                continue
-            h, n = np.unique(np.concatenate(found), return_counts=True)
-            h = np.concatenate([h, h[n > 1]])
-            b = (h % N.U(buckets)).astype(np.int64)
-            order, size = np.argsort(b, kind="stable"), np.bincount(b, minlength=buckets)
-            have = np.flatnonzero(size)
-            yield pa.RecordBatch.from_arrays([pa.array(have, pa.int32()), N.list_array(h[order].view(np.int64), size[have], pa.int64())],
-                                             names=["bucket", "hs"])
+        found, held = [], 0
+        for _, _, x in _batches(batches, 0, p):      # packs do not depend on the size of the batches
+            found.append(x[4])
+            held += len(x[4])
+            if held >= PACKED:
+                yield lists(found)
+                found, held = [], 0
+        if found:
+            yield lists(found)
 
     def twice(pdf: pd.DataFrame) -> pd.DataFrame:
         h = np.sort(np.concatenate(pdf["hs"].tolist()))
+        N.release()
         return pd.DataFrame({"h": np.unique(h[1:][h[1:] == h[:-1]])})
 
     packed = docs.select("text").mapInArrow(pack, "bucket int, hs array<long>")
@@ -243,7 +253,9 @@ def _runs_of(pdf: pd.DataFrame, p: RepeatParams, kernel: Kernel) -> pd.DataFrame
     h = pdf["h"].to_numpy()
     edges = np.append(np.flatnonzero(np.append(True, h[1:] != h[:-1])), len(h))
     cuts = np.unique(np.append(edges[np.searchsorted(edges, np.arange(0, len(h), SLICE))], len(h)))
-    return pd.concat([_slice_runs(pdf.iloc[i:j], p, kernel) for i, j in zip(cuts[:-1], cuts[1:])])
+    runs = pd.concat([_slice_runs(pdf.iloc[i:j], p, kernel) for i, j in zip(cuts[:-1], cuts[1:])])
+    N.release()
+    return runs
 
 
 def _slice_runs(pdf: pd.DataFrame, p: RepeatParams, kernel: Kernel) -> pd.DataFrame:
@@ -423,6 +435,7 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, p: RepeatParams,
     """``docs`` with ``n_units`` (symbols), ``n_removed``, ``removed_spans``
     (maximal, from a to before b) and ``clean`` (the rest, UTF-8 bytes; words
     are joined by one space)."""
+    small_batches(docs.sparkSession)
     docs = without(docs, *OUT)
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = (docs.withColumn("__d", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
