@@ -75,24 +75,24 @@ def may_contain(spark, words: np.ndarray):
     return hit
 
 
-def rows_with_ids(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+def rows_with_ids(docs: DataFrame, id_col: str, ids: DataFrame, n_ids: int | None = None) -> DataFrame:
     """Rows of ``docs`` whose identifier is in the one-column frame ``ids``
-    (a stored table): the filter keeps most other rows out of the shuffle and an
-    exact semi join decides."""
-    may, wanted = _id_filter(docs, ids)
+    (a stored table, of ``n_ids`` rows if that is known): the filter keeps most other
+    rows out of the shuffle and an exact semi join decides."""
+    may, wanted = _id_filter(docs, ids, n_ids)
     return docs.filter(may(F.col(id_col))).join(wanted, F.col(id_col) == F.col("__id"), "left_semi")
 
 
-def rows_without_ids(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+def rows_without_ids(docs: DataFrame, id_col: str, ids: DataFrame, n_ids: int | None = None) -> DataFrame:
     """Rows of ``docs`` whose identifier is not in ``ids`` (a null one is
     not); only possible hits are shuffled."""
-    may, gone = _id_filter(docs, ids)
+    may, gone = _id_filter(docs, ids, n_ids)
     flagged = docs.withColumn("__may", may(F.col(id_col)))
     rest = flagged.filter(F.col("__may")).join(gone, F.col(id_col) == F.col("__id"), "left_anti")
     return flagged.filter(~F.col("__may")).unionByName(rest).drop("__may")
 
 
-def _id_filter(docs: DataFrame, ids: DataFrame):
+def _id_filter(docs: DataFrame, ids: DataFrame, n_ids: int | None):
     name = ids.columns[0]
-    may = may_contain(docs.sparkSession, bloom_words(ids, name, ids.count()))
+    may = may_contain(docs.sparkSession, bloom_words(ids, name, ids.count() if n_ids is None else n_ids))
     return may, ids.select(F.col(name).alias("__id")).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.store import stored
+from corpusflow.llm.store import summed
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -21,21 +21,27 @@ def _small_star(e: DataFrame) -> DataFrame:
                 .union(low.select("u", "m")))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``node`` and ``component`` (its smallest node) of every node of the
-    undirected edges ``a``, ``b`` (longs).  Nodes without an edge don't occur."""
+def stars(edges: DataFrame) -> DataFrame:
+    """``node`` and ``component`` (its smallest node) of the nodes of the undirected
+    edges ``a``, ``b`` (longs), but for those smallest nodes themselves; stored."""
     def tidy(e: DataFrame) -> DataFrame:
         return e.filter("a <> b").distinct()
 
-    def state(e: DataFrame):
-        return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    def kept(e: DataFrame):
+        return summed(tidy(e), "edges", F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
 
-    e = stored(tidy(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))), "edges")
-    now = state(e)
+    e, now = kept(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     while now[0]:
-        e = stored(tidy(_small_star(tidy(_large_star(e)))), "edges")
-        before, now = now, state(e)
+        before = now
+        e, now = kept(_small_star(_large_star(e).filter("a <> b")))     # a row for each edge at most, equal ones go behind
         if now == before:
             break
+    return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """``node`` and ``component`` of every node of the edges, the smallest ones too.
+    Nodes without an edge don't occur."""
+    e = stars(edges).select(F.col("node").alias("a"), F.col("component").alias("b"))
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -11,7 +11,7 @@ a bucket, one class of each component known so far is held against that of the
 first component (a star, not all pairs), and the confirmed links merge components
 before the next sweep, so a group of near copies soon is one row in each bucket.
 Buckets whose classes still lie in several components are then worked on pivot by
-pivot, twice as many pivots in each pass, until none holds an untested pair of
+pivot, four times as many pivots in each pass, until none holds an untested pair of
 classes of different components.  Before that a bucket of more than ``SPLIT`` classes
 is split without loss: two sets as similar as asked for share one of their rarest
 shingles (of ``n`` shingles, in one order for all sets, the first
@@ -46,14 +46,15 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import numerics as N
 from corpusflow.llm.bloom import rows_with_ids, rows_without_ids
-from corpusflow.llm.graph import components
-from corpusflow.llm.store import Grown, stored
+from corpusflow.llm.graph import stars
+from corpusflow.llm.store import Grown, stored, summed
+from corpusflow.session import small_batches
 
 PART = 1 << 18           # bytes of text worked on at once
 FIRST_SWEEP = 3          # bands worked on at first
 SWEEP = 13               # bands worked on together after that
 SPLIT = 32               # classes of a bucket; a larger one is split by rare shingles
-PIVOTS = 8               # of a bucket in the first later pass, then twice as many in each
+PIVOTS = 8               # of a bucket in the first later pass, then four times as many in each
 ORDER_BITS = 18          # shingles are counted in 2 ** ORDER_BITS cells, to put rare ones first
 
 
@@ -195,32 +196,31 @@ class _Links:
 
     def with_component(self, rows: DataFrame) -> DataFrame:
         return (rows.join(self.comp, rows["id"] == self.comp["node"], "left")
-                    .select("key", "id", "n", F.coalesce("component", "id").alias("c")))
+                    .select(*rows.columns, F.coalesce("component", "id").alias("c")))
 
     def sets_of(self, ids: DataFrame) -> DataFrame:
         """The sets made so far, those of ``ids`` among them."""
-        new = stored(ids.join(self.sets.rows().select("id"), "id", "left_anti"), "ids")
-        if not new.isEmpty():
-            self.sets.add(_sets(rows_with_ids(self.docs, "id", new).select("id", "text"), self.p))
+        new, (n,) = summed(ids.join(self.sets.rows().select("id"), "id", "left_anti"), "ids")
+        if n:
+            self.sets.add(_sets(rows_with_ids(self.docs, "id", new, n).select("id", "text"), self.p))
         return self.sets.rows()
 
     def test(self, pairs: DataFrame) -> bool:
         """Test the pairs (a, b) that are new; is one of them a link?"""
-        todo = stored(pairs.distinct().join(self.tested.rows(), ["a", "b"], "left_anti"), "pairs")
-        if todo.isEmpty():
+        todo, n = self.tested.add(pairs.distinct().join(self.tested.rows(), ["a", "b"], "left_anti"))
+        if not n:
             return False
         sets = self.sets_of(todo.select(F.col("a").alias("id")).union(todo.select("b")).distinct())
         one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
         two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
         shared = F.size(F.array_intersect("sa", "sb")).cast("long")
-        more = stored(todo.join(one, "a").join(two, "b").withColumn("m", shared)
+        more, (n,) = summed(todo.join(one, "a").join(two, "b").withColumn("m", shared)
                           .filter(100 * F.col("m") >= self.p.percent * (F.size("sa") + F.size("sb") - F.col("m")))
-                          .select("a", "b").distinct(), "links")
-        self.tested.add(todo)
-        if more.isEmpty():
+                          .select("a", "b"), "links")
+        if not n:
             return False
         so_far = self.comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        self.comp = stored(components(so_far.union(more)), "components")
+        self.comp = stars(so_far.union(more))
         return True
 
 
@@ -250,12 +250,13 @@ def _pairs(against: DataFrame, p: MinHashParams) -> DataFrame:
 
 def near_duplicate_links(docs: DataFrame, classes: DataFrame, p: MinHashParams) -> DataFrame:
     """Components of ``classes`` (id, n, keys): ``node``, ``component`` for
-    the ids that are linked with another one."""
+    the ids that are linked with a smaller one."""
     found = _Links(docs, p)
     swept, at = [], 0
     while at < p.bands:
         size = FIRST_SWEEP if at == 0 else SWEEP      # the first one has nothing to contract yet
-        reps = _contracted(found.with_component(classes.select("id", "n", F.explode(F.slice("keys", at + 1, size)).alias("key"))))
+        bands = found.with_component(classes.select("id", "n", F.slice("keys", at + 1, size).alias("keys")))
+        reps = _contracted(bands.select("id", "n", "c", F.explode("keys").alias("key")))
         reps = stored(reps.join(_several(reps), "key").select("key", "c", "id", "n", "m"), "buckets")
         found.test(_star(reps, p))
         swept.append(reps.select("key", "id", "n", "m"))
@@ -263,27 +264,26 @@ def near_duplicate_links(docs: DataFrame, classes: DataFrame, p: MinHashParams)
     # buckets that still hold several components; their first classes against each other until nothing merges
     reps = reduce(DataFrame.union, swept)
     while True:
-        tagged = reps.join(found.comp, reps["id"] == found.comp["node"], "left").select("key", "id", "n", "m", F.coalesce("component", "id").alias("c"))
-        tagged = tagged.groupBy("key", "c").agg(F.min(F.struct("id", "n")).alias("r"), F.sum("m").alias("m")).select("key", "c", "r.id", "r.n", "m")
-        reps = stored(tagged.join(_several(tagged), "key").select("key", "c", "id", "n", "m"), "open")
-        if reps.isEmpty():
+        tagged = found.with_component(reps).groupBy("key", "c").agg(F.min(F.struct("id", "n")).alias("r"), F.sum("m").alias("m")).select("key", "c", "r.id", "r.n", "m")
+        reps, (n,) = summed(tagged.join(_several(tagged), "key").select("key", "c", "id", "n", "m"), "open")
+        if not n:
             return found.comp
         if not found.test(_star(reps, p)):
             break
         reps = reps.drop("c")
     sizes = reps.groupBy("key").agg(F.sum("m").alias("size"))
     rows = stored(classes.select("id", "n", F.explode("keys").alias("key")).join(sizes, "key"), "rows")
-    hot = stored(rows.filter(F.col("size") > SPLIT).select("id").distinct(), "hot")
+    hot, (n,) = summed(rows.filter(F.col("size") > SPLIT).select("id").distinct(), "hot")
     rows = rows.filter(F.col("size") <= SPLIT).select("key", "id", "n", F.lit(0).cast("long").alias("at"), F.lit(True).alias("core"))
-    if not hot.isEmpty():
+    if n:
         sets = found.sets_of(hot).join(hot, "id", "left_semi")
         rows = rows.union(stored(_rare_shingles(stored(sets, "hot_sets"), p), "rare"))
     pivots_now = PIVOTS
     while True:
-        tagged = rows.join(found.comp, rows["id"] == found.comp["node"], "left").select(*rows.columns, F.coalesce("component", "id").alias("c"))
+        tagged = found.with_component(rows)
         still = tagged.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.max("core").alias("any")).filter("lo < hi AND any")
-        tagged = stored(tagged.join(still.select("key"), "key"), "open")
-        if tagged.isEmpty():
+        tagged, (n,) = summed(tagged.join(still.select("key"), "key"), "open")
+        if not n:
             return found.comp
         slot = F.pmod(F.xxhash64("id"), F.lit(pivots_now))
         pivots = (tagged.filter("core").groupBy("key", slot.alias("slot")).agg(F.max(F.struct("c", "id", "n", "at")).alias("pivot"))
@@ -293,7 +293,7 @@ def near_duplicate_links(docs: DataFrame, classes: DataFrame, p: MinHashParams)
         found.test(_pairs(tagged.join(pivots, "key").filter((F.col("c") != F.col("pivot.c")) & near), p))
         used = pivots.select("key", F.col("pivot.id").alias("id"))
         rows = tagged.drop("c").join(used, ["key", "id"], "left_anti")
-        pivots_now *= 2
+        pivots_now *= 4
 
 
 def near_duplicate_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -301,6 +301,7 @@ def near_duplicate_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row for each row of ``docs``: its identifier, ``n_shingles`` (size of
     its set), ``component_id`` (the smallest identifier that links reach) and
     ``kept`` (that identifier is its own)."""
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sig = stored(_signatures(slim, params), "signatures")
     named = sig.filter("n > 0 AND id IS NOT NULL")
@@ -322,5 +323,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` without the documents of a group other than its smallest
     identifier; columns and texts are unchanged."""
     found = near_duplicate_ids(docs, id_col, text_col, params)
-    gone = stored(found.filter(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct(), "dropped")
-    return rows_without_ids(docs, id_col, gone)
+    gone, (n,) = summed(found.filter(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct(), "dropped")
+    return rows_without_ids(docs, id_col, gone, n)

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -33,22 +33,37 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def summed(df: DataFrame, name: str, *more: Column) -> tuple[DataFrame, tuple]:
+    """``stored`` with the number of rows, and the aggregates ``more``, taken while
+    they are written: no job of its own reads the table again for them."""
+    seen = Observation()
+    aggs = [c.alias(f"v{i}") for i, c in enumerate((F.count(F.lit(1)), *more))]
+    table = stored(df.observe(seen, *aggs), name)
+    found = seen.get
+    return table, tuple(found[f"v{i}"] for i in range(len(aggs)))
+
+
 class Grown:
     """A table in the shared folder that rows are added to: it is one scan, however
     often something was added."""
 
     def __init__(self, spark: SparkSession, schema: str, name: str):
-        self.spark, self.schema, self.filled = spark, schema, False
-        self.path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-    def add(self, df: DataFrame) -> None:
-        df.write.mode("append").option("compression", "zstd").parquet(self.path)
-        self.filled = True
+        self.spark, self.schema, self.name = spark, schema, name
+        self.folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.parts: list[str] = []
+
+    def add(self, df: DataFrame) -> tuple[DataFrame, int]:
+        """The rows added now, and their number."""
+        seen = Observation()
+        path = f"{self.folder}/{len(self.parts)}"
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.option("compression", "zstd").parquet(path)
+        self.parts.append(path)
+        return self.spark.read.schema(self.schema).parquet(path), seen.get["n"]
 
     def rows(self) -> DataFrame:
-        if not self.filled:
+        if not self.parts:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self.spark.read.schema(self.schema).parquet(*self.parts)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import plain
-from corpusflow.llm import bloom, graph, linededup, minhash, numerics, repeats, substring, suffix
+from corpusflow.llm import bloom, graph, linededup, minhash, numerics, repeats, store, substring, suffix
 
 
 def _pairs(rows):
@@ -104,6 +104,34 @@ def test_near_duplicate_recall(spark):
     assert got.filter("component_id = doc_id - 1").count() >= 999
 
 
+def test_near_dedup_takes_few_jobs(spark):
+    """What the driver keeps grows with the jobs: rows are counted while they are written
+    and not by jobs of their own (194 jobs before, 148 now)."""
+    base = [f"b{j}" for j in range(60)]
+    rows = [(i, " ".join(base[:i % 5] + ["x"] + base[i % 5:])) for i in range(5)]
+    rows += [(100 + i, " ".join(base[:30] + [f"u{i}x{j}" for j in range(30)])) for i in range(40)]
+    spark.sparkContext.setJobGroup("few jobs", "")
+    try:
+        got = minhash.near_duplicate_ids(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain.near_components(rows)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few jobs")) < 165
+
+
+def test_rows_counted_while_written(spark):
+    table, (n, low) = store.summed(spark.range(5).filter("id <> 3"), "some", F.min("id"))
+    assert (n, low) == (4, 0) and table.count() == 4
+    gone = spark.range(5).join(spark.range(9), "id", "left_anti").distinct()
+    assert store.summed(gone, "none", F.sum("id"))[1] == (0, None)
+    grown = store.Grown(spark, "id long", "grown")
+    assert grown.rows().count() == 0
+    for k in range(3):
+        part, n = grown.add(spark.range(10 * k, 10 * k + 5).join(grown.rows(), "id", "left_anti"))
+        assert n == 5 and sorted(r["id"] for r in part.collect()) == list(range(10 * k, 10 * k + 5))
+    assert grown.add(gone)[1] == 0 and grown.rows().count() == 15
+
+
 def test_drop_near_duplicates(docs, rows):
     want = {i for i, (_, c) in plain.near_components(_pairs(rows)).items() if i == c}
     left = minhash.drop_near_duplicates(docs.withColumn("n", F.lit(1)).withColumn("kept", F.lit("x")))
@@ -284,3 +312,21 @@ def test_kernel_in_slices(spark, docs, rows, monkeypatch):
     monkeypatch.setattr(repeats, "_slice_runs", lambda part, p, kernel: seen.append(list(part["h"])) or part)
     assert len(repeats._runs_of(pdf, None, None)) == 7
     assert seen == [[1, 1, 2, 2], [5, 5, 9]] or all(len(set(a) & set(b)) == 0 for a, b in zip(seen, seen[1:]))
+
+
+def test_substring_dedup_in_small_batches(spark, docs, rows, monkeypatch):
+    """The rows that go to a Python worker are bounded, and the packs of anchors are neither
+    a list for each batch nor one for each task."""
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        spark.conf.set(keys[0], "10000")
+        want = sorted((r["doc_id"], r["n_removed"], bytes(r["clean"])) for r in substring.substring_dedup(docs).collect())
+        assert int(spark.conf.get(keys[0])) <= 1000 and spark.conf.get(keys[1]).rstrip("b") == str(4 << 20)
+        monkeypatch.setattr(repeats, "PACKED", 50)
+        spark.conf.set(keys[0], "3")
+        got = sorted((r["doc_id"], r["n_removed"], bytes(r["clean"])) for r in substring.substring_dedup(docs).collect())
+        assert got == want and any(n for _, n, _ in got)
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
