@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.llm.store import SMALL, looked_up
+
 BITS_PER_KEY = 16
 BLOCK_WORDS = 8          # 64-bit words of a block
 PROBES = 8
@@ -77,22 +79,25 @@ def may_contain(spark, words: np.ndarray):
 
 def rows_with_ids(docs: DataFrame, id_col: str, ids: DataFrame, n_ids: int | None = None) -> DataFrame:
     """Rows of ``docs`` whose identifier is in the one-column frame ``ids``
-    (a stored table, of ``n_ids`` rows if that is known): the filter keeps most other
-    rows out of the shuffle and an exact semi join decides."""
-    may, wanted = _id_filter(docs, ids, n_ids)
-    return docs.filter(may(F.col(id_col))).join(wanted, F.col(id_col) == F.col("__id"), "left_semi")
+    (a stored table, of ``n_ids`` rows if that is known).  Few identifiers go to the rows;
+    of more, the filter keeps most other rows out of the shuffle and an exact semi join
+    decides."""
+    n, wanted = _counted(ids, n_ids)
+    if n > SMALL:
+        docs = docs.filter(may_contain(docs.sparkSession, bloom_words(wanted, "__id", n))(F.col(id_col)))
+    return docs.join(looked_up(wanted, n), F.col(id_col) == F.col("__id"), "left_semi")
 
 
 def rows_without_ids(docs: DataFrame, id_col: str, ids: DataFrame, n_ids: int | None = None) -> DataFrame:
     """Rows of ``docs`` whose identifier is not in ``ids`` (a null one is
-    not); only possible hits are shuffled."""
-    may, gone = _id_filter(docs, ids, n_ids)
-    flagged = docs.withColumn("__may", may(F.col(id_col)))
+    not); only possible hits are shuffled, and none if the identifiers are few."""
+    n, gone = _counted(ids, n_ids)
+    if n <= SMALL:
+        return docs.join(looked_up(gone, n), F.col(id_col) == F.col("__id"), "left_anti")
+    flagged = docs.withColumn("__may", may_contain(docs.sparkSession, bloom_words(gone, "__id", n))(F.col(id_col)))
     rest = flagged.filter(F.col("__may")).join(gone, F.col(id_col) == F.col("__id"), "left_anti")
     return flagged.filter(~F.col("__may")).unionByName(rest).drop("__may")
 
 
-def _id_filter(docs: DataFrame, ids: DataFrame, n_ids: int | None):
-    name = ids.columns[0]
-    may = may_contain(docs.sparkSession, bloom_words(ids, name, ids.count() if n_ids is None else n_ids))
-    return may, ids.select(F.col(name).alias("__id")).distinct()
+def _counted(ids: DataFrame, n_ids: int | None) -> tuple[int, DataFrame]:
+    return ids.count() if n_ids is None else n_ids, ids.select(F.col(ids.columns[0]).alias("__id"))

@@ -10,9 +10,10 @@ banding, so a group of copies is one node.  Bands are swept a few at a time.  In
 a bucket, one class of each component known so far is held against that of the
 first component (a star, not all pairs), and the confirmed links merge components
 before the next sweep, so a group of near copies soon is one row in each bucket.
-Buckets whose classes still lie in several components are then worked on pivot by
-pivot, four times as many pivots in each pass, until none holds an untested pair of
-classes of different components.  Before that a bucket of more than ``SPLIT`` classes
+In buckets whose classes still lie in several components, the classes outside the
+largest one there are then pivots that meet all others: at once if they are no more
+than ``PIVOTS``, else pass by pass, eight times as many in each, until no bucket holds
+an untested pair of classes of different components.  Before that a bucket of more than ``SPLIT`` classes
 is split without loss: two sets as similar as asked for share one of their rarest
 shingles (of ``n`` shingles, in one order for all sets, the first
 ``n - ceil(n * percent / 100) + 1``; the smaller set of the two has it among its first
@@ -41,20 +42,20 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm import numerics as N
 from corpusflow.llm.bloom import rows_with_ids, rows_without_ids
 from corpusflow.llm.graph import stars
-from corpusflow.llm.store import Grown, stored, summed
+from corpusflow.llm.store import SMALL, Grown, looked_up, stored, summed
 from corpusflow.session import small_batches
 
 PART = 1 << 18           # bytes of text worked on at once
 FIRST_SWEEP = 3          # bands worked on at first
-SWEEP = 13               # bands worked on together after that
+SWEEP = 52               # bands worked on together after that: every sweep has passes of its own, however small
 SPLIT = 32               # classes of a bucket; a larger one is split by rare shingles
-PIVOTS = 8               # of a bucket in the first later pass, then four times as many in each
+PIVOTS = 256             # of a bucket in the first later pass, then eight times as many in each
 ORDER_BITS = 18          # shingles are counted in 2 ** ORDER_BITS cells, to put rare ones first
 
 
@@ -192,55 +193,55 @@ class _Links:
         self.docs, self.p = docs, p
         self.sets = Grown(spark, "id long, shingles array<long>", "sets")
         self.tested = Grown(spark, "a long, b long", "tested")
-        self.comp = spark.createDataFrame([], "node long, component long")
+        self.comp, self.n_comp = spark.sql("SELECT 0L AS node, 0L AS component WHERE false"), 0
 
     def with_component(self, rows: DataFrame) -> DataFrame:
-        return (rows.join(self.comp, rows["id"] == self.comp["node"], "left")
+        return (rows.join(looked_up(self.comp, self.n_comp), rows["id"] == self.comp["node"], "left")
                     .select(*rows.columns, F.coalesce("component", "id").alias("c")))
 
     def sets_of(self, ids: DataFrame) -> DataFrame:
         """The sets made so far, those of ``ids`` among them."""
-        new, (n,) = summed(ids.join(self.sets.rows().select("id"), "id", "left_anti"), "ids")
+        if self.sets.parts:
+            ids = ids.join(looked_up(self.sets.rows().select("id"), self.sets.n), "id", "left_anti")
+        new, (n,) = summed(ids, "ids")
         if n:
             self.sets.add(_sets(rows_with_ids(self.docs, "id", new, n).select("id", "text"), self.p))
         return self.sets.rows()
 
-    def test(self, pairs: DataFrame) -> bool:
-        """Test the pairs (a, b) that are new; is one of them a link?"""
-        todo, n = self.tested.add(pairs.distinct().join(self.tested.rows(), ["a", "b"], "left_anti"))
+    def test(self, pairs: DataFrame) -> None:
+        """Test the pairs (a, b) that are new and merge the components of links."""
+        pairs = pairs.distinct()
+        if self.tested.parts:
+            pairs = pairs.join(looked_up(self.tested.rows(), self.tested.n), ["a", "b"], "left_anti")
+        todo, n = self.tested.add(pairs)
         if not n:
-            return False
-        sets = self.sets_of(todo.select(F.col("a").alias("id")).union(todo.select("b")).distinct())
-        one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-        two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+            return
+        sets = self.sets_of(todo.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        ends = {x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab"}
+        # b is the pivot of many pairs: few enough go to its set, and then each to the set of its a
+        first, then = ("b", "a") if n <= SMALL else ("a", "b")
+        both = ends[first].join(looked_up(todo, n), first).join(ends[then], then)
         shared = F.size(F.array_intersect("sa", "sb")).cast("long")
-        more, (n,) = summed(todo.join(one, "a").join(two, "b").withColumn("m", shared)
-                          .filter(100 * F.col("m") >= self.p.percent * (F.size("sa") + F.size("sb") - F.col("m")))
-                          .select("a", "b"), "links")
-        if not n:
-            return False
-        so_far = self.comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        self.comp = stars(so_far.union(more))
-        return True
-
-
-def _contracted(tagged: DataFrame) -> DataFrame:
-    """One class (id, n) of each component in each bucket: a component is one row
-    there, however many classes it has, and the map side already merges them."""
-    return (tagged.groupBy("key", "c").agg(F.min(F.struct("id", "n")).alias("r"), F.count(F.lit(1)).alias("m"))
-                  .select("key", "c", "r.id", "r.n", "m"))
+        more, (n,) = summed(both.withColumn("m", shared)
+                                .filter(100 * F.col("m") >= self.p.percent * (F.size("sa") + F.size("sb") - F.col("m")))
+                                .select("a", "b"), "links")
+        if n:
+            so_far = self.comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            self.comp, self.n_comp = stars(so_far.union(more), self.n_comp + n)
 
 
-def _several(contracted: DataFrame) -> DataFrame:
-    """Keys that hold several components, with their number of classes."""
-    return (contracted.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.sum("m").alias("size"))
-                      .filter("lo < hi").select("key", "size"))
+def _several(tagged: DataFrame, size: Column) -> tuple[DataFrame, int]:
+    """Keys that hold several components, with the first one and ``size``; stored, with
+    their number."""
+    keys = tagged.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), size.alias("size"))
+    found, (n,) = summed(keys.filter("lo < hi").select("key", "lo", "size"), "several")
+    return found, n
 
 
-def _star(reps: DataFrame, p: MinHashParams) -> DataFrame:
+def _star(reps: DataFrame, n_keys: int, p: MinHashParams) -> DataFrame:
     """In each bucket the class of every component against that of the first one."""
-    first = reps.groupBy("key").agg(F.min(F.struct("c", "id", "n")).alias("pivot"))
-    return _pairs(reps.join(first, "key").filter(F.col("c") != F.col("pivot.c")), p)
+    first = reps.filter("c = lo").select("key", F.struct("id", "n").alias("pivot"))
+    return _pairs(reps.filter("c <> lo").join(looked_up(first, n_keys), "key"), p)
 
 
 def _pairs(against: DataFrame, p: MinHashParams) -> DataFrame:
@@ -248,52 +249,61 @@ def _pairs(against: DataFrame, p: MinHashParams) -> DataFrame:
     return against.filter(fits).select(F.greatest("id", "pivot.id").alias("a"), F.least("id", "pivot.id").alias("b"))
 
 
-def near_duplicate_links(docs: DataFrame, classes: DataFrame, p: MinHashParams) -> DataFrame:
+def near_duplicate_links(docs: DataFrame, classes: DataFrame, p: MinHashParams) -> tuple[DataFrame, int]:
     """Components of ``classes`` (id, n, keys): ``node``, ``component`` for
-    the ids that are linked with a smaller one."""
+    the ids that are linked with a smaller one, and their number."""
     found = _Links(docs, p)
     swept, at = [], 0
     while at < p.bands:
         size = FIRST_SWEEP if at == 0 else SWEEP      # the first one has nothing to contract yet
         bands = found.with_component(classes.select("id", "n", F.slice("keys", at + 1, size).alias("keys")))
-        reps = _contracted(bands.select("id", "n", "c", F.explode("keys").alias("key")))
-        reps = stored(reps.join(_several(reps), "key").select("key", "c", "id", "n", "m"), "buckets")
-        found.test(_star(reps, p))
-        swept.append(reps.select("key", "id", "n", "m"))
+        bands = bands.select("id", "n", "c", F.explode("keys").alias("key"))
+        keys, n = _several(bands, F.count(F.lit(1)))
         at += size
-    # buckets that still hold several components; their first classes against each other until nothing merges
-    reps = reduce(DataFrame.union, swept)
-    while True:
-        tagged = found.with_component(reps).groupBy("key", "c").agg(F.min(F.struct("id", "n")).alias("r"), F.sum("m").alias("m")).select("key", "c", "r.id", "r.n", "m")
-        reps, (n,) = summed(tagged.join(_several(tagged), "key").select("key", "c", "id", "n", "m"), "open")
-        if not n:
-            return found.comp
-        if not found.test(_star(reps, p)):
-            break
-        reps = reps.drop("c")
-    sizes = reps.groupBy("key").agg(F.sum("m").alias("size"))
-    rows = stored(classes.select("id", "n", F.explode("keys").alias("key")).join(sizes, "key"), "rows")
+        if n:
+            # one class (id, n) of each component in each bucket, however many classes it has there
+            reps = (bands.join(looked_up(keys.select("key", "lo"), n), "key").groupBy("key", "lo", "c")
+                         .agg(F.min(F.struct("id", "n")).alias("r"), F.count(F.lit(1)).alias("m")))
+            reps = stored(reps.select("key", "lo", "c", "r.id", "r.n", "m"), "buckets")
+            found.test(_star(reps, n, p))
+            swept.append(reps.select("key", "id", "m"))
+    if not swept:
+        return found.comp, found.n_comp
+    # buckets that still hold several components
+    sizes, n = _several(found.with_component(reduce(DataFrame.union, swept)), F.sum("m"))
+    if not n:
+        return found.comp, found.n_comp
+    rows = classes.select("id", "n", F.explode("keys").alias("key")).join(looked_up(sizes.select("key", "size"), n), "key")
+    rows = stored(rows, "rows")
     hot, (n,) = summed(rows.filter(F.col("size") > SPLIT).select("id").distinct(), "hot")
     rows = rows.filter(F.col("size") <= SPLIT).select("key", "id", "n", F.lit(0).cast("long").alias("at"), F.lit(True).alias("core"))
     if n:
-        sets = found.sets_of(hot).join(hot, "id", "left_semi")
-        rows = rows.union(stored(_rare_shingles(stored(sets, "hot_sets"), p), "rare"))
+        sets = found.sets_of(hot).join(looked_up(hot, n), "id", "left_semi")
+        rows = rows.union(stored(_rare_shingles(sets, p), "rare"))
     pivots_now = PIVOTS
     while True:
         tagged = found.with_component(rows)
-        still = tagged.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.max("core").alias("any")).filter("lo < hi AND any")
-        tagged, (n,) = summed(tagged.join(still.select("key"), "key"), "open")
+        parts = tagged.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"), F.max("core").alias("core"))
+        still = (parts.groupBy("key").agg(F.max(F.struct("k", "c")).alias("most"), F.sum("k").alias("all"), F.max("core").alias("any"))
+                      .select("key", F.col("most.c").alias("main"), (F.col("all") - F.col("most.k")).alias("others"), "any")
+                      .filter("others > 0 AND any").drop("any"))
+        many = F.col("others") > pivots_now
+        tagged, (n, left) = summed(tagged.join(still, "key"), "open", F.count_if(many))
         if not n:
-            return found.comp
-        slot = F.pmod(F.xxhash64("id"), F.lit(pivots_now))
-        pivots = (tagged.filter("core").groupBy("key", slot.alias("slot")).agg(F.max(F.struct("c", "id", "n", "at")).alias("pivot"))
+            return found.comp, found.n_comp
+        # a pair of different components has one outside the main one; a shared shingle is core in one of the two
+        slot = F.when(many, F.pmod(F.xxhash64("id"), F.lit(pivots_now))).otherwise(F.col("id"))
+        pivots = (tagged.filter("c <> main").groupBy("key", slot.alias("slot")).agg(F.max(F.struct("c", "id", "n", "at", "core")).alias("pivot"))
                         .select("key", "pivot"))
         near = ((100 + p.percent) * F.least(F.col("n") - F.col("at"), F.col("pivot.n") - F.col("pivot.at"))
                 >= p.percent * (F.col("n") + F.col("pivot.n")))      # else too few shingles are left from here on
-        found.test(_pairs(tagged.join(pivots, "key").filter((F.col("c") != F.col("pivot.c")) & near), p))
+        meet = (F.col("c") != F.col("pivot.c")) & (F.col("core") | F.col("pivot.core")) & near
+        found.test(_pairs(tagged.join(pivots, "key").filter(meet), p))
+        if not left:
+            return found.comp, found.n_comp
         used = pivots.select("key", F.col("pivot.id").alias("id"))
-        rows = tagged.drop("c").join(used, ["key", "id"], "left_anti")
-        pivots_now *= 4
+        rows = tagged.filter(many).select(*rows.columns).join(used, ["key", "id"], "left_anti")
+        pivots_now *= 8
 
 
 def near_duplicate_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -306,12 +316,11 @@ def near_duplicate_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sig = stored(_signatures(slim, params), "signatures")
     named = sig.filter("n > 0 AND id IS NOT NULL")
     digest = ["d1", "d2", "n"]
-    reps = stored(named.groupBy(*digest).agg(F.min("id").alias("rep")), "classes")
-    classes = (named.join(reps.withColumnRenamed("rep", "id"), ["id", *digest])
-                    .dropDuplicates(["id", *digest]).select("id", "n", "keys"))
-    comp = near_duplicate_links(slim, stored(classes, "banded"), params)
-    by_class = (reps.join(comp, reps["rep"] == comp["node"], "left")
-                    .select(*digest, F.coalesce("component", "rep").alias("c")))
+    first = named.groupBy(*digest).agg(F.min(F.struct("id", "keys")).alias("first"))      # equal sets have equal keys
+    classes = stored(first.select(*digest, "first.id", "first.keys"), "classes")
+    comp, n = near_duplicate_links(slim, classes.select("id", "n", "keys"), params)
+    by_class = (classes.join(looked_up(comp, n), classes["id"] == comp["node"], "left")
+                       .select(*digest, F.coalesce("component", "id").alias("c")))
     return (sig.select("id", *digest).join(by_class, digest, "left")
                .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                        F.when(F.col("id").isNotNull(), F.coalesce("c", "id")).alias("component_id"))

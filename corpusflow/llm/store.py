@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+SMALL = 1 << 17          # rows of a narrow table that goes whole to the tasks of a join; a larger one is shuffled
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names.  Only a session inside one
     process (``local[n]``) may leave it unset and gets a private one; executors of a
@@ -43,14 +46,21 @@ def summed(df: DataFrame, name: str, *more: Column) -> tuple[DataFrame, tuple]:
     return table, tuple(found[f"v{i}"] for i in range(len(aggs)))
 
 
+def looked_up(table: DataFrame, n: int) -> DataFrame:
+    """``table``, of ``n`` rows of a few numbers, for a join: a small one is broadcast, so
+    that the other side stays where it is."""
+    return F.broadcast(table) if n <= SMALL else table
+
+
 class Grown:
-    """A table in the shared folder that rows are added to: it is one scan, however
-    often something was added."""
+    """A table in the shared folder that rows are added to: it is one scan of ``n`` rows,
+    however often something was added."""
 
     def __init__(self, spark: SparkSession, schema: str, name: str):
         self.spark, self.schema, self.name = spark, schema, name
         self.folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self.parts: list[str] = []
+        self.n = 0
 
     def add(self, df: DataFrame) -> tuple[DataFrame, int]:
         """The rows added now, and their number."""
@@ -58,7 +68,9 @@ class Grown:
         path = f"{self.folder}/{len(self.parts)}"
         df.observe(seen, F.count(F.lit(1)).alias("n")).write.option("compression", "zstd").parquet(path)
         self.parts.append(path)
-        return self.spark.read.schema(self.schema).parquet(path), seen.get["n"]
+        n = seen.get["n"]
+        self.n += n
+        return self.spark.read.schema(self.schema).parquet(path), n
 
     def rows(self) -> DataFrame:
         if not self.parts:

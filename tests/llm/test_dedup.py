@@ -119,6 +119,44 @@ def test_near_dedup_takes_few_jobs(spark):
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few jobs")) < 165
 
 
+def test_near_dedup_takes_few_passes(spark, tmp_path, monkeypatch):
+    """Every pass over a small table costs a file for each task of it: two sweeps over the
+    bands and no more (there were five sweeps before)."""
+    base = [f"b{j}" for j in range(60)]
+    rows = [(i, " ".join(base[:i % 5] + ["x"] + base[i % 5:])) for i in range(5)]
+    rows += [(100 + i, " ".join(base[:30] + [f"u{i}x{j}" for j in range(30)])) for i in range(40)]
+    written = []
+    for name in ("stored", "summed"):
+        kept = getattr(minhash, name)
+        monkeypatch.setattr(minhash, name, lambda df, at, *more, kept=kept: (written.append(at), kept(df, at, *more))[1])
+    got = minhash.near_duplicate_ids(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain.near_components(rows)
+    assert written.count("buckets") <= 2 and written.count("open") <= 1 and len(written) < 20
+
+
+@pytest.mark.parametrize("small", [0, 1 << 17])
+def test_near_duplicates_pass_by_pass(spark, docs, rows, monkeypatch, small):
+    """Tables too large to go to every task are shuffled, and buckets of more pivots than go
+    at once take several passes: the same components."""
+    for module in (store, bloom, minhash):
+        monkeypatch.setattr(module, "SMALL", small)
+    monkeypatch.setattr(minhash, "PIVOTS", 1)
+    monkeypatch.setattr(minhash, "SPLIT", 6)
+    rng, base = random.Random(23), [f"b{j}" for j in range(90)]
+    more = []
+    for i in range(40):
+        w = list(base)
+        for j in rng.sample(range(90), i % 7):
+            w[j] = f"v{i}x{j}"
+        more.append((1000 - i, " ".join(w + [f"t{i}x{j}" for j in range(rng.randrange(12))])))
+    got = minhash.near_duplicate_ids(spark.createDataFrame(more, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain.near_components(more)
+    want = {i for i, (_, c) in plain.near_components(_pairs(rows)).items() if i == c}
+    unnamed = docs.limit(1).withColumn("doc_id", F.lit(None).cast("long"))
+    left = [r["doc_id"] for r in minhash.drop_near_duplicates(docs.union(unnamed)).collect()]
+    assert set(left) == want | {None} and len(left) == len(want) + 1
+
+
 def test_rows_counted_while_written(spark):
     table, (n, low) = store.summed(spark.range(5).filter("id <> 3"), "some", F.min("id"))
     assert (n, low) == (4, 0) and table.count() == 4
