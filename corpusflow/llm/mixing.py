@@ -19,6 +19,7 @@ gives an empty result; columns named like an output column are replaced.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ from corpusflow.operators.scan import with_global_index
 
 #: Sources up to which the table of rates is broadcast; beyond it the join shuffles.
 SMALL_SOURCES = 10_000
+#: Type of the products that are compared for the level: sizes times weights are beyond 64 bits.
+EXACT = "decimal(38,0)"
 
 
 def unit_draw(key: Column, seed: str) -> Column:
@@ -50,7 +53,8 @@ def source_targets(sized: DataFrame, weights: Sequence[int], budget: tuple[int,
     total = total or 0
     num, den = 0, 1          # the level, as an exact fraction
     while total:
-        over = F.col("weight") * F.lit(num) >= F.lit(max_repeat * den) * F.col("source_size")
+        over = (F.col("weight").cast(EXACT) * F.lit(Decimal(num)).cast(EXACT)
+                >= F.col("source_size").cast(EXACT) * F.lit(Decimal(max_repeat * den)).cast(EXACT))
         full, left = src.agg(F.sum(F.when(over, F.col("source_size")).otherwise(0)),
                              F.sum(F.when(over, 0).otherwise(F.col("weight")))).first()
         if not left:

@@ -132,6 +132,18 @@ def test_mixing_comes_near_its_targets(spark):
         assert abs(r["taken"] - r["target"]) <= 0.08 * r["n"]
 
 
+def test_mixing_targets_of_large_sources(spark):
+    """A weight times the level's numerator is beyond 32 bits, then beyond 64."""
+    for scale in (1, 10**9):
+        sizes = {f"s{i}": n * scale for i, n in enumerate([9_000_000, 70_000_000, 80_000_000, 60_000_000, 3_000_000, 50_000_000])}
+        sized = spark.createDataFrame(list(sizes.items()), "__source string, size long")
+        targets, n = mixing.source_targets(sized, (5, 2, 1))
+        want = _targets(sizes)
+        assert n == 6 and len(set(want.values())) > 3
+        for r in targets.collect():
+            assert r["source_size"] == sizes[r["__source"]] and r["target"] == pytest.approx(want[r["__source"]])
+
+
 def test_mixing_odd(odd_docs, no_docs, spark):
     out = mixing.mix_sources(odd_docs.withColumn("size", F.lit("x")).withColumn("copies", F.lit("x")), emit=False).collect()
     assert len(out) == 10 and all(r["size"] == len(plain.words(r["text"])) for r in out)
