@@ -35,3 +35,15 @@ def test_hallucination_flags(spark, folder):
     assert got.pop(9)[:2] == want.pop(9)[:2] == (None, False)
     assert got == want and len(got) == 9
     assert got[1] == got[3] == got[4] == (False, False, True) and got[7] == (False, False, False) and got[6] == (True, False, False)
+
+
+def test_hallucination_gate(spark, folder):
+    got = found(spark, folder, "hallucination_gate")
+    assert got == by_sql(folder, "hallucination_gate") and set(got) == {2, 7}
+
+
+def test_hallucination_gate_keeps_a_text_without_words_that_is_no_phrase(spark, folder, tmp_path):
+    for t in ("documents", "conversations"):
+        spark.read.parquet(f"{folder}/{t}.parquet").filter("text IS NULL OR text <> '...'").write.parquet(f"{tmp_path}/{t}.parquet")
+    got = found(spark, tmp_path, "hallucination_gate")
+    assert got == by_sql(tmp_path, "hallucination_gate") and set(got) == {1, 2, 3, 4, 5, 7, 8}
