@@ -1,7 +1,9 @@
 """Queries over a table that holds texts without characters or words: the other rows
 come out, and such a text gives what the registered SQL says."""
 import pytest
+from pyspark.sql import functions as F
 
+from corpusflow.functions import text as TX
 from corpusflow.plans import queries as Q
 
 TEXTS = [(1, ""), (2, "the long text of the house and the tree"), (3, "   "), (4, "\n "), (5, ".?!"), (6, "yes yes yes yes yes"),
@@ -47,3 +49,11 @@ def test_hallucination_gate_keeps_a_text_without_words_that_is_no_phrase(spark,
         spark.read.parquet(f"{folder}/{t}.parquet").filter("text IS NULL OR text <> '...'").write.parquet(f"{tmp_path}/{t}.parquet")
     got = found(spark, tmp_path, "hallucination_gate")
     assert got == by_sql(tmp_path, "hallucination_gate") and set(got) == {1, 2, 3, 4, 5, 7, 8}
+
+
+def test_make_sentence(spark, folder):
+    got = found(spark, folder, "make_sentence")
+    assert got == by_sql(folder, "make_sentence")
+    assert got[1] == got[8] == ("",) and got[3] == ("   ",) and got[7] == ("Hello:",) and got[9] == (None,) and len(got) == 10
+    with pytest.raises(Exception, match="empty text"):
+        spark.range(1).select(TX.make_sentence(F.lit(""))).collect()
