@@ -3,6 +3,7 @@ come out, and such a text gives what the registered SQL says."""
 import pytest
 from pyspark.sql import functions as F
 
+from corpusflow.functions import metrics as M
 from corpusflow.functions import text as TX
 from corpusflow.plans import queries as Q
 
@@ -57,3 +58,10 @@ def test_make_sentence(spark, folder):
     assert got[1] == got[8] == ("",) and got[3] == ("   ",) and got[7] == ("Hello:",) and got[9] == (None,) and len(got) == 10
     with pytest.raises(Exception, match="empty text"):
         spark.range(1).select(TX.make_sentence(F.lit(""))).collect()
+
+
+def test_cer_filter(spark, folder):
+    got, want = found(spark, folder, "cer_filter"), by_sql(folder, "cer_filter")
+    assert got == want and {3, 4, 5} <= set(got) and not {1, 8, 9} & set(got)
+    with pytest.raises(Exception, match="division by zero"):
+        spark.range(1).select(M.cer(F.lit(""), F.lit("a"))).collect()
