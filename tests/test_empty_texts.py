@@ -65,3 +65,11 @@ def test_cer_filter(spark, folder):
     assert got == want and {3, 4, 5} <= set(got) and not {1, 8, 9} & set(got)
     with pytest.raises(Exception, match="division by zero"):
         spark.range(1).select(M.cer(F.lit(""), F.lit("a"))).collect()
+
+
+def test_wmr_filter(spark, folder):
+    """A text without words has no rate, so it does not reach the threshold."""
+    got = found(spark, folder, "wmr_filter")
+    assert got == {5: (100.0,), 6: (100.0,), 7: (100.0,), 10: (100.0,)}
+    with pytest.raises(Exception, match="division by zero"):
+        spark.range(1).select(M.wmr(F.lit(" "), F.lit("a"))).collect()
