@@ -73,3 +73,13 @@ def test_wmr_filter(spark, folder):
     assert got == {5: (100.0,), 6: (100.0,), 7: (100.0,), 10: (100.0,)}
     with pytest.raises(Exception, match="division by zero"):
         spark.range(1).select(M.wmr(F.lit(" "), F.lit("a"))).collect()
+
+
+def test_wer_column(spark, folder):
+    """Every row comes out; a text without words has no rate."""
+    got = found(spark, folder, "wer_column")
+    assert set(got) == {i for i, _ in TEXTS}
+    assert got[1] == got[3] == got[8] == got[9] == (None,)
+    assert got[7] == got[6] == (100.0,) and got[10] == got[5] == (0.0,) and got[4] == (0.0,) and got[2] == (66.67,)
+    with pytest.raises(Exception, match="division by zero"):
+        spark.range(1).select(M.wer(F.lit(" "), F.lit("a"))).collect()
