@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as P
 import plain
 from corpusflow.llm import mixing, pieces, quality, queries
+from corpusflow.llm.store import code_point_words
 
 
 @pytest.fixture(scope="module")
@@ -48,6 +49,17 @@ def test_stages(spark, folder):
         assert r["round_trip"] and pieces.decode_ids(r["ids"], table) == want[r["doc_id"]] and r["n_tokens"] == len(r["ids"])
 
 
+def test_mixing_stage_of_a_large_corpus(spark, folder, monkeypatch):
+    """Each word is counted so often that there are 400 million: the level's numerator still
+    fits into 32 bits, five times of it does not."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    few = Counter(r["doc_id"] for r in P.mix(spark, docs, folder).collect())
+    times = 400_000_000 // sum(len(plain.words(r["text"])) for r in docs.collect())
+    monkeypatch.setattr(mixing, "code_point_words", lambda text: code_point_words(text) * times)
+    many = Counter(r["doc_id"] for r in P.mix(spark, docs, folder).collect())
+    assert few and many == few
+
+
 def test_quality_stage_runs_the_rules_once(spark, folder):
     plan = P.quality_rules(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
